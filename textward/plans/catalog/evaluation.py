@@ -99,7 +99,10 @@ def _sql_f1(pred: str) -> str:
     )
 
 
-_UNPIVOT = "UNPIVOT INCLUDE NULLS {0} ON f1, precision, recall, accuracy, auroc INTO NAME metric VALUE value"
+_UNPIVOT = (
+    "SELECT * FROM {0} UNPIVOT INCLUDE NULLS "
+    "(value FOR metric IN (f1, precision, recall, accuracy, auroc))"
+)
 
 ORACLES = {
     "h01_confusion_matrix": f"""

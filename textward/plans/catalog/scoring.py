@@ -189,7 +189,7 @@ m AS (
   FROM c LEFT JOIN a USING (split)
 )
 SELECT split, metric, round(value, 6) AS value
-FROM (UNPIVOT INCLUDE NULLS m ON f1, precision, recall, accuracy, auroc INTO NAME metric VALUE value)""",
+FROM m UNPIVOT INCLUDE NULLS (value FOR metric IN (f1, precision, recall, accuracy, auroc))""",
     "g06_test_source_f1": f"""{_TESTED}
 SELECT source, round(coalesce(2 * count(*) FILTER (y_true = 1 AND pred_a = 1)
          / nullif(count(*) FILTER (y_true = 1) + count(*) FILTER (pred_a = 1), 0), 0), 6) AS f1
