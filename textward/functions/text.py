@@ -71,14 +71,32 @@ def length_ok(text: Column | str, min_chars: int = 10, max_chars: int = 4000) ->
 
 
 @functools.cache
-def digit_class() -> str:
-    """Class body for ``str.isdigit``: decimal digits plus the other digit characters."""
-    extra = [
-        f"\\x{{{c:X}}}"
+def other_digits() -> str:
+    """Class body of the characters ``str.isdigit`` accepts beside decimal digits, as ranges.
+
+    All of them, such as superscripts, belong to the category No.
+    """
+    points = [
+        c
         for c in range(sys.maxunicode + 1)
         if chr(c).isdigit() and unicodedata.category(chr(c)) != "Nd"
     ]
-    return r"\p{Nd}" + "".join(extra)
+    runs: list[list[int]] = []
+    for c in points:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in runs)
+
+
+def count_digits(text: Column | str) -> Column:
+    """Characters for which ``str.isdigit`` holds.
+
+    The long class of rare digits only sees what is left of the text in its category.
+    """
+    rare = F.regexp_replace(_col(text), r"\P{No}+", "")
+    return count_chars(text, r"\p{Nd}") + count_chars(rare, other_digits())
 
 
 def char_features(text: Column | str, script: str = CYRILLIC) -> Column:
@@ -88,7 +106,7 @@ def char_features(text: Column | str, script: str = CYRILLIC) -> Column:
         F.length(t),
         count_chars(t, r"\p{L}"),
         count_chars(t, script),
-        count_chars(t, digit_class()),
+        count_digits(t),
     ]
     return F.array(*[p.cast("double") for p in parts])
 
@@ -152,7 +170,7 @@ def term_counts(terms: Column) -> Column:
             ),
         )
 
-    return bind(F.array_sort(terms), runs)
+    return bind(F.sort_array(terms), runs)
 
 
 def group_hash(text: Column | str) -> Column:

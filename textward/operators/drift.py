@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textward.functions.pvalues import chi2_p_value, ks_p_value
-from textward.functions.text import CYRILLIC, char_features, char_script_ratio
+from textward.functions.text import CYRILLIC, char_features
 from textward.operators.ordered import integer_bucket, running_totals
 
 # Verdict thresholds and guards.
@@ -76,18 +76,27 @@ def length_statistic(
     return run.groupBy("family").agg(F.coalesce(F.try_divide(gap, whole), F.lit(0.0)).alias("ks_d"))
 
 
-def _side_summary(script: str, text_col: str) -> list[Column]:
-    ratio = char_script_ratio(text_col, script)
+def _side_summary(
+    side: DataFrame, by: list[Column], script: str, text_col: str
+) -> DataFrame:
+    """Rows, script-share bins and mean character features, from one pass over the text.
+
+    The features are projected first, so each is computed once and used in several aggregates.
+    """
+    feats = char_features(text_col, script)
+    rows = side.select(*by, feats.alias("f")).select("*", F.col("f")[0].alias("chars"))
+    ratio = F.coalesce(F.try_divide(F.col("f")[2], F.col("chars")), F.lit(0.0))
     bins = [
-        F.count_if((ratio >= lo) & (ratio < hi))
+        F.count_if((F.col("r") >= lo) & (F.col("r") < hi))
         for lo, hi in zip(CHARSET_EDGES[:-1], CHARSET_EDGES[1:])
     ]
-    feats = char_features(text_col, script)
-    return [
+    rows = rows.withColumn("r", ratio)
+    grouped = rows.groupBy("family") if by else rows.groupBy()
+    return grouped.agg(
         F.count("*").alias("n"),
         F.array(*bins).alias("bins"),
-        F.array(*[F.avg(feats[i]) for i in range(4)]).alias("centroid"),
-    ]
+        F.array(*[F.avg(F.col("f")[i]) for i in range(4)]).alias("centroid"),
+    )
 
 
 def chi_square(p_bins: Column, t_bins: Column) -> Column:
@@ -149,9 +158,9 @@ def drift_tests(
     script: str = CYRILLIC,
 ) -> DataFrame:
     """Statistics per family: ``family, n_production, n_training, ks_d, chi2, cosine_distance``."""
-    prod = production.groupBy(F.col(family_col).alias("family")).agg(*_side_summary(script, text_col))
+    prod = _side_summary(production, [F.col(family_col).alias("family")], script, text_col)
     every_family = F.explode(F.array(*[F.lit(f) for f in families]))
-    train = training.agg(*_side_summary(script, text_col)).select(
+    train = _side_summary(training, [], script, text_col).select(
         every_family.alias("family"),
         F.col("n").alias("n_training"),
         F.col("bins").alias("t_bins"),

@@ -185,6 +185,8 @@ def latency_summary(
     return q.join(means, same).drop(*[f"_r_{c}" for c in by])
 
 
-def request_latency(df: DataFrame, *, batch_ms: str, batch_size: str, out_col: str = "latency_ms") -> DataFrame:
+def request_latency(
+    df: DataFrame, *, batch_ms: str, batch_size: str, out_col: str = "latency_ms"
+) -> DataFrame:
     """Latency per request of a timed batch."""
     return df.withColumn(out_col, F.col(batch_ms) / F.col(batch_size))

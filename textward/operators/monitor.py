@@ -7,7 +7,7 @@ tiles, whose number grows with time and not with traffic, are repeated for the w
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,11 +121,20 @@ def trailing_sums(
     )
 
 
+# The functions below take the windowing as ``sums_of``: ``trailing_sums`` for a table, its
+# streaming form for a stream.
+
+
 def rates(
-    df: DataFrame, by: list[str], *, range_s: int = 5 * MINUTE, step_s: int = MINUTE
+    df: DataFrame,
+    by: list[str],
+    *,
+    range_s: int = 5 * MINUTE,
+    step_s: int = MINUTE,
+    sums_of: Callable[..., DataFrame] = trailing_sums,
 ) -> DataFrame:
     """Events per second over the trailing range."""
-    sums = trailing_sums(df, {"_n": F.count("*")}, by, range_s=range_s, step_s=step_s)
+    sums = sums_of(df, {"_n": F.count("*")}, by, range_s=range_s, step_s=step_s)
     return sums.select("eval_ts", *by, (F.col("_n") / F.lit(float(range_s))).alias("rate"))
 
 
@@ -155,10 +164,11 @@ def trailing_quantile(
     by: list[str],
     range_s: int,
     step_s: int = MINUTE,
+    sums_of: Callable[..., DataFrame] = trailing_sums,
 ) -> DataFrame:
     """Bucketed quantile over the trailing range: ``eval_ts, by, value``."""
     sums = bucket_counts(value, edges, "b")
-    hist = trailing_sums(df, sums, by, range_s=range_s, step_s=step_s)
+    hist = sums_of(df, sums, by, range_s=range_s, step_s=step_s)
     cumulative = [F.col(f"b_{i}") for i in range(len(edges))]
     return hist.select(
         "eval_ts", *by, bucket_quantile(q, cumulative, F.col("b_inf"), edges).alias("value")
@@ -166,11 +176,17 @@ def trailing_quantile(
 
 
 def trailing_share(
-    df: DataFrame, hit: Column, by: list[str], *, range_s: int, step_s: int = MINUTE
+    df: DataFrame,
+    hit: Column,
+    by: list[str],
+    *,
+    range_s: int,
+    step_s: int = MINUTE,
+    sums_of: Callable[..., DataFrame] = trailing_sums,
 ) -> DataFrame:
     """Share of rows with ``hit`` over the trailing range: ``eval_ts, by, value``."""
     sums = {"_hit": F.count_if(hit), "_all": F.count("*")}
-    out = trailing_sums(df, sums, by, range_s=range_s, step_s=step_s)
+    out = sums_of(df, sums, by, range_s=range_s, step_s=step_s)
     return out.select("eval_ts", *by, (F.col("_hit") / F.col("_all")).alias("value"))
 
 
@@ -184,33 +200,41 @@ def _evaluations(values: DataFrame, alert: str, series: str, active: Column) ->
     )
 
 
-def high_error_rate(df: DataFrame, *, error_col: str = "is_error", by: str = "namespace") -> DataFrame:
+def high_error_rate(
+    df: DataFrame, *, error_col: str = "is_error", by: str = "namespace", sums_of=trailing_sums
+) -> DataFrame:
     threshold, range_s, _ = ALERTS["high_error_rate"]
-    values = trailing_share(df, F.col(error_col), [by], range_s=range_s)
+    values = trailing_share(df, F.col(error_col), [by], range_s=range_s, sums_of=sums_of)
     return _evaluations(values, "high_error_rate", by, F.col("value") > threshold)
 
 
-def high_latency(df: DataFrame, *, by: str = "family") -> DataFrame:
+def high_latency(df: DataFrame, *, by: str = "family", sums_of=trailing_sums) -> DataFrame:
     threshold, range_s, _ = ALERTS["high_latency"]
     values = trailing_quantile(
-        df, F.col("latency_s"), LATENCY_EDGES, 0.95, by=[by], range_s=range_s
+        df, F.col("latency_s"), LATENCY_EDGES, 0.95, by=[by], range_s=range_s, sums_of=sums_of
     )
     return _evaluations(values, "high_latency", by, F.col("value") > threshold)
 
 
-def confidence_collapse(df: DataFrame, *, by: str = "family") -> DataFrame:
+def confidence_collapse(
+    df: DataFrame, *, by: str = "family", sums_of=trailing_sums
+) -> DataFrame:
     threshold, range_s, _ = ALERTS["confidence_collapse"]
     values = trailing_quantile(
-        df, F.col("confidence"), CONFIDENCE_EDGES, 0.5, by=[by], range_s=range_s
+        df, F.col("confidence"), CONFIDENCE_EDGES, 0.5, by=[by], range_s=range_s, sums_of=sums_of
     )
     return _evaluations(values, "confidence_collapse", by, F.col("value") < threshold)
 
 
-def class_imbalance(df: DataFrame, *, by: str = "family") -> DataFrame:
+def class_imbalance(
+    df: DataFrame, *, by: str = "family", sums_of=trailing_sums
+) -> DataFrame:
     """Evaluations of both imbalance alerts, from one pass."""
     high, range_s, _ = ALERTS["class_imbalance_high"]
     low = ALERTS["class_imbalance_low"][0]
-    values = trailing_share(df, F.col("label") == POSITIVE, [by], range_s=range_s)
+    values = trailing_share(
+        df, F.col("label") == POSITIVE, [by], range_s=range_s, sums_of=sums_of
+    )
     value = F.col("value")
     both = F.inline(
         F.array(
@@ -223,13 +247,16 @@ def class_imbalance(df: DataFrame, *, by: str = "family") -> DataFrame:
     )
 
 
-def drift_alert(gauge: DataFrame, now: Column, *, series: list[str], family_col: str = "family") -> DataFrame:
+def drift_alert(
+    gauge: DataFrame, now: Column, *, series: list[str], family_col: str = "family"
+) -> DataFrame:
     """Families with drift: the last gauge value of each series in the range, then the maximum.
 
     ``gauge`` has ``ts, value`` and the columns named in ``series`` and ``family_col``.
     """
     threshold, range_s, _ = ALERTS["drift_detected"]
-    recent = gauge.where((F.col("ts") > now - F.make_dt_interval(secs=F.lit(range_s))) & (F.col("ts") <= now))
+    since = now - F.make_dt_interval(secs=F.lit(range_s))
+    recent = gauge.where((F.col("ts") > since) & (F.col("ts") <= now))
     last = recent.groupBy(family_col, *[s for s in series if s != family_col]).agg(
         F.max_by("value", "ts").alias("value")
     )

@@ -6,6 +6,7 @@ serves the transform. The fitted vocabulary has at most ``max_features`` rows an
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.ml.linalg import VectorUDT
@@ -70,13 +71,14 @@ class TfidfModel:
     vocab: DataFrame
     ngrams: tuple[int, int] = (1, 2)
 
+    @functools.cached_property
     def size(self) -> int:
         return self.vocab.count()
 
     def weights(self, df: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
         """``id, term, idx, weight``; terms outside the vocabulary are ignored."""
         vocab = self.vocab.select("term", "idx", "idf")
-        if self.size() <= BROADCAST_TERMS:
+        if self.size <= BROADCAST_TERMS:
             vocab = F.broadcast(vocab)
         raw = (1 + F.log(F.col("tf").cast("double"))) * F.col("idf")
         norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
@@ -92,7 +94,7 @@ class TfidfModel:
     ) -> DataFrame:
         """``df`` plus a sparse vector column; a text without known terms gets a zero vector."""
         return sparse_vectors(
-            df, self.weights(df, id_col=id_col, text_col=text_col), self.size(), id_col, out_col
+            df, self.weights(df, id_col=id_col, text_col=text_col), self.size, id_col, out_col
         )
 
     def save(self, path: str) -> None:

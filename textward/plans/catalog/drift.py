@@ -66,8 +66,8 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def guarded(spark: SparkSession, sf: str) -> DataFrame:
-    """One family keeps too little production text for a verdict."""
-    prod = production(spark, sf).where((F.col("family") != "fam2") | (F.col("doc_id") % 10 == 0))
+    """The guard is set at the largest family's size, so the smaller ones get no verdict."""
+    prod = production(spark, sf)
     n = F.count("*").alias("n")
     floor = prod.groupBy("family").agg(n).agg(F.max("n")).first()[0]
     out = drift.detect_drift(
@@ -169,8 +169,7 @@ SELECT family, n_production, n_training, round(ks_d, 6) AS ks_d, round(chi2, 6)
 FROM n JOIN ks USING (family) JOIN chi USING (family) JOIN cos USING (family)""",
     "i05_too_few_rows": f"""
 WITH {_SIDES},
-n AS (SELECT family, count(*) FILTER (family <> 'fam2' OR doc_id % 10 = 0) AS n_production
-      FROM sides WHERE is_prod GROUP BY family)
+n AS (SELECT family, count(*) AS n_production FROM sides WHERE is_prod GROUP BY family)
 SELECT family, 1.0::DOUBLE AS p_value_length, 1.0::DOUBLE AS p_value_charset,
        0.0::DOUBLE AS cosine_distance, false AS drift_detected, n_production,
        'insufficient_samples' AS skipped_reason

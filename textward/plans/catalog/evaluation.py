@@ -59,8 +59,12 @@ def comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latency(spark: SparkSession, sf: str) -> DataFrame:
-    timed = predictions(spark, sf).select("family", F.col("value").alias("latency_ms"))
-    out = ev.latency_summary(timed, by=["family"])
+    """Events as timed batches of one to four requests."""
+    timed = predictions(spark, sf).select(
+        "family", F.col("value").alias("took_ms"), (F.col("event_id") % 4 + 1).alias("n_requests")
+    )
+    each = ev.request_latency(timed, batch_ms="took_ms", batch_size="n_requests")
+    out = ev.latency_summary(each, by=["family"])
     return _round(out, "p50_ms", "p95_ms", "p99_ms", "mean_ms").select(
         "family", "p50_ms", "p95_ms", "p99_ms", "mean_ms"
     )
@@ -156,7 +160,7 @@ SELECT metric, round(x.value, 4) AS a, round(y.value, 4) AS b
 FROM ({_UNPIVOT.format('ma')}) x JOIN ({_UNPIVOT.format('mb')}) y USING (metric)""",
     "h08_latency_summary": f"""
 WITH {PREDICTIONS}
-SELECT family, round(quantile_cont(value, 0.5), 6) AS p50_ms, round(quantile_cont(value, 0.95), 6) AS p95_ms,
-       round(quantile_cont(value, 0.99), 6) AS p99_ms, round(avg(value), 6) AS mean_ms
-FROM predictions GROUP BY family""",
+SELECT family, round(quantile_cont(ms, 0.5), 6) AS p50_ms, round(quantile_cont(ms, 0.95), 6) AS p95_ms,
+       round(quantile_cont(ms, 0.99), 6) AS p99_ms, round(avg(ms), 6) AS mean_ms
+FROM (SELECT family, value / (event_id % 4 + 1) AS ms FROM predictions) GROUP BY family""",
 }

@@ -121,7 +121,7 @@ SELECT doc_id, coalesce({_count(SQL_SCRIPT)} / nullif(length(text), 0), 0.0) AS
     "c06_length_ok": "SELECT doc_id, length(text) BETWEEN 10 AND 4000 AS ok FROM documents",
     "c07_char_features": f"""
 SELECT doc_id, length(text)::DOUBLE AS chars, {_count(chr(92) + 'pL')}::DOUBLE AS letters,
-       {_count(SQL_SCRIPT)}::DOUBLE AS script_chars, {_count(tx.digit_class())}::DOUBLE AS digits
+       {_count(SQL_SCRIPT)}::DOUBLE AS script_chars, {_count(chr(92) + 'p{Nd}' + tx.other_digits())}::DOUBLE AS digits
 FROM documents""",
     "c08_group_hash": f"""
 SELECT doc_id, substr(sha256({sql_norm('text')}), 1, 16) AS group_hash FROM documents""",

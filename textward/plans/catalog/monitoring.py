@@ -73,11 +73,14 @@ def rates_1h(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rates_stream(spark: SparkSession, sf: str) -> DataFrame:
-    sums = stream_trailing_sums(
-        _stream(spark, sf), {"n": F.count("*")}, ["family"], range_s=HOUR, step_s=5 * MINUTE
+    rates = monitor.rates(
+        _stream(spark, sf),
+        ["family"],
+        range_s=HOUR,
+        step_s=5 * MINUTE,
+        sums_of=stream_trailing_sums,
     )
-    out = _finish(sums, "rates")
-    return _seconds(out, "eval_ts").select("eval_ts", "family", (F.col("n") / F.lit(3600.0)).alias("rate"))
+    return _seconds(_finish(rates, "rates"), "eval_ts")
 
 
 def quantiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,6 +120,15 @@ def imbalance(spark: SparkSession, sf: str) -> DataFrame:
     return _active(monitor.class_imbalance(predictions(spark, sf)))
 
 
+def _alert_stream(evaluate):
+    """Streaming form of an alert's query."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return _active(_finish(evaluate(_stream(spark, sf), sums_of=stream_trailing_sums), "alert"))
+
+    return query
+
+
 def _gauge(spark: SparkSession, sf: str) -> DataFrame:
     """Every user is a gauge series of its family; its value is 1 in a third of the samples."""
     return predictions(spark, sf).select(
@@ -200,9 +212,13 @@ QUERIES = {
     "k03_rate_1h_stream": rates_stream,
     "k04_bucket_quantile": quantiles,
     "k05_high_error_rate": error_rate,
+    "k05_high_error_rate_stream": _alert_stream(monitor.high_error_rate),
     "k06_high_latency": latency,
+    "k06_high_latency_stream": _alert_stream(monitor.high_latency),
     "k07_confidence_collapse": collapse,
+    "k07_confidence_collapse_stream": _alert_stream(monitor.confidence_collapse),
     "k08_class_imbalance": imbalance,
+    "k08_class_imbalance_stream": _alert_stream(monitor.class_imbalance),
     "k09_drift_alert": drift,
     "k10_hold_time": held,
     "k10_hold_time_stream": held_stream,
@@ -387,3 +403,16 @@ WITH {PREDICTIONS}
 SELECT event_id, label, ts::DATE::VARCHAR AS date, family FROM predictions
 WHERE ('0x' || substr({sql_sample_key('event_id')}, 1, 8))::BIGINT < {0.1 * 2**32}::DOUBLE""",
 }
+
+# A stream has emitted the evaluations its watermark has passed.
+ORACLES |= {
+    f"{name}_stream": f"""
+WITH batch AS ({ORACLES[name]})
+SELECT * FROM batch WHERE eval_ts <= (SELECT epoch(max(ts)) - 600 FROM events)"""
+    for name in (
+        "k05_high_error_rate",
+        "k06_high_latency",
+        "k07_confidence_collapse",
+        "k08_class_imbalance",
+    )
+}

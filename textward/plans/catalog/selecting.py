@@ -1,4 +1,7 @@
-"""Run selection, versions and pins. Orders are training runs, their lines registered versions."""
+"""Run selection, versions and pins.
+
+Orders are training runs, their returned lines registered versions.
+"""
 
 from __future__ import annotations
 
@@ -39,7 +42,7 @@ def versions(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .where(F.col("o_orderkey") % 3 != 0)
+        .where(F.col("l_returnflag") == "R")
         .select(
             F.col("o_orderkey").cast("string").alias("run_id"),
             F.concat(F.lit("model-"), F.col("o_orderpriority")).alias("model_name"),
@@ -92,7 +95,7 @@ ORACLES = {
 WITH {_BEST},
 v AS (
   SELECT o_orderkey::VARCHAR AS run_id, 'model-' || o_orderpriority AS model_name, l_partkey::VARCHAR AS version
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 3 <> 0
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'
   QUALIFY row_number() OVER (PARTITION BY o_orderkey, o_orderpriority
                              ORDER BY l_linenumber * 1000000 + l_partkey) = 1
 )

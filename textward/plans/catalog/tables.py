@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.operators.monitor import utc_timestamp
+from textward.sources.readers import spread_scan
 
 SCRIPT = "À-ɏ"
 # The same in RE2 syntax.
@@ -18,8 +19,13 @@ SQL_SPACE = r"[\t-\r\x1c-\x1f\x{85}\pZ]+"
 SEED = 42
 
 
+# Tables of long texts with the key that spreads them.
+_TEXT_TABLES = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn")}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_scan(df, *_TEXT_TABLES[name]) if name in _TEXT_TABLES else df
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:

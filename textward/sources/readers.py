@@ -241,6 +241,18 @@ def reference_sample(
     return df if max_rows is None else sample_exact(df, max_rows, id_col=id_col, seed=seed)
 
 
+def spread_scan(df: DataFrame, *by: str) -> DataFrame:
+    """Give the scan of a few files one task per core, by a hash of the ``by`` columns.
+
+    Text functions are bound by CPU, and a file with one row group is read by one task. A table
+    with several splits per core, as any large one, is returned unchanged and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, *by)
+
+
 def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Id of a row read from Parquet: file name and position in the file.
 
