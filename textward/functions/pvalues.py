@@ -58,23 +58,35 @@ def _matrix_cdf(n: int, d: float) -> float:
 
 
 def _pelz_good_cdf(n: int, d: float) -> float:
-    x = math.sqrt(n) * d
-    z2 = x * x
-    ks = np.arange(0, 40)
-    half = (2 * ks + 1) ** 2 * math.pi**2
-    e_half = np.exp(-half / (8 * z2))
-    full = ks[1:] ** 2 * math.pi**2
-    e_full = np.exp(-full / (2 * z2))
-    root = math.sqrt(math.pi / 2)
-    k0 = 2 * root / x * e_half.sum()
-    k1 = root / (3 * z2 * z2) * ((half / 4 - z2) * e_half).sum()
-    k2_a = (
-        (6 * z2**3 + 2 * z2 * z2 + (2 * z2 * z2 - 5 * z2) * half / 4 + (1 - 2 * z2) * half**2 / 16)
-        * e_half
-    ).sum()
-    k2_b = (full * e_full).sum()
-    k2 = root / (36 * x**7) * k2_a - root / (18 * x**3) * k2_b
-    return k0 + k1 / math.sqrt(n) + k2 / n
+    """Expansion of the distribution in powers of ``1 / sqrt(n)`` up to the third."""
+    z2 = n * d * d
+    z = math.sqrt(z2)
+    k = np.arange(40)
+    odd = ((k + 0.5) * math.pi) ** 2
+    w_odd = np.exp(-odd / (2 * z2))
+    even = (k[1:] * math.pi) ** 2
+    w_even = np.exp(-even / (2 * z2))
+    # The sums run over all integers; the terms are symmetric.
+    scale = 2 * math.sqrt(math.pi / 2)
+
+    def over(poly: np.ndarray, weight: np.ndarray) -> float:
+        return scale * float((poly * weight).sum())
+
+    second = 6 * z2**3 + 2 * z2**2 + (2 * z2**2 - 5 * z2) * odd + (1 - 2 * z2) * odd**2
+    third = (
+        (5 - 30 * z2) * odd**3
+        + (212 * z2**2 - 60 * z2) * odd**2
+        + (135 * z2**2 - 96 * z2**3) * odd
+        - 30 * z2**3
+        - 90 * z2**4
+    )
+    terms = (
+        over(np.ones_like(odd), w_odd) / z,
+        over(odd - z2, w_odd) / (6 * z2**2),
+        over(second, w_odd) / (72 * z**7) - over(even, w_even) / (36 * z**3),
+        over(third, w_odd) / (6480 * z**10) + over(3 * z2 * even - even**2, w_even) / (108 * z**6),
+    )
+    return sum(t / n ** (i / 2) for i, t in enumerate(terms))
 
 
 def _one_sample_sf(n: int, d: float) -> float:

@@ -16,57 +16,47 @@ from textward.functions.sampling import sample_key
 _SLICE_DIGITS = 4
 
 
-def _sample_by_quota(
-    df: DataFrame, group: Column, quotas: dict[int, int], id_col: str, seed: int
-) -> DataFrame:
-    """Keep ``quotas[g]`` rows of each group; groups without a quota are dropped.
+def _first_n(df: DataFrame, n: int, id_col: str, seed: int) -> Column:
+    """Condition that holds for the ``n`` rows of ``df`` with the smallest keys.
 
-    ``quotas`` is a literal of a few entries, so the frames broadcast here have as many rows.
+    The bound is a scalar subquery, so applying it to a table needs neither a join nor a shuffle.
     """
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(list(quotas.items()), "_g int, _n bigint")
+    if n <= 0:
+        return F.lit(False)
     key = sample_key(id_col, seed)
-    keyed = df.select(
-        group.cast("int").alias("_g"), F.col(id_col).alias("_id"), key.alias("_key")
-    ).where(F.col("_g").isin(list(quotas)))
-    sliced = keyed.withColumn("_slice", F.left("_key", F.lit(_SLICE_DIGITS)))
-
-    # At most 65 536 rows per group: a running count over them is small work.
-    counts = sliced.groupBy("_g", "_slice").agg(F.count("*").alias("_cnt"))
-    upto = F.sum("_cnt").over(Window.partitionBy("_g").orderBy("_slice"))
+    keyed = df.select(F.col(id_col).alias("_id"), key.alias("_key")).withColumn(
+        "_slice", F.left("_key", F.lit(_SLICE_DIGITS))
+    )
+    # At most 65 536 rows: a running count over them is small work for one task.
+    one_task = Window.partitionBy(F.lit(0))
+    counts = keyed.groupBy("_slice").agg(F.count("*").alias("_cnt"))
     before = F.col("_upto") - F.col("_cnt")
     edge = (
-        counts.withColumn("_upto", upto)
-        .join(F.broadcast(wanted), "_g")
-        .where((before < F.col("_n")) & (F.col("_n") <= F.col("_upto")))
-        .select("_g", "_slice", (F.col("_n") - before).alias("_left"))
+        counts.withColumn("_upto", F.sum("_cnt").over(one_task.orderBy("_slice")))
+        .where((before < n) & (F.col("_upto") >= n))
+        .select("_slice", (n - before).alias("_left"))
     )
-    rank = F.row_number().over(Window.partitionBy("_g").orderBy("_key", "_id"))
+    # One slice of the keys, which are uniform: a 65 536th of the ids.
+    rank = F.row_number().over(one_task.orderBy("_key", "_id"))
     cut = (
-        sliced.join(F.broadcast(edge), ["_g", "_slice"])
+        keyed.where(F.col("_slice") == edge.select("_slice").scalar())
         .withColumn("_rank", rank)
-        .where(F.col("_rank") == F.col("_left"))
-        .select("_g", F.struct("_key", "_id").alias("_cut"))
-    )
-    # No cut means the quota reaches past the last row: the group is kept whole.
-    bounds = wanted.where(F.col("_n") > 0).join(cut, "_g", "left")
-    return (
-        df.withColumn("_g", group.cast("int"))
-        .join(F.broadcast(bounds), "_g")
-        .where(
-            F.col("_cut").isNull()
-            | (F.struct(key.alias("_key"), F.col(id_col).alias("_id")) <= F.col("_cut"))
-        )
-        .select(*df.columns)
+        .where(F.col("_rank") == edge.select("_left").scalar())
+        .select(F.struct("_key", "_id"))
+        .scalar()
     )
+    # No bound means that n reaches past the last row.
+    return cut.isNull() | (F.struct(key.alias("_key"), F.col(id_col).alias("_id")) <= cut)
 
 
 def sample_exact(df: DataFrame, n: int, *, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, without replacement; ``id_col`` must be unique."""
-    return _sample_by_quota(df, F.lit(0), {0: int(n)}, id_col, seed)
+    return df.where(_first_n(df, n, id_col, seed))
 
 
-def shuffled(df: DataFrame, *, id_col: str, seed: int = 42, key_col: str = "shuffle_key") -> DataFrame:
+def shuffled(
+    df: DataFrame, *, id_col: str, seed: int = 42, key_col: str = "shuffle_key"
+) -> DataFrame:
     """Add the key of a seeded full shuffle; order by ``key_col, id`` when writing."""
     return df.withColumn(key_col, sample_key(id_col, seed))
 
@@ -88,15 +78,22 @@ def balance_classes(
 ) -> DataFrame:
     """Downsample the larger class; unchanged when a class is missing.
 
-    One narrow aggregate job fixes the two targets, the sampling itself stays lazy.
+    One narrow aggregate job fixes the two targets, the sampling itself stays lazy. The smaller
+    class is always kept whole.
     """
-    sizes = df.agg(
-        F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) == 0).alias("neg")
-    ).first()
+    label = F.col(label_col)
+    sizes = df.agg(F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")).first()
     if not sizes.pos or not sizes.neg:
         return df
     keep_pos, keep_neg = balance_targets(sizes.pos, sizes.neg, target_ratio)
-    return _sample_by_quota(df, F.col(label_col), {1: keep_pos, 0: keep_neg}, id_col, seed)
+
+    def kept(value: int, size: int, target: int) -> Column:
+        mine = label == value
+        if target == size:
+            return mine
+        return mine & _first_n(df.where(mine), target, id_col, seed)
+
+    return df.where(kept(1, sizes.pos, keep_pos) | kept(0, sizes.neg, keep_neg))
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
