@@ -94,7 +94,7 @@ def test_near_equals_scan_over_signatures(spark, small):
         firsts.setdefault(" ".join(r.text.lower().split()), r.doc_id)
     members = {}
     for text, i in firsts.items():
-        sig = minhash.signature(text)
+        sig = next(minhash.signatures([text]))
         members[i] = [(b, sig[b * rows : (b + 1) * rows].tobytes()) for b in range(bands)]
     want = set(members) - scan(members)
     got = {r.doc_id for r in dedup.dedup_near(docs, id_col="doc_id", threshold=0.5).collect()}
@@ -113,13 +113,23 @@ def test_signature_of_long_text_in_pieces():
         )
         for x, y in list(zip(a, b))[:5]
     ]
-    assert list(minhash.signature(text)[:5]) == low
+    assert list(next(minhash.signatures([text]))[:5]) == low
+
+
+def test_signatures_do_not_depend_on_grouping(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(200))) for _ in range(60)] + ["", "ab"]
+    want = [s.tolist() for s in minhash.signatures(texts)]
+    assert len(want) == len(texts)
+    for size in (4, 7, 50, 300):
+        monkeypatch.setattr(minhash, "_GROUP_CHARS", size)
+        assert [s.tolist() for s in minhash.signatures(texts)] == want
 
 
 def test_signature_estimates_jaccard():
     a, b = "the quick brown fox jumps over the lazy dog", "the quick brown fox jumped over the lazy dog"
     sa, sb = ({t[i : i + 4] for i in range(len(t) - 3)} for t in (a, b))
-    est = np.mean(minhash.signature(a) == minhash.signature(b))
+    est = np.mean(np.equal(*minhash.signatures([a, b])))
     assert abs(est - len(sa & sb) / len(sa | sb)) < 0.12
 
 

@@ -70,6 +70,16 @@ def test_unseen_texts(spark, docs):
     assert vectors[0].norm(2) == pytest.approx(1.0)
 
 
+def test_vocabulary_beyond_the_broadcast_limit(spark, docs, monkeypatch):
+    from textward.operators import tfidf
+
+    model = Tfidf(min_df=1).fit(docs, id_col="id")
+    want = by_doc(model.weights(docs, id_col="id"))
+    monkeypatch.setattr(tfidf, "BROADCAST_TERMS", 3)
+    for g, w in zip(by_doc(model.weights(docs, id_col="id")), want):
+        assert g == pytest.approx(w)
+
+
 def test_save_and_load(spark, docs, tmp_path):
     model = Tfidf(min_df=1, ngrams=(1, 1)).fit(docs, id_col="id")
     model.save(str(tmp_path / "m"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,10 @@ PERMUTATION_SEED = 1
 NUM_PERM = 128
 SHINGLE = 4
 
-_CHUNK = 512
+# Texts are worked off in groups of up to this many characters, so that a shingle common to several
+# is hashed once; it bounds the rows of the group's table at 512 bytes each.
+_GROUP_CHARS = 1 << 18
+_CHUNK = 64
 _CACHE = 1 << 18
 
 
@@ -62,22 +65,61 @@ def _hash32(shingle: str) -> int:
     return int.from_bytes(hashlib.sha1(shingle.encode("utf-8")).digest()[:4], "little")
 
 
-def signature(text: str, num_perm: int = NUM_PERM, k: int = SHINGLE) -> np.ndarray:
-    """MinHash signature of a normalized text; memory stays bounded for texts of any length."""
+def _permuted(shingles: list[str], num_perm: int) -> np.ndarray:
+    """One row of permuted hashes per shingle."""
     a, b = permutations(num_perm)
-    shingles = {text[i : i + k] for i in range(len(text) - k + 1)} or {text}
-    hashes = np.fromiter((_hash32(s) for s in shingles), dtype=np.uint64, count=len(shingles))
-    low = np.full(num_perm, MAX_HASH, dtype=np.uint64)
-    for start in range(0, len(hashes), _CHUNK):
-        part = hashes[start : start + _CHUNK, None] * a + b
+    hashes = np.fromiter(map(_hash32, shingles), dtype=np.uint64, count=len(shingles))
+    table = np.empty((len(shingles), num_perm), dtype=np.uint32)
+    for at in range(0, len(shingles), _CHUNK):
+        part = hashes[at : at + _CHUNK, None] * a + b
         part %= np.uint64(MERSENNE_PRIME)
         part &= np.uint64(MAX_HASH)
-        np.minimum(low, part.min(axis=0), out=low)
+        table[at : at + _CHUNK] = part
+    return table
+
+
+def _group_signatures(texts: list[str], num_perm: int, k: int) -> Iterator[np.ndarray]:
+    """Signatures of a few texts: a table over their shingles, then column minima per text."""
+    row_of: dict[str, int] = {}
+    picks = []
+    for text in texts:
+        shingles = {text[i : i + k] for i in range(len(text) - k + 1)} or {text}
+        picks.append([row_of.setdefault(s, len(row_of)) for s in shingles])
+    table = _permuted(list(row_of), num_perm)
+    for pick in picks:
+        yield table.take(pick, axis=0).min(axis=0)
+
+
+def _long_signature(text: str, num_perm: int, k: int) -> np.ndarray:
+    """The signature is the minimum over overlapping pieces of the text."""
+    low = np.full(num_perm, MAX_HASH, dtype=np.uint32)
+    for at in range(0, len(text) - k + 1, _GROUP_CHARS):
+        piece = text[at : at + _GROUP_CHARS + k - 1]
+        np.minimum(low, next(_group_signatures([piece], num_perm, k)), out=low)
     return low
 
 
-def _band_keys(text: str, bands: int, rows: int, num_perm: int) -> list[bytes]:
-    sig = signature(text, num_perm)
+def signatures(
+    texts: Iterable[str], num_perm: int = NUM_PERM, k: int = SHINGLE
+) -> Iterator[np.ndarray]:
+    """MinHash signatures of normalized texts, in order; memory is bounded for texts of any length."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        if size + len(text) > _GROUP_CHARS and group:
+            yield from _group_signatures(group, num_perm, k)
+            group, size = [], 0
+        if len(text) > _GROUP_CHARS:
+            yield _long_signature(text, num_perm, k)
+            continue
+        group.append(text)
+        size += len(text)
+    if group:
+        yield from _group_signatures(group, num_perm, k)
+
+
+def _band_keys(sig: np.ndarray, bands: int, rows: int) -> list[bytes]:
+    """A 128-bit digest per band; the band number salts it, so bands never mix."""
     return [
         hashlib.blake2b(
             sig[i * rows : (i + 1) * rows].tobytes(), digest_size=16, salt=i.to_bytes(2, "big")
@@ -93,6 +135,6 @@ def band_keys(normalized: Column, threshold: float, num_perm: int = NUM_PERM) ->
     @F.pandas_udf("array<binary>")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([_band_keys(t, bands, rows, num_perm) for t in texts])
+            yield pd.Series([_band_keys(s, bands, rows) for s in signatures(texts, num_perm)])
 
     return keys(normalized)

@@ -297,22 +297,27 @@ def disagreements(
     The majority runs over the families that answered; a tie goes to the label seen first
     (lowest ``seq``). Returns ``champion_label, other_family, other_label, count``.
     """
-    answered = df.where(F.col("label").isNotNull()).select(request_col, "family", "label", seq_col)
-    votes = answered.groupBy(request_col, "label").agg(
-        F.count("*").alias("n"), F.min(seq_col).alias("first_seq")
+    # Counted per family and label first: a request of any size is a few rows from here on.
+    cells = (
+        df.where(F.col("label").isNotNull())
+        .groupBy(request_col, "family", "label")
+        .agg(F.count("*").alias("n"), F.min(seq_col).alias("first_seq"))
+    )
+    votes = cells.groupBy(request_col, "label").agg(
+        F.sum("n").alias("n"), F.min("first_seq").alias("first_seq")
     )
     majority = votes.groupBy(request_col).agg(
         F.max_by("label", F.struct(F.col("n"), -F.col("first_seq"))).alias("champion_label")
     )
     return (
-        answered.join(majority, request_col)
+        cells.join(majority, request_col)
         .where(F.col("label") != F.col("champion_label"))
         .groupBy(
             "champion_label",
             F.col("family").alias("other_family"),
             F.col("label").alias("other_label"),
         )
-        .agg(F.count("*").alias("count"))
+        .agg(F.sum("n").alias("count"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,11 +47,8 @@ def resolve_versions(
     ``versions`` has ``run_id, model_name, version, seq``; the first match counts and families
     without one are left out.
     """
-    first = F.row_number().over(Window.partitionBy("run_id", "model_name").orderBy("seq"))
-    known = (
-        versions.withColumn("_rank", first)
-        .where(F.col("_rank") == 1)
-        .select(F.col("run_id").alias("_run"), F.col("model_name").alias("_model"), "version")
+    known = versions.groupBy(F.col("run_id").alias("_run"), F.col("model_name").alias("_model")).agg(
+        F.min_by("version", "seq").alias("version")
     )
     top = champion(best, metric=metric).select(F.col("family").alias("_champion"))
     return (

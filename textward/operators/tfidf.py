@@ -75,16 +75,27 @@ class TfidfModel:
     def size(self) -> int:
         return self.vocab.count()
 
-    def weights(self, df: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
-        """``id, term, idx, weight``; terms outside the vocabulary are ignored."""
+    def _known(self, terms: DataFrame) -> DataFrame:
+        """Terms of the vocabulary with their index and idf.
+
+        In a vocabulary too large to send to every task, the most frequent terms still are: joined
+        by a shuffle, each of them would bring a row from almost every text to one task.
+        """
         vocab = self.vocab.select("term", "idx", "idf")
         if self.size <= BROADCAST_TERMS:
-            vocab = F.broadcast(vocab)
+            return terms.join(F.broadcast(vocab), "term")
+        top = self.vocab.orderBy(F.desc("df"), "idx").limit(BROADCAST_TERMS)
+        frequent = F.broadcast(materialize(top.select("term", "idx", "idf"), "frequent-terms"))
+        others = vocab.join(frequent.select("term"), "term", "left_anti")
+        rare = terms.join(frequent.select("term"), "term", "left_anti").join(others, "term")
+        return terms.join(frequent, "term").unionByName(rare)
+
+    def weights(self, df: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
+        """``id, term, idx, weight``; terms outside the vocabulary are ignored."""
         raw = (1 + F.log(F.col("tf").cast("double"))) * F.col("idf")
         norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
         return (
-            doc_terms(df, id_col=id_col, text_col=text_col, ngrams=self.ngrams)
-            .join(vocab, "term")
+            self._known(doc_terms(df, id_col=id_col, text_col=text_col, ngrams=self.ngrams))
             .select(id_col, "term", "idx", raw.alias("_w"))
             .select(id_col, "term", "idx", (F.col("_w") / norm).alias("weight"))
         )
