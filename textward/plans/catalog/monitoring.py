@@ -31,8 +31,7 @@ def _seconds(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.unix_seconds(n) for n in names})
 
 
-def _finish(stream: DataFrame, name: str) -> DataFrame:
-    spark = stream.sparkSession
+def _finish(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     base = scratch_path(spark, name)
     start_table_sink(stream, f"{base}/rows", f"{base}/state", available_now=True).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
@@ -47,7 +46,7 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def counts_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _seconds(_finish(stream_counts(_stream(spark, sf)), "counts"), "window_start")
+    return _seconds(_finish(spark, stream_counts(_stream(spark, sf)), "counts"), "window_start")
 
 
 def _readable(hist: DataFrame) -> DataFrame:
@@ -60,7 +59,7 @@ def histograms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def histograms_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _readable(_finish(stream_histograms(_stream(spark, sf), width="1 day"), "histograms"))
+    return _readable(_finish(spark, stream_histograms(_stream(spark, sf), width="1 day"), "histograms"))
 
 
 def rates_5m(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +79,7 @@ def rates_stream(spark: SparkSession, sf: str) -> DataFrame:
         step_s=5 * MINUTE,
         sums_of=stream_trailing_sums,
     )
-    return _seconds(_finish(rates, "rates"), "eval_ts")
+    return _seconds(_finish(spark, rates, "rates"), "eval_ts")
 
 
 def quantiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,7 +123,8 @@ def _alert_stream(evaluate):
     """Streaming form of an alert's query."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return _active(_finish(evaluate(_stream(spark, sf), sums_of=stream_trailing_sums), "alert"))
+        evaluations = evaluate(_stream(spark, sf), sums_of=stream_trailing_sums)
+        return _active(_finish(spark, evaluations, "alert"))
 
     return query
 
@@ -161,10 +161,13 @@ def held_stream(spark: SparkSession, sf: str) -> DataFrame:
     for lo, hi in zip(cuts[:-1], cuts[1:]):
         part = evaluations.where((at >= lo) & (at < hi))
         part.coalesce(1).write.mode("append").parquet(base)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     stream = (
-        spark.readStream.schema(evaluations.schema).option("maxFilesPerTrigger", 1).parquet(base)
+        session.readStream.schema(evaluations.schema).option("maxFilesPerTrigger", 1).parquet(base)
     )
-    return _seconds(_finish(stream_hold(stream, HOUR), "held"), "eval_ts", "pending_since")
+    held_rows = _finish(spark, stream_hold(stream, HOUR), "held")
+    return _seconds(held_rows, "eval_ts", "pending_since")
 
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
