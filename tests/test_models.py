@@ -66,18 +66,18 @@ def test_boosted_on_embeddings(spark):
     assert {r.f1 for r in report.collect()} == {1.0}
 
 
-def make_scorer():
-    calls = []
-
-    def score(texts):
-        calls.append(len(texts))
-        assert len(texts) <= 32
-        return [len(t) / 100 for t in texts]
+def test_score_batches(spark):
+    # Defined here, so that it travels by value; executors cannot import a test module.
+    def make_scorer():
+        calls = []
 
-    return score
+        def score(texts):
+            calls.append(len(texts))
+            assert len(texts) <= 32
+            return [len(t) / 100 for t in texts]
 
+        return score
 
-def test_score_batches(spark):
     df = spark.range(100).select("id", F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
     got = models.score_batches(df, make_scorer)
     assert {r.id: r.score for r in got.collect()} == {i: i / 100 for i in range(100)}
