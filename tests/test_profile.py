@@ -59,6 +59,20 @@ def test_histogram(corpus):
         assert [got.get((label, i + 1), 0) for i in range(40)] == list(want)
 
 
+def test_histogram_over_the_data_range(spark, corpus):
+    got = profile.length_histogram(corpus, data_range=True).collect()
+    for label in (0, 1):
+        n = [len(r.text) for r in corpus.collect() if r.label == label]
+        want, _ = np.histogram(np.clip(n, 0, 1500), bins=40)
+        counts = {r.bin: r["count"] for r in got if r.label == label}
+        assert [counts.get(i + 1, 0) for i in range(40)] == list(want)
+    one = spark.createDataFrame([(0, "abc")] * 3, "label int, text string")
+    want, _ = np.histogram([3, 3, 3], bins=40)
+    assert [tuple(r) for r in profile.length_histogram(one, data_range=True).collect()] == [
+        (0, int(want.argmax()) + 1, 3)
+    ]
+
+
 def test_pivots(corpus):
     rows = corpus.collect()
     for r in profile.split_by_label(corpus).collect():

@@ -32,6 +32,16 @@ def test_best_and_champion(some):
     assert selection.champion(best).first().run_id == "d"
 
 
+def test_champion_tie_goes_to_the_family_seen_first(spark):
+    tied = runs(
+        spark,
+        ("a0", "a", "v1", 0, {"val_f1": 0.1}),
+        ("b1", "b", "v1", 1, {"val_f1": 0.9}),
+        ("a5", "a", "v1", 5, {"val_f1": 0.9}),
+    )
+    assert selection.champion(selection.best_runs(tied)).first().run_id == "a5"
+
+
 def test_no_runs(spark, some):
     assert selection.best_runs(some, "nope").count() == 0
     with pytest.raises(RuntimeError, match="nope"):

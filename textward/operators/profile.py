@@ -85,11 +85,25 @@ def length_histogram(
     text_col: str = "text",
     upper: int = 1500,
     bins: int = 40,
+    data_range: bool = False,
 ) -> DataFrame:
-    """Rows per length bin 1..``bins`` over [0, ``upper``]; longer texts fall in the last bin."""
-    clipped = F.least(F.length(text_col), F.lit(upper)).cast("double")
-    bin_no = F.least(F.width_bucket(clipped, F.lit(0.0), F.lit(float(upper)), F.lit(bins)), F.lit(bins))
-    return df.groupBy(by, bin_no.cast("int").alias("bin")).agg(F.count("*").alias("count"))
+    """Rows per length bin 1..``bins``; longer texts count as ``upper``.
+
+    The bins divide [0, ``upper``], so groups compare bin by bin; with ``data_range`` they divide
+    each group's own range instead. Lengths are counted first, at most ``upper + 1`` per group.
+    """
+    clipped = F.least(F.length(text_col), F.lit(upper)).alias("chars")
+    counts = df.select(by, clipped).groupBy(by, "chars").agg(F.count("*").alias("n"))
+    lo, hi = F.lit(0.0), F.lit(float(upper))
+    if data_range:
+        group = Window.partitionBy(by)
+        low, high = F.min("chars").over(group), F.max("chars").over(group)
+        # A single value gets a range of 1 around it.
+        pad = F.when(low == high, 0.5).otherwise(0.0)
+        counts = counts.withColumns({"_lo": low - pad, "_hi": high + pad})
+        lo, hi = F.col("_lo"), F.col("_hi")
+    bin_no = F.least(F.width_bucket(F.col("chars").cast("double"), lo, hi, F.lit(bins)), F.lit(bins))
+    return counts.groupBy(by, bin_no.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
 
 
 def length_percentiles(df: DataFrame, *, by: str = "label", text_col: str = "text") -> DataFrame:

@@ -16,7 +16,8 @@ def best_runs(
     """Best run per family: highest metric, the first run (lowest ``seq``) wins ties.
 
     ``runs`` has ``run_id, family, data_version, seq`` and a ``metrics`` map. Runs without a family
-    or without the metric are ignored. ``strict`` raises when no run is left.
+    or without the metric are ignored; ``first_seq`` is the first of a family's other runs.
+    ``strict`` raises when no run is left.
     """
     usable = runs if data_version is None else runs.where(F.col("data_version") == data_version)
     value = F.try_element_at("metrics", F.lit(metric))
@@ -26,8 +27,11 @@ def best_runs(
     order = F.struct(F.col(metric), -F.col("seq"))
     best = (
         usable.groupBy("family")
-        .agg(F.max_by(F.struct("run_id", metric, "seq"), order).alias("b"))
-        .select("family", "b.run_id", f"b.{metric}", "b.seq")
+        .agg(
+            F.max_by(F.struct("run_id", metric, "seq"), order).alias("b"),
+            F.min("seq").alias("first_seq"),
+        )
+        .select("family", "b.run_id", f"b.{metric}", "b.seq", "first_seq")
     )
     if strict and best.isEmpty():
         raise RuntimeError(f"no runs with a family and {metric} for data_version={data_version}")
@@ -35,8 +39,8 @@ def best_runs(
 
 
 def champion(best: DataFrame, *, metric: str = "val_f1") -> DataFrame:
-    """The best of the families' best runs (at most one row)."""
-    return best.orderBy(F.desc(metric), "seq").limit(1)
+    """The best of the families' best runs (at most one row); the family seen first wins ties."""
+    return best.orderBy(F.desc(metric), "first_seq").limit(1)
 
 
 def resolve_versions(

@@ -34,6 +34,9 @@ QUERIES = {
     "e09_length_histogram": lambda s, d: _int(
         profile.length_histogram(_labelled(s, d)), "label", "bin"
     ),
+    "e09_length_histogram_data_range": lambda s, d: _int(
+        profile.length_histogram(_labelled(s, d), data_range=True), "label", "bin"
+    ),
     "e10_length_percentiles": lambda s, d: _int(
         profile.length_percentiles(corpus(s, d)), "label", "median", "p95"
     ),
@@ -76,6 +79,13 @@ WITH {CORPUS}
 SELECT label::BIGINT AS label, least(floor(least(length(text), 1500) / 37.5)::BIGINT + 1, 40) AS bin,
        count(*) AS count
 FROM corpus WHERE label IS NOT NULL GROUP BY ALL""",
+    "e09_length_histogram_data_range": f"""
+WITH {CORPUS},
+c AS (SELECT label::BIGINT AS label, least(length(text), 1500) AS n FROM corpus WHERE label IS NOT NULL),
+r AS (SELECT *, min(n) OVER (PARTITION BY label) AS lo, max(n) OVER (PARTITION BY label) AS hi FROM c)
+SELECT label, least(CASE WHEN lo = hi THEN 21 ELSE (n - lo) * 40 // (hi - lo) + 1 END, 40)::BIGINT AS bin,
+       count(*) AS count
+FROM r GROUP BY ALL""",
     "e10_length_percentiles": f"""
 WITH {CORPUS}
 SELECT label::BIGINT AS label, floor(quantile_cont(length(text), 0.5))::BIGINT AS median,

@@ -83,14 +83,15 @@ QUERIES = {
 }
 
 _BEST = """best AS (
-  SELECT o_orderpriority AS family, o_orderkey::VARCHAR AS run_id, o_totalprice AS val_f1, o_orderkey AS seq
+  SELECT o_orderpriority AS family, o_orderkey::VARCHAR AS run_id, o_totalprice AS val_f1, o_orderkey AS seq,
+         min(o_orderkey) OVER (PARTITION BY o_orderpriority) AS first_seq
   FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 10 <> 0 AND o_custkey % 7 <> 0
   QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) = 1
 )"""
 
 ORACLES = {
     "j01_best_runs": f"WITH {_BEST} SELECT * FROM best",
-    "j02_champion": f"WITH {_BEST} SELECT * FROM best ORDER BY val_f1 DESC, seq LIMIT 1",
+    "j02_champion": f"WITH {_BEST} SELECT * FROM best ORDER BY val_f1 DESC, first_seq LIMIT 1",
     "j03_resolve_versions": f"""
 WITH {_BEST},
 v AS (
@@ -100,7 +101,7 @@ v AS (
                              ORDER BY l_linenumber * 1000000 + l_partkey) = 1
 )
 SELECT family, model_name, run_id, version,
-       family = (SELECT family FROM best ORDER BY val_f1 DESC, seq LIMIT 1) AS is_champion
+       family = (SELECT family FROM best ORDER BY val_f1 DESC, first_seq LIMIT 1) AS is_champion
 FROM best JOIN v USING (run_id) WHERE model_name = 'model-' || family""",
     "j04_pin_changes": """
 SELECT o_custkey::VARCHAR AS model_name, count(*) FILTER (o_orderstatus = 'O') AS pinned,
