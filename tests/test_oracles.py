@@ -17,6 +17,7 @@ def duck(request):
     return check_oracles.connect("/root/testdata/sf0.001")
 
 
+@pytest.mark.slow
 @pytest.mark.parametrize("name", sorted(catalog.all_oracles()))
 def test_query_equals_sql(spark, duck, small, name):
     got = catalog.all_queries()[name](spark, small).toPandas()
