@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textward.functions.pvalues import chi2_p_value, ks_p_value
 from textward.functions.text import CYRILLIC, char_features
 from textward.operators.ordered import integer_bucket, running_totals
+from textward.sources.store import materialize
 
 # Verdict thresholds and guards.
 LENGTH_THRESHOLD = 0.01
@@ -32,35 +33,51 @@ def family_names(production: DataFrame, family_col: str = "family") -> list[str]
     return sorted(r[0] for r in production.select(family_col).distinct().collect())
 
 
-def length_statistic(
-    production: DataFrame,
-    training: DataFrame,
-    families: list[str],
-    *,
-    family_col: str = "family",
-    text_col: str = "text",
+def _per_length(
+    side: DataFrame, by: list[Column], script: str, text_col: str
 ) -> DataFrame:
-    """Two-sample KS statistic of text length per family: ``family, ks_d``.
+    """Sums per ``by`` and text length: rows, letters, script characters, digits, charset bins.
 
-    The largest gap between the two running shares, over counts per distinct length. The gap is
-    compared in whole numbers and divided once at the end.
+    Everything the tests need is additive, so this one pass over the text serves all of them, and
+    its result has a row per distinct length.
     """
-    chars = F.length(text_col).alias("chars")
-    prod = (
-        production.select(F.col(family_col).alias("family"), chars)
-        .groupBy("family", "chars")
-        .agg(F.count("*").alias("p"))
-        .select("family", "chars", "p", F.lit(0).cast("bigint").alias("t"))
+    feats = char_features(text_col, script)
+    rows = side.select(*by, feats.alias("f")).select("*", F.col("f")[0].cast("int").alias("chars"))
+    share = F.coalesce(F.try_divide(F.col("f")[2], F.col("f")[0]), F.lit(0.0))
+    rows = rows.withColumn("r", share)
+    edges = zip(CHARSET_EDGES[:-1], CHARSET_EDGES[1:])
+    return rows.groupBy(*[c for c in rows.columns if c not in ("f", "r")]).agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.col("f")[i]).alias(f"s{i}") for i in range(4)],
+        *[
+            F.count_if((F.col("r") >= lo) & (F.col("r") < hi)).alias(f"b{i}")
+            for i, (lo, hi) in enumerate(edges)
+        ],
     )
-    every_family = F.explode(F.array(*[F.lit(f) for f in families]))
-    train = (
-        training.select(chars)
-        .groupBy("chars")
-        .agg(F.count("*").alias("t"))
-        .select(every_family.alias("family"), "chars", F.lit(0).cast("bigint").alias("p"), "t")
+
+
+def _totals(per_length: DataFrame, by: list[str]) -> DataFrame:
+    """Rows, charset bins and mean character features of a side."""
+    n = F.sum("n")
+    return per_length.groupBy(*by).agg(
+        n.alias("n"),
+        F.array(*[F.sum(f"b{i}") for i in range(_BINS)]).alias("bins"),
+        F.array(*[F.sum(f"s{i}") / n for i in range(4)]).alias("centroid"),
     )
+
+
+def _for_every(families: list[str]) -> Column:
+    return F.explode(F.array(*[F.lit(f) for f in families])).alias("family")
+
+
+def _largest_gap(prod: DataFrame, train: DataFrame, families: list[str]) -> DataFrame:
+    """``family, ks_d`` from counts ``n`` per family and length, and per length."""
+    none = F.lit(0).cast("bigint")
     counts = (
-        prod.unionAll(train)
+        prod.select("family", "chars", F.col("n").alias("p"), none.alias("t"))
+        .unionAll(
+            train.select(_for_every(families), "chars", none.alias("p"), F.col("n").alias("t"))
+        )
         .groupBy("family", "chars")
         .agg(F.sum("p").alias("p"), F.sum("t").alias("t"))
         .withColumn("_bucket", integer_bucket("chars"))
@@ -76,27 +93,23 @@ def length_statistic(
     return run.groupBy("family").agg(F.coalesce(F.try_divide(gap, whole), F.lit(0.0)).alias("ks_d"))
 
 
-def _side_summary(
-    side: DataFrame, by: list[Column], script: str, text_col: str
+def length_statistic(
+    production: DataFrame,
+    training: DataFrame,
+    families: list[str],
+    *,
+    family_col: str = "family",
+    text_col: str = "text",
 ) -> DataFrame:
-    """Rows, script-share bins and mean character features, from one pass over the text.
+    """Two-sample KS statistic of text length per family: ``family, ks_d``.
 
-    The features are projected first, so each is computed once and used in several aggregates.
+    The largest gap between the two running shares, over counts per distinct length. The gap is
+    compared in whole numbers and divided once at the end.
     """
-    feats = char_features(text_col, script)
-    rows = side.select(*by, feats.alias("f")).select("*", F.col("f")[0].alias("chars"))
-    ratio = F.coalesce(F.try_divide(F.col("f")[2], F.col("chars")), F.lit(0.0))
-    bins = [
-        F.count_if((F.col("r") >= lo) & (F.col("r") < hi))
-        for lo, hi in zip(CHARSET_EDGES[:-1], CHARSET_EDGES[1:])
-    ]
-    rows = rows.withColumn("r", ratio)
-    grouped = rows.groupBy("family") if by else rows.groupBy()
-    return grouped.agg(
-        F.count("*").alias("n"),
-        F.array(*bins).alias("bins"),
-        F.array(*[F.avg(F.col("f")[i]) for i in range(4)]).alias("centroid"),
-    )
+    chars, n = F.length(text_col).alias("chars"), F.count("*").alias("n")
+    prod = production.select(F.col(family_col).alias("family"), chars).groupBy("family", "chars")
+    train = training.select(chars).groupBy("chars")
+    return _largest_gap(prod.agg(n), train.agg(n), families)
 
 
 def chi_square(p_bins: Column, t_bins: Column) -> Column:
@@ -158,25 +171,24 @@ def drift_tests(
     script: str = CYRILLIC,
 ) -> DataFrame:
     """Statistics per family: ``family, n_production, n_training, ks_d, chi2, cosine_distance``."""
-    prod = _side_summary(production, [F.col(family_col).alias("family")], script, text_col)
-    every_family = F.explode(F.array(*[F.lit(f) for f in families]))
-    train = _side_summary(training, [], script, text_col).select(
-        every_family.alias("family"),
+    # Written once, a row per distinct length; left lazy, each use would read the text again.
+    family = F.col(family_col).alias("family")
+    prod = materialize(_per_length(production, [family], script, text_col), "drift-production")
+    train = materialize(_per_length(training, [], script, text_col), "drift-training")
+    reference = _totals(train, []).select(
+        _for_every(families),
         F.col("n").alias("n_training"),
         F.col("bins").alias("t_bins"),
         F.col("centroid").alias("t_centroid"),
     )
-    lengths = length_statistic(
-        production, training, families, family_col=family_col, text_col=text_col
-    )
     none = F.array(*[F.lit(0).cast("bigint")] * _BINS)
     return (
-        train.join(prod, "family", "left")
-        .join(lengths, "family", "left")
+        reference.join(_totals(prod, ["family"]), "family", "left")
+        .join(_largest_gap(prod, train, families), "family", "left")
         .select(
             "family",
             F.coalesce("n", F.lit(0)).cast("bigint").alias("n_production"),
-            "n_training",
+            F.coalesce("n_training", F.lit(0)).cast("bigint").alias("n_training"),
             F.coalesce("ks_d", F.lit(0.0)).alias("ks_d"),
             chi_square(F.coalesce("bins", none), F.col("t_bins")).alias("chi2"),
             cosine_distance(F.col("centroid"), F.col("t_centroid")).alias("cosine_distance"),

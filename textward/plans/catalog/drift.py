@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.operators import drift
-from textward.plans.catalog.tables import SCRIPT, SQL_SCRIPT, corpus, table
+from textward.plans.catalog.tables import SCRIPT, SQL_SCRIPT, table
 from textward.sources.readers import reference_sample
 
 FAMILIES = ["fam0", "fam1", "fam2"]
@@ -15,7 +15,7 @@ MAX_TRAINING = 300
 
 def _numbered(spark: SparkSession, sf: str) -> DataFrame:
     number = F.substring("source", 4, 9).cast("int")
-    return corpus(spark, sf).select("doc_id", "text", number.alias("number"))
+    return table(spark, sf, "documents").select("doc_id", "text", number.alias("number"))
 
 
 def production(spark: SparkSession, sf: str) -> DataFrame:

@@ -96,7 +96,7 @@ def quantiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded(values: DataFrame) -> DataFrame:
-    return _seconds(values, "eval_ts").withColumn("value", F.round("value", 6))
+    return _seconds(values, "eval_ts").withColumn("value", F.round("value", 9))
 
 
 def _active(evaluations: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ hit AS (
 ),
 quantile AS (
   SELECT t.eval_s, t.family,
-         coalesce(low + (le - low) * ({q}::DOUBLE * t.total - below) / (cum - below), {edges[-1]}::DOUBLE) AS value
+         coalesce(low + (le - low) * (({q}::DOUBLE * t.total - below) / (cum - below)), {edges[-1]}::DOUBLE) AS value
   FROM totals t LEFT JOIN hit USING (eval_s, family)
 )"""
 
@@ -344,25 +344,25 @@ FROM trailing_rows GROUP BY ALL""",
     "k04_bucket_quantile": f"""
 WITH {PREDICTIONS}, {_sql_trailing(HOUR, 5 * MINUTE)},
 {_sql_quantile('confidence', monitor.CONFIDENCE_EDGES, 0.95)}
-SELECT eval_s AS eval_ts, family, round(value, 6) AS value FROM quantile""",
+SELECT eval_s AS eval_ts, family, round(value, 9) AS value FROM quantile""",
     "k05_high_error_rate": f"""
 WITH {PREDICTIONS}, {_sql_trailing(5 * MINUTE, MINUTE)}
 SELECT 'high_error_rate' AS alert, namespace AS series, eval_s AS eval_ts,
-       round(count(*) FILTER (is_error) / count(*), 6) AS value
+       round(count(*) FILTER (is_error) / count(*), 9) AS value
 FROM trailing_rows GROUP BY ALL HAVING count(*) FILTER (is_error) / count(*) > 0.05""",
     "k06_high_latency": f"""
 WITH {PREDICTIONS}, {_sql_trailing(5 * MINUTE, MINUTE)},
 {_sql_quantile('latency_s', monitor.LATENCY_EDGES, 0.95)}
-SELECT 'high_latency' AS alert, family AS series, eval_s AS eval_ts, round(value, 6) AS value
+SELECT 'high_latency' AS alert, family AS series, eval_s AS eval_ts, round(value, 9) AS value
 FROM quantile WHERE value > 0.5""",
     "k07_confidence_collapse": f"""
 WITH {PREDICTIONS}, {_sql_trailing(HOUR, MINUTE)},
 {_sql_quantile('confidence', monitor.CONFIDENCE_EDGES, 0.5)}
-SELECT 'confidence_collapse' AS alert, family AS series, eval_s AS eval_ts, round(value, 6) AS value
+SELECT 'confidence_collapse' AS alert, family AS series, eval_s AS eval_ts, round(value, 9) AS value
 FROM quantile WHERE value < 0.6""",
     "k08_class_imbalance": f"""
 WITH {PREDICTIONS}, {_IMBALANCE}
-SELECT alert, series, eval_ts, round(value, 6) AS value FROM imbalance""",
+SELECT alert, series, eval_ts, round(value, 9) AS value FROM imbalance""",
     "k09_drift_alert": f"""
 WITH {PREDICTIONS},
 last AS (
