@@ -18,9 +18,9 @@ def test_record_json(spark, tmp_path):
     path.write_text(json.dumps(rows))
     got = readers.read_record_json(spark, str(path)).collect()
     assert [(r.text, r.label, r.source, r.subcategory, r.lang) for r in got] == [
-        ("раз", 1, "dmtrdr", "adversarial_suffix", "ru"),
-        ("два", 1, "dmtrdr", "virtualization", "ru"),
-        ("три", 1, "dmtrdr", None, "ru"),
+        ("раз", 1, "dmtrdr_ru", "adversarial_suffix", "ru"),
+        ("два", 1, "dmtrdr_ru", "virtualization", "ru"),
+        ("три", 1, "dmtrdr_ru", None, "ru"),
     ]
     assert [tuple(r.meta) for r in got] == [("one", "s"), ("", ""), ("", "t")]
 

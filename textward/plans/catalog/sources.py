@@ -337,7 +337,7 @@ WHERE length(stripped) BETWEEN 30 AND 2000 AND n_letters > 0
 
 ORACLES = {
     "a01_record_json": """
-SELECT doc_id, text, 1 AS label, 'dmtrdr' AS source, lang AS subcategory, 'ru' AS lang,
+SELECT doc_id, text, 1 AS label, 'dmtrdr_ru' AS source, lang AS subcategory, 'ru' AS lang,
        CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS prompt_en, source AS orig_source
 FROM documents""",
     "a02_prompt_csv": """
@@ -345,8 +345,8 @@ SELECT doc_id, text, 1 AS label, 'hivetrace_sysprompt' AS source,
        'sub' || (doc_id % 4)::VARCHAR AS subcategory, 'fr' AS lang, source AS category
 FROM documents WHERE lang = 'fr'""",
     "a03_safety_parquet": """
-SELECT d.doc_id, d.text, l.toxic AS label, 'wildguardmix' AS source, d.source AS subcategory,
-       'fr' AS lang, 'wildguardmix' AS orig_source
+SELECT d.doc_id, d.text, l.toxic AS label, 'wildguardmix_ru' AS source, d.source AS subcategory,
+       'fr' AS lang, 'allenai/wildguardmix' AS orig_source
 FROM documents d JOIN labels l USING (doc_id) WHERE d.lang = 'fr'""",
     "a04_benign_lines": "WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, "
     "generate_subscripts(string_split(text, chr(10)), 1)::INT - 1 AS line_no FROM documents),"

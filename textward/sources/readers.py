@@ -15,6 +15,14 @@ from textward.functions import text as tx
 from textward.operators.sampling import sample_exact
 from textward.sources.schema import canonical
 
+# The source tags that downstream tables group by, and one data set id.
+RECORD_SOURCE = "dmtrdr_ru"
+PROMPT_SOURCE = "hivetrace_sysprompt"
+SAFETY_SOURCE = "wildguardmix_ru"
+SAFETY_DATASET = "allenai/wildguardmix"
+VARIANT_SOURCE = "hivetracered_attack"
+BENIGN_SOURCE = "benign_wiki"
+
 RECORD_SCHEMA = "prompt_ru string, prompt_en string, class string, source string"
 PROMPT_CSV_SCHEMA = "prompt string, category string, language string, subcategory string"
 SAFETY_SCHEMA = (
@@ -35,7 +43,7 @@ def read_record_json(
     spark: SparkSession,
     path: str,
     *,
-    source: str = "dmtrdr",
+    source: str = RECORD_SOURCE,
     lang: str = "ru",
     multi_line: bool = True,
     keep: str = "",
@@ -66,7 +74,7 @@ def read_prompt_csv(
     spark: SparkSession,
     path: str,
     *,
-    source: str = "hivetrace_sysprompt",
+    source: str = PROMPT_SOURCE,
     lang: str = "ru",
     multi_line: bool = True,
     keep: str = "",
@@ -93,7 +101,7 @@ def read_safety_parquet(
     spark: SparkSession,
     path: str,
     *,
-    source: str = "wildguardmix",
+    source: str = SAFETY_SOURCE,
     lang: str = "ru",
     on_null_label: str = "fail",
     keep: str = "",
@@ -122,7 +130,7 @@ def read_safety_parquet(
         source=F.lit(source),
         subcategory=F.col("prompt_harm_category"),
         lang=F.lit(lang),
-        meta=F.struct(F.lit(source).alias("orig_source")),
+        meta=F.struct(F.lit(SAFETY_DATASET).alias("orig_source")),
         keep=_names(keep),
     )
 
@@ -131,7 +139,7 @@ def benign_lines(
     lines: DataFrame,
     line_col: str = "value",
     *,
-    source: str = "benign_wiki",
+    source: str = BENIGN_SOURCE,
     lang: str = "ru",
     min_chars: int = 30,
     max_chars: int = 2000,
@@ -186,8 +194,13 @@ def article_sample(
     )
 
 
-def parse_variants(variants: DataFrame, *, source: str = "hivetracered_attack", lang: str = "ru",
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_variants(
+    variants: DataFrame,
+    *,
+    source: str = VARIANT_SOURCE,
+    lang: str = "ru",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Generated variants, all positive; the subcategory is the template's category."""
     return canonical(
         variants,
