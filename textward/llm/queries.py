@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textward.llm import bpe, chat, mixing, quality, token_counts
+from textward.llm import (
+    bpe,
+    chat,
+    lines,
+    maxscore,
+    minhash,
+    mixing,
+    quality,
+    substrings,
+    token_counts,
+    vectorindex,
+)
 from textward.llm.common import n_words, table
 from textward.sources.store import materialize
 
 
-def _sha(column) -> F.Column:
+def _sha(column: Column | str) -> Column:
     return F.sha2(column, 256)
 
 
@@ -49,6 +60,16 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
+def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), length=2, threshold=0.8)
+
+
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """``taken`` counts the rows that the mix holds of the document, times its size."""
     mix = mixing.mix(table(spark, sf, "documents"), n_words(F.col("text")))
@@ -61,30 +82,59 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _held_out(doc_id) -> F.Column:
+def _held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 THRESHOLD = 0.3
 
 
-def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score`` of every row; rows that are held out are not learnt from."""
-    stats = materialize(
-        docs.select("doc_id", quality.statistics("text").alias("stats")), "quality-statistics"
-    )
+def _fitted(stats: DataFrame, labels: DataFrame) -> quality.Discriminant:
+    """Learnt from ``doc_id, stats`` of the labelled rows that aren't held out."""
     learnt = labels.select("doc_id", "quality").where(~_held_out(F.col("doc_id")))
-    model = quality.fit(stats.join(learnt, "doc_id"), stats_col="stats", label_col="quality")
-    return stats.select(
+    return quality.fit(stats.join(learnt, "doc_id"), stats_col="stats", label_col="quality")
+
+
+def quality_score(docs: DataFrame, labels: DataFrame) -> Column:
+    """Score of ``text``, fitted on the labelled rows of ``docs`` that aren't held out."""
+    stats = docs.select("doc_id", quality.statistics("text").alias("stats"))
+    model = _fitted(materialize(stats, "quality-statistics"), labels)
+    return quality.score(quality.statistics("text"), model)
+
+
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", quality.statistics("text").alias("stats"))
+    stats = materialize(docs, "quality-statistics")
+    model = _fitted(stats, table(spark, sf, "labels"))
+    scored = stats.select(
         "doc_id",
         _held_out(F.col("doc_id")).alias("held_out"),
         quality.score(F.col("stats"), model).alias("score"),
     )
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
-    scored = scored_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def op6_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of each document, how many were removed, and the digest of the rest."""
+    return lines.dedup_lines(table(spark, sf, "documents")).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        _sha("_kept").alias("kept_sha256"),
+    )
+
+
+def op7_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectorindex.near_duplicates(table(spark, sf, "embeddings"), least=0.9)
+
+
+def op9_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), maxscore.quantized(F.col("embedding")).alias("weights")
+    )
+    return maxscore.top_k(vectors, F.col("id") % 50 == 0, k=5).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
 
 
 def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,12 +183,149 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_char
 FROM joined
 """
 
+OP3_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM docs)
+), firsts AS (
+  SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), copied AS (
+  SELECT doc_id, list(i) AS starts FROM windows JOIN firsts USING (h) WHERE first < doc_id
+  GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(s, s + 49)) AS i
+  FROM (SELECT doc_id, unnest(starts) AS s FROM copied)
+), places AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(
+           list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM docs
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS v FROM sets
+), rated AS (
+  SELECT *, count(*) OVER (PARTITION BY v) AS df FROM shingles
+), heads AS (
+  SELECT doc_id, n, v FROM rated
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY df, v) <= n - ceil(0.8 * n - 1e-9) + 1
+), candidates AS (
+  SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM heads a JOIN heads b USING (v)
+  WHERE a.doc_id < b.doc_id AND a.n * 0.79 < b.n AND b.n * 0.79 < a.n
+), links AS (
+  SELECT x, y FROM candidates JOIN shingles a ON a.doc_id = x JOIN shingles b ON b.doc_id = y AND a.v = b.v
+  GROUP BY x, y, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT r.doc_id, b.y FROM reached r JOIN both_ways b ON b.x = r.other
+), components AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN components USING (doc_id)
+"""
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
+), rolled AS (
+  SELECT *, list_transform(generate_series(1, len(ls) - 1), lambda i: md5(md5(ls[i]) || md5(ls[i + 1]))) AS g
+  FROM docs
+), cut AS (
+  SELECT *, [0] || list_filter(generate_series(2, len(ls) - 2),
+                               lambda i: g[i] < g[i - 1] AND g[i] <= g[i + 1]) AS starts
+  FROM rolled
+), chunks AS (
+  SELECT doc_id, ls, s, coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY s), len(ls)) AS e
+  FROM (SELECT doc_id, ls, unnest(starts) AS s FROM cut)
+), pieces AS (
+  SELECT doc_id, s, e - s AS n, array_to_string(ls[s + 1 : e], chr(10)) AS piece FROM chunks
+), marked AS (
+  SELECT *, n >= 2 AND row_number() OVER (PARTITION BY piece, n >= 2 ORDER BY doc_id, s) > 1 AS gone
+  FROM pieces
+), kept AS (
+  SELECT doc_id, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS n_removed,
+         coalesce(string_agg(piece, chr(10) ORDER BY s) FILTER (WHERE NOT gone), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines,
+       coalesce(n_removed, 0) AS n_removed, sha256(k.text) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+OP7_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), counts AS (
+  SELECT x AS vec_id, count(*) AS n_links FROM links GROUP BY x
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.vec_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), components AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN counts USING (vec_id)
+"""
+
+OP9_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q, vectors c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op3_substrings": op3_substrings,
+    "op4_minhash": op4_minhash,
     "op5_mixing": op5_mixing,
     "op8_quality": op8_quality,
+    "op6_lines": op6_lines,
+    "op7_vectors": op7_vectors,
+    "op9_topk": op9_topk,
     "op10_chat": op10_chat,
 }
 
-ORACLES = {"op10_chat": OP10_SQL}
+ORACLES = {
+    "op3_substrings": OP3_SQL,
+    "op4_minhash": OP4_SQL,
+    "op6_lines": OP6_SQL,
+    "op7_vectors": OP7_SQL,
+    "op9_topk": OP9_SQL,
+    "op10_chat": OP10_SQL,
+}
