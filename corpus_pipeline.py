@@ -1,19 +1,94 @@
-"""Documents to a token corpus, as stages that each apply one operator."""
+"""Documents to a token corpus: stages that each apply one operator.
+
+A stage reads all rows that its predecessor kept and returns the columns of documents; the last one
+returns token ids. Rows are whole documents throughout; a document that the mix takes twice is two
+rows from there on.
+"""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textward.llm import bpe, lines, minhash, mixing, queries
+from textward.llm.common import n_words, table
+from textward.plans.session import ship_package
+from textward.sources.store import materialize
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the table's labels."""
+    ship_package(spark)
+    score = queries.quality_score(docs, table(spark, sf_dir, "labels"))
+    return docs.where(score >= queries.THRESHOLD)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated chunks of lines; one that had nothing else goes."""
+    ship_package(spark)
+    done = lines.dedup_lines(docs)
+    emptied = (F.col("_n_removed") > 0) & (F.length(F.trim("_kept")) == 0)
+    text = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("bigint")}
+    changed = F.col("_n_removed") > 0
+    return done.where(~emptied).select(
+        *[
+            F.when(changed, text[c]).otherwise(F.col(c)).alias(c) if c in text else F.col(c)
+            for c in docs.columns
+        ]
+    )
+
 
-STAGES: list = []
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, similarity 0.8)."""
+    ship_package(spark)
+    found = minhash.near_duplicates(docs)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them, in the order of its shards."""
+    ship_package(spark)
+    mix = mixing.mix(docs, n_words(F.col("text")), keep=docs.columns)
+    return mix.rows().select(*docs.columns)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and whether decoding them gives the text back."""
+    ship_package(spark)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = docs.withColumn("ids", bpe.encode("text", path, public_tokenizers.PATTERN))
+    back = ids.withColumn("decoded", bpe.decode("ids", path))
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return back.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        same.alias("round_trip"),
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near_duplicates", near_stage),
+    ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
+]
+
+# Fitting, sketches and tokens have no counterpart in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textward.sources.store import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
