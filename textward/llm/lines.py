@@ -18,46 +18,89 @@ repeated rows (equal id and text) are one document and lose the same lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textward.sources.store import materialize
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, though the body's lambdas use it per element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def chunk_starts(lines: Column) -> Column:
-    """Places (from 0) of the chunks' first lines, ``array<int>``."""
+    """Places (from 0) of the chunks' first lines, ``array<int>``; ``lines`` is a bound array."""
     n = F.size(lines)
-    hashes = F.transform(lines, F.md5)
-    # At i: the hash between lines i and i + 1.
-    rolling = lambda hs: F.transform(
-        F.slice(hs, 1, F.greatest(n - 1, F.lit(0))),
-        lambda h, i: F.md5(F.concat(h, F.get(hs, i + 1))),
-    )
     inner = F.when(n >= 4, F.sequence(F.lit(2), n - 2)).otherwise(F.array().cast("array<int>"))
-    # Bound once, as a one-element array, so that it isn't computed again for every line.
-    found = F.transform(
-        F.array(rolling(hashes)),
-        lambda g: F.filter(
-            inner, lambda i: (F.get(g, i - 1) < F.get(g, i - 2)) & (F.get(g, i - 1) <= F.get(g, i))
+
+    def rolling(hashes: Column) -> Column:
+        # At i: the hash between lines i and i + 1.
+        return F.transform(
+            F.slice(hashes, 1, F.greatest(n - 1, F.lit(0))),
+            lambda h, i: F.md5(F.concat(h, F.get(hashes, i + 1))),
+        )
+
+    def least(between: Column) -> Column:
+        at = lambda i: F.get(between, i)
+        return F.filter(inner, lambda i: (at(i - 1) < at(i - 2)) & (at(i - 1) <= at(i)))
+
+    found = _let(F.transform(lines, F.md5), lambda hashes: _let(rolling(hashes), least))
+    return F.concat(F.array(F.lit(0)), found)
+
+
+def chunks(lines: Column) -> Column:
+    """``array<struct<no, start, size>>`` of a bound array of lines."""
+    return _let(
+        chunk_starts(lines),
+        lambda starts: F.transform(
+            starts,
+            lambda s, i: F.struct(
+                i.alias("no"),
+                s.alias("start"),
+                (F.coalesce(F.get(starts, i + 1), F.size(lines)) - s).alias("size"),
+            ),
         ),
     )
-    return F.concat(F.array(F.lit(0)), F.element_at(found, 1))
 
 
-def chunks(starts: Column, n: Column) -> Column:
-    """``array<struct<no, start, size>>`` from the starts and the number of lines."""
+def _piece(lines: Column, chunk: Column) -> Column:
+    return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["size"]), "\n")
+
+
+def _digests(lines: Column) -> Column:
+    """The chunks of two lines or more with their digests."""
     return F.transform(
-        starts,
-        lambda s, i: F.struct(
-            i.alias("no"),
-            s.alias("start"),
-            (F.coalesce(F.get(starts, i + 1), n) - s).alias("size"),
+        F.filter(chunks(lines), lambda c: c["size"] >= 2),
+        lambda c: F.struct(
+            c["no"].alias("no"),
+            c["start"].alias("start"),
+            c["size"].alias("size"),
+            F.unhex(F.md5(_piece(lines, c))).alias("digest"),
         ),
     )
 
 
-def _piece(lines: Column, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["size"]), "\n")
+def _without(lines: Column, gone: Column) -> Column:
+    """The text of the lines outside the ranges ``array<struct<start, size>>``, in order."""
+
+    def rest(ranges: Column) -> Column:
+        # Parts start where a removed range ends, the first one at the top.
+        borders = F.concat(
+            F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"))), ranges
+        )
+        return F.transform(
+            borders,
+            lambda r, i: F.slice(
+                lines,
+                r["start"] + r["size"] + 1,
+                F.coalesce(F.get(ranges, i)["start"], F.size(lines)) - r["start"] - r["size"],
+            ),
+        )
+
+    return F.array_join(F.flatten(_let(F.array_sort(gone), rest)), "\n")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,25 +112,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
     several = F.col(text_col).isNotNull() & F.col(text_col).contains("\n")
     cut = docs.where(several).select(
-        F.col(id_col).alias("id"), key.alias("key"), lines.alias("lines")
-    ).withColumn("starts", chunk_starts(F.col("lines")))
-    listed = cut.select(
-        "id",
-        "key",
-        F.transform(
-            F.filter(chunks(F.col("starts"), F.size("lines")), lambda c: c["size"] >= 2),
-            lambda c: F.struct(
-                c["no"].alias("no"),
-                c["start"].alias("start"),
-                c["size"].alias("size"),
-                F.unhex(F.md5(_piece(F.col("lines"), c))).alias("digest"),
-            ),
-        ).alias("cs"),
-    )
-    found = materialize(
-        listed.select("id", "key", F.explode("cs").alias("c")).select("id", "key", "c.*"),
-        "line-chunks",
+        F.col(id_col).alias("id"), key.alias("key"), F.explode(_let(lines, _digests)).alias("c")
     )
+    found = materialize(cut.select("id", "key", "c.*"), "line-chunks")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key", "no")
     index = (
         found.groupBy("digest")
@@ -101,26 +128,32 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .agg(
             F.collect_set(
                 F.struct("no", "start", "size", "digest", (place != F.col("first")).alias("again"))
-            ).alias("marks")
+            ).alias("_line_marks")
         )
-        .withColumnRenamed("key", "_key")
+        .withColumnRenamed("key", "_line_other")
     )
     joined = materialize(
-        docs.withColumn("_own", key).join(marks, F.col("_own") == F.col("_key"), "left").drop("_key"),
+        docs.withColumn("_line_key", key).join(marks, F.col("_line_key") == F.col("_line_other"), "left").drop("_line_other"),
         "line-marked",
     )
 
     # Comparing bytes: digests whose chunks aren't all alike.
-    marked = joined.where("marks IS NOT NULL").select(
+    marked = joined.where("_line_marks IS NOT NULL").select(
         F.col(id_col).alias("id"),
-        F.col("_own").alias("key"),
-        F.split(F.col(text_col), "\n", -1).alias("lines"),
-        F.explode("marks").alias("m"),
-    )
-    pieces = marked.select(
-        "id", "key", F.col("m.no").alias("no"), F.col("m.digest").alias("digest"),
-        _piece(F.col("lines"), F.col("m")).alias("piece"),
+        F.col("_line_key").alias("key"),
+        F.explode(
+            _let(
+                lines,
+                lambda ls: F.transform(
+                    "_line_marks",
+                    lambda m: F.struct(
+                        m["no"].alias("no"), m["digest"].alias("digest"), _piece(ls, m).alias("piece")
+                    ),
+                ),
+            )
+        ).alias("m"),
     )
+    pieces = marked.select("id", "key", "m.*")
     alike = pieces.groupBy("digest", "piece").agg(F.min(place).alias("first"))
     unlike = alike.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     unlike = materialize(unlike, "line-unlike")
@@ -128,41 +161,31 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         pieces.join(unlike, "digest")
         .join(alike.join(unlike, "digest"), ["digest", "piece"])
         .groupBy("key")
-        .agg(F.collect_set(F.struct("no", (place != F.col("first")).alias("again"))).alias("x"))
-        .withColumnRenamed("key", "_key"),
+        .agg(F.collect_set(F.struct("no", (place != F.col("first")).alias("again"))).alias("_line_x"))
+        .withColumnRenamed("key", "_line_other"),
         "line-exceptions",
     )
     # A table without rows but for colliding digests, which Spark broadcasts by its size.
-    decided = joined.join(exceptions, F.col("_own") == F.col("_key"), "left").drop("_key", "_own")
-    excepted = F.transform(F.coalesce("x", F.array().cast("array<struct<no:int,again:boolean>>")), lambda e: e["no"])
-    gone = F.filter(
-        "marks",
-        lambda m: F.when(
-            F.array_contains(excepted, m["no"]),
-            F.exists("x", lambda e: (e["no"] == m["no"]) & e["again"]),
-        ).otherwise(m["again"]),
-    )
-    own_lines = F.split(F.col(text_col), "\n", -1)
-    # The lines between removed ranges, in order: each removed range ends where the next part starts.
-    ranges = F.array_sort(F.transform("_gone", lambda m: F.struct(m["start"].alias("s"), m["size"].alias("n"))))
-    borders = F.concat(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))), F.col("_ranges"))
-    parts = F.transform(
-        borders,
-        lambda r, i: F.slice(
-            F.col("_lines"),
-            r["s"] + r["n"] + 1,
-            F.coalesce(F.get(F.col("_ranges"), i)["s"], F.size("_lines")) - r["s"] - r["n"],
+    decided = joined.join(exceptions, F.col("_line_key") == F.col("_line_other"), "left").drop("_line_other", "_line_key")
+    none = F.array().cast("array<struct<no:int,again:boolean>>")
+    excepted = F.transform(F.coalesce("_line_x", none), lambda e: e["no"])
+    gone = F.transform(
+        F.filter(
+            "_line_marks",
+            lambda m: F.when(
+                F.array_contains(excepted, m["no"]),
+                F.exists("_line_x", lambda e: (e["no"] == m["no"]) & e["again"]),
+            ).otherwise(m["again"]),
         ),
+        lambda m: F.struct(m["start"].alias("start"), m["size"].alias("size")),
     )
-    removed = F.aggregate("_ranges", F.lit(0), lambda s, r: s + r["n"])
-    some = F.coalesce(F.size("_ranges") > 0, F.lit(False))
-    return (
-        decided.withColumn("_gone", gone)
-        .withColumn("_ranges", ranges)
-        .withColumn("_lines", own_lines)
-        .withColumn("_kept", F.when(some, F.array_join(F.flatten(parts), "\n")).otherwise(F.col(text_col)))
-        .withColumn("_n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint"))
-        .withColumn("_n_lines", F.when(F.col(text_col).isNull(), F.lit(0).cast("bigint")).otherwise(F.col("_n_lines")))
-        .withColumn("_n_removed", F.when(some, removed).otherwise(F.lit(0)).cast("bigint"))
-        .drop("marks", "x", "_gone", "_ranges", "_lines")
+    some = F.coalesce(F.size("_line_gone") > 0, F.lit(False))
+    kept = _let(lines, lambda ls: _without(ls, F.col("_line_gone")))
+    n_lines = F.coalesce(F.length(text_col) - F.length(F.replace(text_col, F.lit("\n"))) + 1, F.lit(0))
+    removed = F.aggregate("_line_gone", F.lit(0), lambda s, m: s + m["size"])
+    return decided.withColumn("_line_gone", gone).select(
+        *docs.columns,
+        F.when(some, kept).otherwise(F.col(text_col)).alias("_kept"),
+        n_lines.cast("bigint").alias("_n_lines"),
+        F.when(some, removed).otherwise(F.lit(0)).cast("bigint").alias("_n_removed"),
     )
