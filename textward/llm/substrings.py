@@ -80,11 +80,18 @@ def chosen_blocks(rolling: _Rolling, hashes: np.ndarray, window: int, block: int
     return blocks, choice + np.arange(len(choice))
 
 
+def _mark(digest: str) -> int:
+    """A text's 8-byte name in the tables of blocks and windows."""
+    return int.from_bytes(bytes.fromhex(digest[:16]), "big", signed=True)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-_PARSED = "struct<n_words bigint, digest string, blocks array<bigint>, places array<int>>"
+_PARSED = (
+    "struct<n_words bigint, digest string, mark bigint, blocks array<bigint>, places array<int>>"
+)
 
 
 def _parsed(text: Column, window: int, block: int) -> Column:
@@ -111,30 +118,31 @@ def _parsed(text: Column, window: int, block: int) -> Column:
                 [
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.string()),
+                    pa.array(map(_mark, digests), pa.int64()),
                     pa.array(blocks, pa.list_(pa.int64())),
                     pa.array(places, pa.list_(pa.int32())),
                 ],
-                names=["n_words", "digest", "blocks", "places"],
+                names=["n_words", "digest", "mark", "blocks", "places"],
             )
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, _PARSED)(text)
 
 
-def _windows(text: Column, digest: Column, places: Column, window: int, block: int) -> Column:
+def _windows(text: Column, mark: Column, places: Column, window: int, block: int) -> Column:
     """``array<struct<start, hashes>>``: runs of windows whose chosen block is in ``places``.
 
-    Null if the text isn't the one with the digest.
+    Null if the text isn't the one with the mark.
     """
 
     def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         rolling = per_worker("rolling", _Rolling)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("hashes", pa.list_(pa.int64()))]))
-        for texts, digests, shared in columns:
+        for texts, marks, shared in columns:
             out = []
-            for text, want, at in zip(texts.to_pylist(), digests.to_pylist(), shared.to_pylist()):
+            for text, want, at in zip(texts.to_pylist(), marks.to_pylist(), shared.to_pylist()):
                 words = (text or "").encode().split()
-                if len(words) < window or _digest(words) != want:
+                if len(words) < window or _mark(_digest(words)) != want:
                     out.append(None)
                     continue
                 hashes = _word_hashes(words)
@@ -154,7 +162,7 @@ def _windows(text: Column, digest: Column, places: Column, window: int, block: i
         "columns": Iterator[tuple[pa.Array, ...]],
         "return": Iterator[pa.Array],
     }
-    return F.arrow_udf(run, "array<struct<start:int,hashes:array<bigint>>>")(text, digest, places)
+    return F.arrow_udf(run, "array<struct<start:int,hashes:array<bigint>>>")(text, mark, places)
 
 
 _CUT = "struct<spans array<struct<start:int,end:int>>, n_removed bigint, kept string>"
@@ -214,54 +222,56 @@ def dedup_substrings(
     )
     long_enough = parsed.where((F.col("n_words") >= window) & F.col("id").isNotNull())
     firsts = long_enough.groupBy("digest").agg(F.min("id").alias("first"))
-    texts = long_enough.join(firsts, "digest").where("id = first").drop("first", "n_words")
+    texts = long_enough.join(firsts, "digest").where("id = first")
 
-    held = texts.select("id", "digest", F.explode(F.arrays_zip("blocks", "places")).alias("b")).select(
-        "id", "digest", F.col("b.blocks").alias("block"), F.col("b.places").alias("place")
+    held = texts.select("id", "mark", F.explode(F.arrays_zip("blocks", "places")).alias("b")).select(
+        "id", "mark", F.col("b.blocks").alias("block"), F.col("b.places").alias("place")
     )
-    index = held.groupBy("block").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+    index = held.groupBy("block").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"))
     shared = index.where("lo < hi").select("block")
-    factors = held.join(shared, "block", "left_semi").groupBy("id", "digest").agg(
+    factors = held.join(shared, "block", "left_semi").groupBy("id", "mark").agg(
         F.collect_set("place").alias("places")
     )
     open_texts = materialize(
         source.join(factors, "id").select(
             "id",
-            "digest",
+            "mark",
             "text",
-            _windows(F.col("text"), F.col("digest"), F.col("places"), window, block).alias("runs"),
+            _windows(F.col("text"), F.col("mark"), F.col("places"), window, block).alias("runs"),
         ).where("runs IS NOT NULL"),
         "substr-windows",
     )
-    windows = open_texts.select("id", "digest", F.explode("runs").alias("r")).select(
-        "id", "digest", F.posexplode("r.hashes").alias("i", "hash"), F.col("r.start").alias("start")
+    windows = open_texts.select("id", "mark", F.explode("runs").alias("r")).select(
+        "id", "mark", F.posexplode("r.hashes").alias("i", "hash"), F.col("r.start").alias("start")
     )
     origin = (
         windows.groupBy("hash")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
         .where("first < last")
+        .select("hash", "first")
     )
     copied = (
-        windows.join(origin, "hash")
+        windows.select("id", "mark", "hash", (F.col("start") + F.col("i")).alias("at"))
+        .join(origin, "hash")
         .where("first < id")
-        .groupBy("id", "digest")
-        .agg(F.collect_set(F.col("start") + F.col("i")).alias("starts"))
+        .groupBy("id", "mark")
+        .agg(F.collect_set("at").alias("starts"))
     )
     cut = (
-        open_texts.select("id", "digest", "text")
-        .dropDuplicates(["id", "digest"])
-        .join(copied, ["id", "digest"])
-        .select("id", "digest", _cut(F.col("text"), F.col("starts"), window).alias("c"))
-        .select("id", "digest", "c.*")
+        open_texts.select("id", "mark", "text")
+        .dropDuplicates(["id", "mark"])
+        .join(copied, ["id", "mark"])
+        .select("id", "mark", _cut(F.col("text"), F.col("starts"), window).alias("c"))
+        .select("id", "mark", "c.*")
     )
     first = firsts.withColumnRenamed("digest", "_digest")
-    rows = parsed.select("id", "digest", "n_words").join(
+    rows = parsed.select("id", "digest", "mark", "n_words").join(
         first, (F.col("digest") == F.col("_digest")) & (F.col("n_words") >= window), "left"
     )
     whole = F.col("first") < F.col("id")
-    found = cut.withColumnsRenamed({"id": "_id", "digest": "_cut_digest"})
+    found = cut.withColumnsRenamed({"id": "_id", "mark": "_cut_mark"})
     joined = rows.join(
-        found, (F.col("id") == F.col("_id")) & (F.col("digest") == F.col("_cut_digest")), "left"
+        found, (F.col("id") == F.col("_id")) & (F.col("mark") == F.col("_cut_mark")), "left"
     )
     none = F.array().cast("array<struct<start:int,end:int>>")
     everything = F.array(
