@@ -55,7 +55,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents as often as the mix takes them, in the order of its shards."""
     ship_package(spark)
     mix = mixing.mix(docs, n_words(F.col("text")), keep=docs.columns)
-    return mix.rows().select(*docs.columns)
+    return mix.rows().select("doc.*").select(*docs.columns)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

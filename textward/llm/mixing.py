@@ -46,23 +46,21 @@ _PLACES = 2**53
 
 @dataclass(frozen=True)
 class Mix:
-    """``documents``: the key columns with ``size, source_size, target, copies``, where copies is
-    ``array<struct<shard int, key bigint>>``. ``sources``: what was decided for each source."""
+    """``documents``: ``doc, size, source_size, target, copies``, where doc is a struct of the
+    columns that were kept and copies is ``array<struct<shard int, key bigint>>``. ``sources``: what
+    was decided for each source."""
 
     documents: DataFrame
     sources: DataFrame
 
     def rows(self) -> DataFrame:
-        """One row per copy, ordered by shard and, inside a shard, at random.
+        """One row per copy, ``doc, shard, shard_key``, by shard and, inside a shard, at random.
 
         The range exchange splits a shard over as many tasks as its size asks for.
         """
-        copies = self.documents.withColumn("copy", F.explode("copies"))
-        flat = copies.withColumn("shard", F.col("copy.shard")).withColumn(
-            "shard_key", F.col("copy.key")
-        )
+        copies = self.documents.select("doc", F.explode("copies").alias("copy"))
         return (
-            flat.drop("copy", "copies")
+            copies.select("doc", "copy.shard", F.col("copy.key").alias("shard_key"))
             .repartitionByRange("shard", "shard_key")
             .sortWithinPartitions("shard", "shard_key")
         )
@@ -340,7 +338,7 @@ def mix(
     seed: int = 42,
     keep: Sequence[str] = (),
 ) -> Mix:
-    """Mix ``docs`` by ``size``; ``keep`` names more columns to carry into the result."""
+    """Mix ``docs`` by ``size``; ``keep`` names more columns to carry in ``doc``."""
     sized = F.coalesce(size, F.lit(0)).cast("bigint")
     small = materialize(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), sized.alias("size"))
@@ -358,11 +356,12 @@ def mix(
     decided = materialize(
         join_on(sources.join(ends, "idx"), _rest(small, sources), "source"), "mix-sources"
     )
-    names = [n for n in dict.fromkeys((id_col, source_col, *keep))]
     rows = docs.select(
-        *[F.col(n) for n in names], F.col(source_col).alias("_source"), sized.alias("size")
+        F.struct(*dict.fromkeys((id_col, source_col, *keep))).alias("doc"),
+        F.col(source_col).alias("_source"),
+        sized.alias("size"),
+        _place(F.col(id_col), sized, seed).alias("_place"),
     )
-    rows = rows.withColumn("_place", _place(F.col(id_col), F.col("size"), seed))
     joined = join_on(rows, decided.withColumnRenamed("source", "_source"), "_source")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     late = (F.col("size") * LARGE > rest).cast("int")
@@ -387,5 +386,5 @@ def mix(
     documents = joined.withColumn(
         "copies",
         F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), copy)).otherwise(none),
-    ).select(*names, "size", "source_size", "target", "copies")
+    ).select("doc", "size", "source_size", "target", "copies")
     return Mix(documents, sources)

@@ -74,7 +74,7 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """``taken`` counts the rows that the mix holds of the document, times its size."""
     mix = mixing.mix(table(spark, sf, "documents"), n_words(F.col("text")))
     return mix.documents.select(
-        "doc_id",
+        "doc.doc_id",
         "size",
         "source_size",
         "target",
