@@ -12,6 +12,7 @@ shuffled: the words a worker has seen are kept, up to a bound, for its later blo
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import re
 from collections.abc import Iterator
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from textward.llm.common import per_worker
 
-BLOCK_CHARS = 8_000_000
-KEPT_CHUNKS = 1_000_000
+BLOCK_CHARS = 4_000_000
+KEPT_CHUNKS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -204,8 +205,8 @@ class Encoder:
         parts = [_CUT.split(t) if _BLANK_AFTER_SPACE.search(t) else t.split(" ") for t in texts]
         if len(self.start) > KEPT_CHUNKS:
             self.clear()
-        firsts = {p[0] for p in parts} - self.first.keys()
-        inners = set(chain.from_iterable(p[1:] for p in parts)) - self.inner.keys()
+        firsts = {p[0] for p in parts if p[0] not in self.first}
+        inners = {c for p in parts for c in p[1:] if c not in self.inner}
         self._learn(firsts, inners)
         slots = np.fromiter(
             chain.from_iterable(
@@ -248,6 +249,8 @@ def encode(text: Column | str, ranks_path: str, pattern: str) -> Column:
     """
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # The tables hold no cycles, and looking for some among millions of entries is slow.
+        gc.disable()
         encoder = per_worker(
             ("encoder", ranks_path, pattern), lambda: Encoder(_merges(ranks_path), pattern)
         )
@@ -271,14 +274,20 @@ def decode(ids: Column | str, ranks_path: str) -> Column:
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = _merges(ranks_path).tokens
+        letters = np.frombuffer(b"".join(tokens), np.uint8)
+        length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        start = np.cumsum(length) - length
         for column in columns:
-            flat = column.flatten().to_pylist()
+            if column.flatten().null_count:
+                raise ValueError("a null among the token ids")
+            flat = column.flatten().to_numpy()
             sizes = np.array([n or 0 for n in pc.list_value_length(column).to_pylist()], int)
             ends = np.cumsum(sizes).tolist()
-            yield pa.array(
-                [b"".join([tokens[i] for i in flat[lo:hi]]) for lo, hi in zip([0, *ends], ends)],
-                pa.binary(),
-            )
+            out = []
+            for lo, hi in zip([0, *ends], ends):
+                ids = flat[lo:hi]
+                out.append(letters[_spread(start[ids], length[ids])].tobytes())
+            yield pa.array(out, pa.binary())
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(ids)

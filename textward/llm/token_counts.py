@@ -11,6 +11,7 @@ Words are taken in sorted order and share the entries of the prefix they have in
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from textward.llm.common import per_worker
 
-KEPT_CHUNKS = 1_500_000
-KEPT_PAIRS = 1_000_000
+KEPT_CHUNKS = 700_000
+KEPT_PAIRS = 500_000
+BLOCK_CHARS = 3_000_000
 
 
 def byte_letters() -> list[str]:
@@ -145,7 +147,7 @@ class Counter:
             self.words.clear()
         fresh = [c for c in chunks if c not in self.chunks]
         split = [self._split(c) for c in fresh]
-        unknown = {w for _, words in split for w in words} - self.words.keys()
+        unknown = {w for _, words in split for w in words if w not in self.words}
         self.words.update(self.tables.count_all(list(unknown)))
         for chunk, (special, words) in zip(fresh, split):
             self.chunks[chunk] = special + sum([self.words[w] for w in words])
@@ -206,27 +208,32 @@ def count_tokens(text: Column | str, tokenizer_path: str, budget: int | None = N
     """
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # The tables hold no cycles, and looking for some among millions of entries is slow.
+        gc.disable()
         counter = per_worker(("counter", tokenizer_path), lambda: Counter(tokenizer_path))
         for column in columns:
             texts = [t or "" for t in column.to_pylist()]
             lo, chars = 0, 0
             counts: list[int] = []
+            fits: list[int | None] = []
             for hi, text in enumerate(texts, 1):
                 chars += len(text)
-                if chars > 4_000_000 or hi == len(texts):
-                    counter.learn({c for t in texts[lo:hi] for c in t.split(" ")})
-                    counts += map(counter.count, texts[lo:hi])
-                    lo, chars = hi, 0
-            fits = None
-            if budget is not None:
-                fits = [
-                    len(t) if n <= budget else counter.fitting(t, budget)
-                    for t, n in zip(texts, counts)
-                ]
+                if chars <= BLOCK_CHARS and hi < len(texts):
+                    continue
+                block = texts[lo:hi]
+                counter.learn({c for t in block for c in t.split(" ")})
+                for t in block:
+                    n = counter.count(t)
+                    counts.append(n)
+                    if budget is None:
+                        fits.append(None)
+                    else:
+                        fits.append(len(t) if n <= budget else counter.fitting(t, budget))
+                lo, chars = hi, 0
             yield pa.StructArray.from_arrays(
                 [
                     pa.array(counts, pa.int64()),
-                    pa.nulls(len(texts), pa.int64()) if fits is None else pa.array(fits, pa.int64()),
+                    pa.array(fits, pa.int64()),
                 ],
                 names=["n_tokens", "fits"],
             )
