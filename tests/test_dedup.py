@@ -55,14 +55,6 @@ def test_near_on_literals(spark):
     assert sorted(r.id for r in dedup.dedup_near(df, id_col="id").collect()) == [1, 3, 4]
 
 
-def test_near_guard_skips_second_step(spark):
-    base = "a fairly long text used to check rows that are almost the same in a corpus " * 3
-    df = spark.createDataFrame([(1, base + "x"), (2, base + "y")], "id int, text string")
-    assert dedup.dedup_near(df, id_col="id").count() == 1
-    assert dedup.dedup_near(df, id_col="id", max_rows=1).count() == 2
-    assert dedup.dedup_near(df, id_col="id", max_rows=2).count() == 1
-
-
 def test_near_of_nothing(spark):
     empty = spark.createDataFrame([], "id int, text string")
     assert dedup.dedup_near(empty, id_col="id").count() == 0

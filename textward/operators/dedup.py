@@ -125,17 +125,9 @@ def dedup_near(
     id_col: str,
     text_col: str = "text",
     threshold: float = DEFAULT_THRESHOLD,
-    max_rows: int | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Exact dedup, then near-duplicate removal; whole rows move once, in the last join.
-
-    ``max_rows`` skips the second step when more rows are left; by default nothing is skipped.
-    """
-    if max_rows is not None:
-        unique = exact_survivors(df, id_col=id_col, text_col=text_col)
-        if unique.count() > max_rows:
-            return df.join(unique, id_col, "left_semi")
+    """Exact dedup, then near-duplicate removal."""
     kept = near_survivors(
         df, id_col=id_col, text_col=text_col, threshold=threshold, hot_key_rows=hot_key_rows
     )

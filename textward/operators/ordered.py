@@ -23,10 +23,13 @@ def integer_bucket(value: Column | str, width: int = 1024) -> Column:
 def quantile_bucket(df: DataFrame, value: str, buckets: int = _BUCKETS) -> DataFrame:
     """``df`` with ``_bucket``: ordered buckets holding about equally many rows.
 
-    One narrow aggregate job returns the cut points, at most ``buckets`` numbers.
+    One narrow aggregate job returns the cut points, at most ``buckets`` numbers. Infinite values
+    and NaN don't shift them and fall into the outer buckets.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(value, probs, 10 * buckets).alias("c")).first()["c"] or []
+    number = F.col(value).cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), F.col(value))
+    cuts = df.agg(F.percentile_approx(finite, probs, 10 * buckets).alias("c")).first()["c"] or []
     inner = sorted({float(c) for c in cuts})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:

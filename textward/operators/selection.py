@@ -16,13 +16,14 @@ def best_runs(
     """Best run per family: highest metric, the first run (lowest ``seq``) wins ties.
 
     ``runs`` has ``run_id, family, data_version, seq`` and a ``metrics`` map. Runs without a family
-    or without the metric are ignored; ``first_seq`` is the first of a family's other runs.
+    or without the metric (or whose metric is NaN, a diverged run) are ignored; ``first_seq`` is the first of a family's other runs.
     ``strict`` raises when no run is left.
     """
     usable = runs if data_version is None else runs.where(F.col("data_version") == data_version)
     value = F.try_element_at("metrics", F.lit(metric))
     usable = usable.select("run_id", "family", "seq", value.alias(metric)).where(
         F.col("family").isNotNull() & (F.col("family") != "") & F.col(metric).isNotNull()
+        & ~F.isnan(metric)
     )
     order = F.struct(F.col(metric), -F.col("seq"))
     best = (

@@ -43,11 +43,6 @@ def near(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.dedup_near(table(spark, sf, "documents"), id_col="doc_id").select("doc_id")
 
 
-def near_guarded(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    return dedup.dedup_near(docs, id_col="doc_id", max_rows=10).select("doc_id")
-
-
 def balanced(spark: SparkSession, sf: str) -> DataFrame:
     kept = sampling.balance_classes(corpus(spark, sf), 0.4, id_col="doc_id")
     return kept.select("doc_id", F.col("label").cast("int").alias("label"))
@@ -100,7 +95,6 @@ QUERIES = {
     "corpus_split_counts": split_counts,
     "d01_dedup_exact": exact,
     "d02_dedup_near": near,
-    "d03_near_dup_guard": near_guarded,
     "d04_balance_classes": balanced,
     "d05_sample_exact": sampled,
     "d06_seeded_shuffle": shuffled,
@@ -205,7 +199,6 @@ kept AS (SELECT * FROM corpus QUALIFY
 SELECT {sql_split('text')} AS split, label, count(*) AS n FROM kept GROUP BY ALL""",
     "d01_dedup_exact": f"WITH {_UNIQUE} SELECT doc_id FROM uniq",
     "d02_dedup_near": f"WITH RECURSIVE {_sql_near()} SELECT doc_id FROM near",
-    "d03_near_dup_guard": f"WITH {_UNIQUE} SELECT doc_id FROM uniq",
     "d04_balance_classes": f"""
 WITH {CORPUS}, {_sql_balance('corpus', 0.4)} SELECT doc_id, label FROM balanced""",
     "d05_sample_exact": f"""

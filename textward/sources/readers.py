@@ -229,18 +229,19 @@ def recent_predictions(
     *,
     days: int = 7,
     as_of: dt.date | Column | None = None,
+    skip_broken: bool = False,
 ) -> DataFrame:
     """Logged predictions of the last ``days`` UTC dates including ``as_of`` (default today).
 
-    Dates and families are partitions, so other files are never opened; files that vanish or
-    cannot be decoded are skipped.
+    Dates and families are partitions, so other files are never opened. With ``skip_broken``, files
+    that vanish or cannot be decoded are left out; otherwise they are errors.
     """
     if as_of is None:
         as_of = dt.datetime.now(dt.UTC).date()
     day = F.lit(as_of) if isinstance(as_of, dt.date) else as_of
     df = (
-        spark.read.option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
+        spark.read.option("ignoreCorruptFiles", skip_broken)
+        .option("ignoreMissingFiles", skip_broken)
         .parquet(base)
         .where(F.col("date").between(F.date_sub(day, days - 1), day))
     )
@@ -248,24 +249,12 @@ def recent_predictions(
 
 
 def reference_sample(
-    df: DataFrame, *, id_col: str, max_rows: int | None = 5000, seed: int = 42
+    df: DataFrame, *, id_col: str, max_rows: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """At most ``max_rows`` rows: the whole table when it is smaller, else an exact sample."""
+    """The whole table, or an exact sample of ``max_rows`` rows if it is larger than asked for."""
     return df if max_rows is None else sample_exact(df, max_rows, id_col=id_col, seed=seed)
 
 
-def spread_scan(df: DataFrame, *by: str) -> DataFrame:
-    """Give the scan of a few files one task per core, by a hash of the ``by`` columns.
-
-    Text functions are bound by CPU, and a file with one row group is read by one task. A table
-    with several splits per core, as any large one, is returned unchanged and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, *by)
-
-
 def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Id of a row read from Parquet: file name and position in the file.
 

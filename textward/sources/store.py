@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's checkpoint directory.
 
-    Only a local-mode session without the setting gets a folder of its own.
+    A local session without the setting uses a folder in its warehouse.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -23,7 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
         if configured:
             sc.setCheckpointDir(configured)
         elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="textward-"))
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            sc.setCheckpointDir(f"{warehouse}/_scratch")
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return sc.getCheckpointDir()
@@ -33,6 +34,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    if not _scratch:
+        atexit.register(drop_scratch)
+    _scratch.append((spark, path))
+
+
+def drop_scratch() -> None:
+    """Delete the tables that ``materialize`` has written; runs when the driver's program ends.
+
+    Results that still read them have to be stored before.
+    """
+    while _scratch:
+        spark, path = _scratch.pop()
+        jvm = spark.sparkContext._jvm
+        if spark.sparkContext._jsc is None or jvm is None:
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -40,6 +64,7 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     pruning and true size statistics.
     """
     path = scratch_path(df.sparkSession, name)
+    _drop_at_exit(df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
