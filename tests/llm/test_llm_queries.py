@@ -17,6 +17,7 @@ import check_oracles  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
 from textward.llm import bpe, minhash, queries  # noqa: E402
+from textward.sources.store import materialize  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -99,12 +100,12 @@ def test_op8_on_held_out_rows(spark, small, duck):
 def test_pipeline_stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     columns = docs.columns
-    kept = corpus_pipeline.quality_stage(spark, docs, small)
+    kept = materialize(corpus_pipeline.quality_stage(spark, docs, small))
     assert kept.columns == columns and 0 < kept.count() < docs.count()
-    lined = corpus_pipeline.line_stage(spark, kept, small)
+    lined = materialize(corpus_pipeline.line_stage(spark, kept, small))
     assert lined.columns == columns
     assert lined.where("n_chars <> length(text)").count() == 0
-    near = corpus_pipeline.near_stage(spark, lined, small)
+    near = materialize(corpus_pipeline.near_stage(spark, lined, small))
     found = minhash.near_duplicates(lined)
     assert near.count() == found.where("kept").count()
     mixed = corpus_pipeline.mixing_stage(spark, near, small)
