@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.llm import bpe, lines, minhash, mixing, queries
-from textward.llm.common import n_words, table
-from textward.plans.session import ship_package
+from textward.llm.common import n_words, prepare, table
 from textward.sources.store import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,14 +22,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the table's labels."""
-    ship_package(spark)
+    prepare(spark)
     score = queries.quality_score(docs, table(spark, sf_dir, "labels"))
     return docs.where(score >= queries.THRESHOLD)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated chunks of lines; one that had nothing else goes."""
-    ship_package(spark)
+    prepare(spark)
     done = lines.dedup_lines(docs)
     emptied = (F.col("_n_removed") > 0) & (F.length(F.trim("_kept")) == 0)
     text = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("bigint")}
@@ -45,7 +44,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8)."""
-    ship_package(spark)
+    prepare(spark)
     found = minhash.near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
@@ -53,14 +52,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them, in the order of its shards."""
-    ship_package(spark)
+    prepare(spark)
     mix = mixing.mix(docs, n_words(F.col("text")), keep=docs.columns)
     return mix.rows().select("doc.*").select(*docs.columns)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether decoding them gives the text back."""
-    ship_package(spark)
+    prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = docs.withColumn("ids", bpe.encode("text", path, public_tokenizers.PATTERN))
     back = ids.withColumn("decoded", bpe.decode("ids", path))

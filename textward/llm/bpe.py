@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from textward.llm.common import per_worker
 
 BLOCK_CHARS = 4_000_000
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,14 +37,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
 
 
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 class Merges:
     """Which neighbouring symbols form which token; a token's rank is its id."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
         found = []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -56,7 +61,7 @@ class Merges:
         self.merged = np.array([m for _, m in found] or [-1], np.int64)
         left, right = self.pairs >> 32, self.pairs & 0xFFFFFFFF
         # A symbol that can take part in a merge of a lower rank than its own.
-        self.reopens = np.zeros(len(self.tokens), bool)
+        self.reopens = np.zeros(max(ranks.values()) + 1, bool)
         self.reopens[left[self.merged < left]] = True
         self.reopens[right[self.merged < right]] = True
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
@@ -259,7 +264,7 @@ def encode(text: Column | str, ranks_path: str, pattern: str) -> Column:
             ids = np.concatenate([b[0] for b in blocks] or [np.empty(0, np.int32)])
             ends = np.cumsum(np.concatenate([b[1] for b in blocks] or [np.empty(0, np.int64)]))
             yield pa.ListArray.from_arrays(
-                pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids.astype(np.int32))
+                pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids)
             )
 
     run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -273,7 +278,7 @@ def decode(ids: Column | str, ranks_path: str) -> Column:
     """
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = _merges(ranks_path).tokens
+        tokens = per_worker(("tokens", ranks_path), lambda: _tokens(read_ranks(ranks_path)))
         letters = np.frombuffer(b"".join(tokens), np.uint8)
         length = np.fromiter(map(len, tokens), np.int64, len(tokens))
         start = np.cumsum(length) - length

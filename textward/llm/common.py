@@ -8,6 +8,7 @@ from typing import TypeVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textward.plans.session import ship_package
 from textward.sources.store import materialize
 
 # A word is a run of characters other than the blank and the five ASCII control spaces.
@@ -20,6 +21,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Rows of text that a Python worker gets at once.
+TEXT_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and bound the texts that a worker holds at once.
+
+    A session that asks for another batch size than Spark's default keeps its own.
+    """
+    ship_package(spark)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, TEXT_ROWS)
+
+
 _PER_WORKER: dict[object, object] = {}
 
 

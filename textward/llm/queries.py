@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from textward.llm import (
     token_counts,
     vectorindex,
 )
-from textward.llm.common import n_words, table
+from textward.llm.common import n_words, prepare, table
 from textward.sources.store import materialize
 
 
@@ -308,7 +311,16 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 5
 """
 
-QUERIES = {
+def _prepared(query: Callable[[SparkSession, str], DataFrame]):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf)
+
+    return run
+
+
+_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
     "op3_substrings": op3_substrings,
@@ -321,6 +333,8 @@ QUERIES = {
     "op10_chat": op10_chat,
 }
 
+QUERIES = {name: _prepared(query) for name, query in _QUERIES.items()}
+
 ORACLES = {
     "op3_substrings": OP3_SQL,
     "op4_minhash": OP4_SQL,
