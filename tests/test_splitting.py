@@ -8,32 +8,33 @@ from textward.operators import splitting
 def samples(spark, n):
     return spark.range(n).select(
         "id",
-        F.concat(F.lit("sample "), F.col("id").cast("string")).alias("text"),
+        F.concat_ws(" ", F.lit("row"), F.md5(F.col("id").cast("string"))).alias("text"),
         (F.col("id") % 2).cast("byte").alias("label"),
     )
 
 
-def test_split_sizes_and_balance(spark):
-    df = splitting.assign_split(samples(spark, 200))
+def test_split_sizes_follow_the_parts(spark):
+    parts = (0.5, 0.2, 0.3)
+    df = splitting.assign_split(samples(spark, 4000), parts)
     assert "Exchange" not in plan_of(df) and "Python" not in plan_of(df)
-    got = {r.split: (r.n, r.share) for r in df.groupBy("split").agg(F.count("*").alias("n"), F.avg("label").alias("share")).collect()}
-    assert sum(n for n, _ in got.values()) == 200 and set(got) == set(splitting.SPLITS)
-    assert abs(got["train"][1] - 0.5) <= 0.2
+    got = {r.split: r["count"] / 4000 for r in df.groupBy("split").count().collect()}
+    for name, part in zip(splitting.SPLITS, parts):
+        assert abs(got[name] - part) < 0.04
 
 
-def test_equal_texts_stay_together(spark):
-    df = spark.createDataFrame(
-        [(i, t) for i, t in enumerate(["one"] * 10 + ["TWO"] * 10 + ["  two "] * 10)], "id int, text string"
-    )
-    out = splitting.assign_split(df, (0.34, 0.33, 0.33))
-    assert splitting.leaked_groups(out).count() == 0
-    leaky = df.withColumn("split", F.when(F.col("id") % 2 == 0, "train").otherwise("test"))
-    assert splitting.leaked_groups(leaky).count() == 2
+def test_variants_of_a_text_stay_together(spark):
+    words = [f"alpha {i} beta" for i in range(40)]
+    variants = [v for w in words for v in (w, w.upper(), f"\t{w}\n", w.replace(" ", "   "))]
+    df = spark.createDataFrame(list(enumerate(variants)), "id int, text string")
+    assert splitting.leaked_groups(splitting.assign_split(df, (0.4, 0.4, 0.2))).count() == 0
+    torn = df.withColumn("split", F.concat(F.lit("s"), (F.col("id") % 3).cast("string")))
+    assert splitting.leaked_groups(torn).count() == len(words)
 
 
-def test_bad_ratios(spark):
-    with pytest.raises(ValueError, match="ratios must sum to 1"):
-        splitting.assign_split(samples(spark, 1), (0.5, 0.3, 0.3))
+@pytest.mark.parametrize("parts", [(0.9, 0.2, 0.1), (1.2, -0.1, -0.1), (0.5, 0.5)])
+def test_parts_of_no_whole(parts):
+    with pytest.raises(ValueError, match="one part"):
+        splitting.split_of("text", parts)
 
 
 def version(df):
