@@ -1,56 +1,44 @@
-import itertools
 import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textward.functions import pvalues
 from textward.operators import drift
+from textward.sources import readers
 
 
-def brute_p(d_h, n1, n2):
-    """Share of all orderings whose statistic, in units of 1/lcm, reaches ``d_h``."""
-    lcm = math.lcm(n1, n2)
-    hits = total = 0
-    for ones in itertools.combinations(range(n1 + n2), n1):
-        chosen, i, j, top = set(ones), 0, 0, 0
-        for k in range(n1 + n2):
-            i, j = (i + 1, j) if k in chosen else (i, j + 1)
-            top = max(top, abs(i * lcm // n1 - j * lcm // n2))
-        hits += top >= d_h
-        total += 1
-    return hits / total
+def p_values(spark, rows, schema, p):
+    return [r.p for r in spark.createDataFrame(rows, schema).select(p.alias("p")).collect()]
 
 
-@pytest.mark.parametrize(("n1", "n2"), [(5, 5), (5, 7), (6, 4), (3, 9)])
-def test_ks_exact_equals_enumeration(n1, n2):
-    lcm = math.lcm(n1, n2)
-    for h in range(1, lcm + 1):
-        assert pvalues.ks_two_sample(h / lcm, n1, n2) == pytest.approx(brute_p(h, n1, n2), abs=1e-12)
-
-
-def test_ks_limits():
-    assert pvalues.ks_two_sample(0.0, 50, 60) == 1.0
-    assert pvalues.ks_two_sample(1.0, 50, 50) == pytest.approx(2 / math.comb(100, 50))
-    # Beyond the exact range the two forms agree where they meet.
-    for d in (0.01, 0.015, 0.02, 0.03):
-        exact = pvalues.ks_two_sample(d, 10_000, 9_999)
-        assert pvalues.ks_two_sample(d, 10_001, 9_999) == pytest.approx(exact, rel=0.03)
+def test_ks_tail(spark):
+    # The usual quantiles of the Kolmogorov distribution at 10, 5 and 1 percent.
+    lambdas = [1.22385, 1.35810, 1.62762, 0.0, 0.1, 9.0]
+    rows = [(x / math.sqrt(n / 2), n, n) for n in (50, 20_000) for x in lambdas]
+    got = p_values(
+        spark, rows, "d double, a bigint, b bigint", pvalues.ks_p_value(F.col("d"), F.col("a"), F.col("b"))
+    )
+    assert got == pytest.approx([0.10, 0.05, 0.01, 1.0, 1.0, 0.0] * 2, abs=1e-5)
 
 
-def test_one_sample_forms_agree():
-    for n, d in [(120, 0.08), (140, 0.1), (140, 0.06), (130, 0.12)]:
-        assert pvalues._pelz_good_cdf(n, d) == pytest.approx(pvalues._matrix_cdf(n, d), abs=1e-5)
-    # P(D_1 <= d) = 2 d - 1 and the known P(D_10 <= 0.274) = 0.6284796...
-    assert pvalues._matrix_cdf(1, 0.7) == pytest.approx(0.4)
-    assert pvalues._matrix_cdf(10, 0.274) == pytest.approx(0.6284796154565, abs=1e-10)
+def test_ks_tail_is_continuous_and_falls(spark):
+    rows = [(0.002 * i, 5_000, 5_000) for i in range(100)]
+    got = p_values(
+        spark, rows, "d double, a bigint, b bigint", pvalues.ks_p_value(F.col("d"), F.col("a"), F.col("b"))
+    )
+    assert all(0 <= y <= x + 1e-12 <= 1 + 1e-12 for x, y in zip(got, got[1:]))
 
 
-def test_chi2_tail():
-    assert pvalues.chi2_three_df(7.814728) == pytest.approx(0.05, abs=1e-7)
-    assert pvalues.chi2_three_df(11.344867) == pytest.approx(0.01, abs=1e-7)
-    assert pvalues.chi2_three_df(0.0) == 1.0
+def test_chi2_tail(spark):
+    xs = [0.0, 0.01, 1.0, 7.814728, 11.344867, 60.0, 1e6]
+    got = p_values(spark, [(x,) for x in xs], "x double", pvalues.chi2_p_value(F.col("x")))
+    want = [
+        math.erfc(math.sqrt(x / 2)) + 2 * math.sqrt(x / 2 / math.pi) * math.exp(-x / 2) for x in xs
+    ]
+    assert got == pytest.approx(want, abs=1e-10)
 
 
 def frames(spark, prod, train, family="f"):
@@ -111,6 +99,23 @@ def test_family_without_production(spark):
     assert drift.family_names(prod) == ["f"]
 
 
+def test_families_missing_or_not_named(spark):
+    prod = spark.createDataFrame(
+        [(f, "a" * 10) for f in ("f", "g", None) for _ in range(150)], "family string, text string"
+    )
+    train = spark.createDataFrame([("a" * 10,)] * 200, "text string")
+    got = {r.family: r.n_production for r in drift.detect_drift(prod, train, ["f", "h"]).collect()}
+    assert got == {"f": 150, "g": 150, "h": 0, drift.NO_FAMILY: 150}
+
+
+def test_family_without_a_log(spark, tmp_path):
+    schema = "id int, text string, date date, family string"
+    log = readers.recent_predictions(spark, str(tmp_path / "none"), "f", schema=schema)
+    train = spark.createDataFrame([("a" * 10,)] * 200, "text string")
+    got = drift.detect_drift(log, train, ["f"]).first()
+    assert (got.n_production, got.skipped_reason) == (0, "insufficient_samples")
+
+
 def vectors(spark, data):
     return spark.createDataFrame([(v,) for v in data], "embedding array<float>")
 
@@ -130,8 +135,6 @@ def test_centroid_distance(spark, p, t, want):
 
 
 def test_gauge(spark):
-    from pyspark.sql import functions as F
-
     rng = random.Random(3)
     out = drift.detect_drift(*frames(spark, lengths(rng, 300), lengths(rng, 100)), ["f"])
     got = drift.drift_gauge(out, F.current_timestamp()).first()

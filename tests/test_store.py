@@ -31,6 +31,17 @@ def test_publish_replaces_a_changed_split_only(spark, tmp_path):
     assert {r.status for r in again.collect()} == {"skipped"}
 
 
+def test_publish_replaces_changed_content_of_equal_size(spark, tmp_path):
+    base = str(tmp_path / "s")
+    rows = splits(spark, 10).withColumn("text", F.lit("old"))
+    store.publish_splits(rows, base, "v1")
+    new = F.when(F.col("split") == "train", "new").otherwise(F.col("text"))
+    changed = store.publish_splits(rows.withColumn("text", new), base, "v1")
+    assert {r.split: r.status for r in changed.collect()} == {"test": "skipped", "train": "uploaded"}
+    train = readers.read_splits(spark, f"{base}/data", "v1", "train")
+    assert {r.text for r in train.collect()} == {"new"}
+
+
 def test_compute_once(spark, tmp_path):
     base = str(tmp_path / "f")
     calls = []

@@ -1,130 +1,38 @@
-"""p-values of the two drift tests. Inputs are a handful of numbers per report row, never data.
-
-Two-sample Kolmogorov-Smirnov: the exact lattice-path probability up to ``EXACT_LIMIT`` rows a
-side, beyond it the one-sample distribution at the effective size (Marsaglia, Tsang and Wang 2003
-for small sizes, Pelz and Good 1976 for large ones).
-"""
+"""p-values of the two drift tests, as built-in expressions of one formula for every size."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Fixed value: the largest side for which the exact two-sample distribution is used.
-EXACT_LIMIT = 10_000
-
-
-def _outside_probability(n1: int, n2: int, h: int) -> float:
-    """Share of lattice paths (0,0)->(n1,n2) that reach ``|i/n1 - j/n2| >= h/lcm(n1,n2)``.
-
-    Runs over anti-diagonals, so one step is one vector operation.
-    """
-    g = math.gcd(n1, n2)
-    step1, step2 = n2 // g, n1 // g
-    i = np.arange(n1 + 1, dtype=np.int64)
-    prob = np.zeros(n1 + 1)
-    prob[0] = 1.0 if h <= 0 else 0.0
-    for s in range(1, n1 + n2 + 1):
-        lo, hi = max(0, s - n2), min(n1, s)
-        ii = i[lo : hi + 1]
-        jj = s - ii
-        from_j = np.where(jj > 0, prob[lo : hi + 1], 0.0) * jj
-        from_i = np.where(ii > 0, prob[np.maximum(ii - 1, 0)], 0.0) * ii
-        nxt = (from_i + from_j) / s
-        nxt[np.abs(ii * step1 - jj * step2) >= h] = 1.0
-        prob[lo : hi + 1] = nxt
-    return float(min(max(prob[n1], 0.0), 1.0))
-
 
-def _matrix_cdf(n: int, d: float) -> float:
-    k = int(n * d) + 1
-    m = 2 * k - 1
-    gap = k - n * d
-    idx = np.arange(m)
-    shape = np.where(idx[:, None] - idx[None, :] + 1 >= 0, 1.0, 0.0)
-    powers = gap ** np.arange(1, m + 1)
-    shape[:, 0] -= powers
-    shape[-1, :] -= powers[::-1]
-    shape[-1, 0] += max(2 * gap - 1, 0.0) ** m
-    diff = np.maximum(idx[:, None] - idx[None, :] + 1, 0)
-    shape /= np.vectorize(math.factorial, otypes=[float])(diff)
-    power = np.linalg.matrix_power(shape, n)[k - 1, k - 1]
-    return float(power * math.exp(math.lgamma(n + 1) - n * math.log(n)))
+# The series' terms fall below 1e-30 from here on, for every argument that it is used for.
+KS_TERMS = 30
+GAMMA_TERMS = 160
+# Below the first value the tail is 1 up to 1e-12; beyond the second one it is under 1e-20.
+LEAST_LAMBDA = 0.2
+MOST_HALF = 50.0
 
 
-def _pelz_good_cdf(n: int, d: float) -> float:
-    """Expansion of the distribution in powers of ``1 / sqrt(n)`` up to the third."""
-    z2 = n * d * d
-    z = math.sqrt(z2)
-    k = np.arange(40)
-    odd = ((k + 0.5) * math.pi) ** 2
-    w_odd = np.exp(-odd / (2 * z2))
-    even = (k[1:] * math.pi) ** 2
-    w_even = np.exp(-even / (2 * z2))
-    # The sums run over all integers; the terms are symmetric.
-    scale = 2 * math.sqrt(math.pi / 2)
-
-    def over(poly: np.ndarray, weight: np.ndarray) -> float:
-        return scale * float((poly * weight).sum())
-
-    second = 6 * z2**3 + 2 * z2**2 + (2 * z2**2 - 5 * z2) * odd + (1 - 2 * z2) * odd**2
-    third = (
-        (5 - 30 * z2) * odd**3
-        + (212 * z2**2 - 60 * z2) * odd**2
-        + (135 * z2**2 - 96 * z2**3) * odd
-        - 30 * z2**3
-        - 90 * z2**4
+def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
+    """Two-sided p-value of the two-sample statistic ``d``: Kolmogorov's series at the effective size."""
+    n1, n2 = n1.cast("double"), n2.cast("double")
+    scaled = d * d * (n1 * n2 / (n1 + n2))
+    terms = F.transform(
+        F.sequence(F.lit(1), F.lit(KS_TERMS)),
+        lambda k: F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * scaled),
     )
-    terms = (
-        over(np.ones_like(odd), w_odd) / z,
-        over(odd - z2, w_odd) / (6 * z2**2),
-        over(second, w_odd) / (72 * z**7) - over(even, w_even) / (36 * z**3),
-        over(third, w_odd) / (6480 * z**10) + over(3 * z2 * even - even**2, w_even) / (108 * z**6),
+    tail = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(scaled < LEAST_LAMBDA**2, 1.0).otherwise(
+        F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0))
     )
-    return sum(t / n ** (i / 2) for i, t in enumerate(terms))
-
-
-def _one_sample_sf(n: int, d: float) -> float:
-    if d >= 1:
-        return 0.0
-    if n * d * d >= 2.2:
-        return min(2.0 * math.exp(-((6 * n * d + 1) ** 2) / (18 * n)), 1.0)
-    cdf = _matrix_cdf(n, d) if n <= 140 else _pelz_good_cdf(n, d)
-    return min(max(1.0 - cdf, 0.0), 1.0)
-
-
-def ks_two_sample(d: float, n1: int, n2: int) -> float:
-    """Two-sided p-value of the statistic ``d`` for sample sizes ``n1`` and ``n2``."""
-    if max(n1, n2) <= EXACT_LIMIT:
-        lcm = n1 // math.gcd(n1, n2) * n2
-        return _outside_probability(n1, n2, round(d * lcm))
-    return _one_sample_sf(max(1, round(n1 * n2 / (n1 + n2))), d)
-
-
-def chi2_three_df(x: float) -> float:
-    """Upper tail of the chi-square distribution with 3 degrees of freedom (closed form)."""
-    half = max(x, 0.0) / 2
-    return math.erfc(math.sqrt(half)) + 2 * math.sqrt(half / math.pi) * math.exp(-half)
-
-
-@F.pandas_udf(T.DoubleType())
-def _ks_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([ks_two_sample(x, int(a), int(b)) for x, a, b in zip(d, n1, n2)])
-
-
-@F.pandas_udf(T.DoubleType())
-def _chi2_p(x: pd.Series) -> pd.Series:
-    return x.map(chi2_three_df)
-
-
-def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
-    return _ks_p(d, n1, n2)
 
 
 def chi2_p_value(x: Column) -> Column:
-    return _chi2_p(x)
+    """Upper tail of the chi-square distribution with 3 degrees of freedom, by the gamma series."""
+    half = F.least(x / 2, F.lit(MOST_HALF))
+    logs = F.array(*[F.lit(math.lgamma(n + 2.5)) for n in range(GAMMA_TERMS)])
+    terms = F.transform(logs, lambda g, n: F.exp((n + 1.5) * F.ln(half) - half - g))
+    below = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+    return F.when(x <= 0, 1.0).otherwise(F.greatest(1.0 - below, F.lit(0.0)))

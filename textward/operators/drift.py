@@ -25,12 +25,19 @@ MIN_PRODUCTION_ROWS = 100
 # Bin edges of the script share; the last bin includes 1.
 CHARSET_EDGES = (0.0, 0.25, 0.5, 0.75, 1.01)
 
+# The family that rows without one are counted under.
+NO_FAMILY = "unknown"
+
 _BINS = len(CHARSET_EDGES) - 1
 
 
+def _family(family_col: str) -> Column:
+    return F.coalesce(F.col(family_col).cast("string"), F.lit(NO_FAMILY)).alias("family")
+
+
 def family_names(production: DataFrame, family_col: str = "family") -> list[str]:
     """The families present; a model family is configuration, so there are only a few."""
-    return sorted(r[0] for r in production.select(family_col).distinct().collect())
+    return sorted(r[0] for r in production.select(_family(family_col)).distinct().collect())
 
 
 def _per_length(
@@ -164,16 +171,24 @@ def centroid_distance(
 def drift_tests(
     production: DataFrame,
     training: DataFrame,
-    families: list[str],
+    families: list[str] | None = None,
     *,
     family_col: str = "family",
     text_col: str = "text",
     script: str = CYRILLIC,
 ) -> DataFrame:
-    """Statistics per family: ``family, n_production, n_training, ks_d, chi2, cosine_distance``."""
+    """Statistics per family: ``family, n_production, n_training, ks_d, chi2, cosine_distance``.
+
+    One row for each family of ``families`` or of the production side; rows without a family count
+    as ``NO_FAMILY``.
+    """
     # Written once, a row per distinct length; left lazy, each use would read the text again.
-    family = F.col(family_col).alias("family")
-    prod = materialize(_per_length(production, [family], script, text_col), "drift-production")
+    prod = materialize(
+        _per_length(production, [_family(family_col)], script, text_col), "drift-production"
+    )
+    families = sorted({*(families or []), *family_names(prod)})
+    if not families:
+        raise ValueError("name the families: the production side has none")
     train = materialize(_per_length(training, [], script, text_col), "drift-training")
     reference = _totals(train, []).select(
         _for_every(families),
@@ -237,10 +252,9 @@ def detect_drift(
     script: str = CYRILLIC,
     min_production: int = MIN_PRODUCTION_ROWS,
 ) -> DataFrame:
-    """Drift report with one row per family."""
-    names = families if families is not None else family_names(production, family_col)
+    """Drift report with one row per family named or found in production."""
     tests = drift_tests(
-        production, training, names, family_col=family_col, text_col=text_col, script=script
+        production, training, families, family_col=family_col, text_col=text_col, script=script
     )
     return drift_report(tests, min_production)
 

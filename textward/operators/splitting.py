@@ -52,7 +52,7 @@ def leaked_groups(df: DataFrame, *, text_col: str = "text", split_col: str = "sp
 
 
 def split_digests(df: DataFrame, content: list[str], *, split_col: str = "split") -> DataFrame:
-    """One content hash per split, independent of row order and partitioning.
+    """``split, digest, n_rows``: a content hash per split, independent of row order and partitioning.
 
     Row hashes are summed, so the reduction happens before the shuffle and equal rows count twice.
     """
@@ -66,6 +66,7 @@ def split_digests(df: DataFrame, content: list[str], *, split_col: str = "split"
             F.sha2(
                 F.concat_ws(":", F.col("_sum").cast("string"), F.col("_n").cast("string")), 256
             ).alias("digest"),
+            F.col("_n").alias("n_rows"),
         )
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,22 +230,29 @@ def recent_predictions(
     *,
     days: int = 7,
     as_of: dt.date | Column | None = None,
+    schema: str | None = None,
     skip_broken: bool = False,
 ) -> DataFrame:
     """Logged predictions of the last ``days`` UTC dates including ``as_of`` (default today).
 
-    Dates and families are partitions, so other files are never opened. With ``skip_broken``, files
-    that vanish or cannot be decoded are left out; otherwise they are errors.
+    Dates and families are partitions, so other files are never opened. ``schema`` is the DDL of the
+    log with ``date`` and ``family``; with it no file is opened to find the columns, and a log that
+    doesn't exist yet has no rows. With ``skip_broken``, files that vanish or cannot be decoded are
+    left out; otherwise they are errors.
     """
     if as_of is None:
         as_of = dt.datetime.now(dt.UTC).date()
     day = F.lit(as_of) if isinstance(as_of, dt.date) else as_of
-    df = (
-        spark.read.option("ignoreCorruptFiles", skip_broken)
-        .option("ignoreMissingFiles", skip_broken)
-        .parquet(base)
-        .where(F.col("date").between(F.date_sub(day, days - 1), day))
+    reader = spark.read.option("ignoreCorruptFiles", skip_broken).option(
+        "ignoreMissingFiles", skip_broken
     )
+    try:
+        log = (reader.schema(schema) if schema else reader).parquet(base)
+    except AnalysisException as e:
+        if not schema or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], schema)
+    df = log.where(F.col("date").between(F.date_sub(day, days - 1), day))
     return df if family is None else df.where(F.col("family") == family)
 
 

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textward.operators.splitting import split_digests
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's checkpoint directory.
@@ -83,29 +85,34 @@ def _read_manifest(spark: SparkSession, base: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-_PUBLISHED = "data_version string, split string, n_rows bigint, published_at timestamp"
+_PUBLISHED = (
+    "data_version string, split string, n_rows bigint, digest string, published_at timestamp"
+)
 
 
 def publish_splits(
     df: DataFrame, base: str, data_version: str, *, split_col: str = "split"
 ) -> DataFrame:
-    """Publish the splits of one version, skipping those already committed with the same size.
+    """Publish the splits of one version, skipping those already committed with equal content.
 
-    A split counts as committed only once the manifest names it, and a partition is replaced as a
-    whole, so a job that died half-way is simply run again. Returns ``split, n_rows, status``.
+    Content is compared by a digest that doesn't depend on row order. A split counts as committed
+    only once the manifest names it, and a partition is replaced as a whole, so a job that died
+    half-way is simply run again. Returns ``split, n_rows, status``.
     """
     spark = df.sparkSession
-    sizes = df.groupBy(split_col).agg(F.count("*").alias("n")).collect()
-    counts = {r[split_col]: r["n"] for r in sizes}
+    row = F.to_json(F.struct(*sorted(df.columns))).alias("_row")
+    sizes = split_digests(df.select(split_col, row), ["_row"], split_col=split_col).collect()
+    counts = {r[split_col]: r["n_rows"] for r in sizes}
+    digests = {r[split_col]: r["digest"] for r in sizes}
     done = {
-        r["split"]: r["n_rows"]
+        r["split"]: r["digest"]
         for r in _read_manifest(spark, base, _PUBLISHED)
         .where(F.col("data_version") == data_version)
         .groupBy("split")
-        .agg(F.max_by("n_rows", "published_at").alias("n_rows"))
+        .agg(F.max_by("digest", "published_at").alias("digest"))
         .collect()
     }
-    todo = sorted(s for s, n in counts.items() if done.get(s) != n)
+    todo = sorted(s for s, digest in digests.items() if done.get(s) != digest)
     if todo:
         (
             df.where(F.col(split_col).isin(todo))
@@ -118,7 +125,7 @@ def publish_splits(
         )
         now = dt.datetime.now(dt.UTC)
         spark.createDataFrame(
-            [(data_version, s, counts[s], now) for s in todo], _PUBLISHED
+            [(data_version, s, counts[s], digests[s], now) for s in todo], _PUBLISHED
         ).coalesce(1).write.mode("append").parquet(f"{base}/manifest")
     return spark.createDataFrame(
         [(s, n, "uploaded" if s in todo else "skipped") for s, n in sorted(counts.items())],
