@@ -58,9 +58,9 @@ def statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.detect_drift(
-        production(spark, sf), training(spark, sf), FAMILIES, script=SCRIPT
-    )
+    out = drift.detect_drift(production(spark, sf), training(spark, sf), FAMILIES, script=SCRIPT)
+    rounded = ("p_value_length", "p_value_charset", "cosine_distance")
+    return out.withColumns({c: F.round(c, 6) for c in rounded})
 
 
 def guarded(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,7 +149,41 @@ cos AS (
   FROM means GROUP BY family
 )"""
 
+_REPORT = f"""
+{_SIDES}, {_KS}, {_CHI2}, {_COSINE},
+n AS (SELECT family, count(*) FILTER (is_prod) AS n_production, count(*) FILTER (NOT is_prod) AS n_training
+      FROM both_sides GROUP BY family),
+scaled AS (
+  SELECT *, ks_d * ks_d * (n_production::DOUBLE * n_training / (n_production + n_training)) AS z,
+         least(chi2 / 2, 50.0)::DOUBLE AS h
+  FROM n JOIN ks USING (family) JOIN chi USING (family) JOIN cos USING (family)
+),
+tails AS (
+  SELECT *, CASE WHEN z < 0.04 THEN 1.0 ELSE greatest(least(list_sum(list_transform(range(1, 31),
+              lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * k * k * z))), 1.0), 0.0)
+            END::DOUBLE AS p_len,
+         CASE WHEN h <= 0 THEN 1.0 ELSE greatest(1.0 - list_sum(list_transform(range(0, 160),
+              lambda k: exp((k + 1.5) * ln(h) - h - lgamma(k + 2.5)))), 0.0) END::DOUBLE AS p_chr
+  FROM scaled
+),
+guarded AS (
+  SELECT *, n_production < 100 AS few, n_production < 100 OR n_training < 5 AS untested FROM tails
+),
+report AS (
+  SELECT family, CASE WHEN untested THEN 1.0 ELSE round(p_len, 6) END::DOUBLE AS p_value_length,
+         CASE WHEN untested THEN 1.0 ELSE round(p_chr, 6) END::DOUBLE AS p_value_charset,
+         CASE WHEN few THEN 0.0 ELSE round(cosine_distance, 6) END::DOUBLE AS cosine_distance,
+         n_production, n_training,
+         CASE WHEN few THEN 'insufficient_samples' END AS skipped_reason,
+         NOT few AND ((NOT untested AND (p_len < 0.01 OR p_chr < 0.01)) OR cosine_distance > 0.15)
+           AS drift_detected
+  FROM guarded
+)"""
+
 ORACLES = {
+    "i04_drift_report": f"WITH {_REPORT} SELECT * FROM report",
+    "i06_drift_by_family": f"""
+WITH {_REPORT} SELECT family, drift_detected::INT::DOUBLE AS value FROM report""",
     "i01_ks_length": f"WITH {_SIDES}, {_KS} SELECT family, round(ks_d, 9) AS ks_d FROM ks",
     "i02_chi_square_charset": f"WITH {_SIDES}, {_CHI2} SELECT family, round(chi2, 6) AS chi2 FROM chi",
     "i03_centroid_distance": """
