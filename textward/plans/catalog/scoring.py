@@ -21,7 +21,7 @@ from textward.plans.catalog.tables import (
     table,
 )
 from textward.sources.store import scratch_path
-from textward.streaming.predictions import accepted, start_table_sink
+from textward.streaming.predictions import start_table_sink
 
 
 def _labelled_splits(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,7 +95,8 @@ def batched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _records(docs: DataFrame) -> DataFrame:
-    scored = models.score_batches(accepted(docs.select("doc_id", "text")), length_scorer)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    scored = models.score_batches(texts, length_scorer)
     return models.prediction_records(
         scored.drop("text"), family="tfidf_logreg", model_version="3", data_version="v1"
     )
@@ -142,8 +143,7 @@ QUERIES = {
 }
 
 _RECORDS = """
-WITH p AS (SELECT doc_id, length(text) % 1000 / 1000.0::DOUBLE AS p FROM documents
-           WHERE length(text) BETWEEN 1 AND 10000)
+WITH p AS (SELECT doc_id, coalesce(length(text), 0) % 1000 / 1000.0::DOUBLE AS p FROM documents)
 SELECT doc_id, CASE WHEN p >= 0.5 THEN 'jailbreak' ELSE 'benign' END AS label,
        CASE WHEN p >= 0.5 THEN p ELSE 1.0::DOUBLE - p END AS confidence,
        'tfidf_logreg' AS model_family, '3' AS model_version, 'v1' AS data_version

@@ -9,7 +9,7 @@ from textward.operators.tfidf import Tfidf, TfidfModel, term_statistics
 from textward.plans.catalog.tables import table
 from textward.sources.store import scratch_path
 
-MAX_FEATURES = 5000
+MAX_FEATURES = Tfidf().max_features
 
 
 def _fit(spark: SparkSession, sf: str) -> TfidfModel:
