@@ -1,13 +1,15 @@
-"""Exact and near-duplicate removal that keeps the row with the lowest id.
+"""Exact and near-duplicate removal.
 
-Exact: the text hashes are reduced to the lowest id per hash with map-side partial aggregates, and
+Exact: the row with the lowest id stays. The text hashes are reduced to the lowest id per hash with map-side partial aggregates, and
 the rows are then picked by id. No group of copies is ever brought together, whatever its size.
 
-Near: two rows collide when they share a MinHash band key. Scanning by id, a row is dropped when it
-collides with a kept row. The scan is replaced by rounds over (row, band key) that yield the same
-rows and never list pairs: in a round the lowest undecided row of a key is its lead; a row that
-leads all its keys is kept, since every lower row it collides with was dropped already, and the
-rows that share a key with it are dropped. Work per round is linear in the undecided rows.
+Near: two rows collide when they share a MinHash band key. Scanning in the order of a seeded hash of
+the id, a row is dropped when it collides with a kept row. The scan is replaced by rounds over (row,
+band key) that yield the same rows and never list pairs: in a round the first undecided row of a key
+is its lead; a row that leads all its keys is kept, since every earlier row it collides with was
+dropped already, and the rows that share a key with it are dropped. Work per round is linear in the
+undecided rows. In id order a chain of versions of one text would take a round per link or two; in
+hash order the rounds grow with the logarithm of the rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textward.functions.minhash import band_keys, band_layout
+from textward.functions.sampling import sample_key
 from textward.functions.text import normalize
 from textward.sources.store import materialize
 
@@ -28,6 +31,9 @@ DEFAULT_THRESHOLD = 0.85
 HOT_KEY_ROWS = 100_000
 MAX_HOT_KEYS = 50_000
 
+# Leading hex digits of the sample key that order the scan; they fit into a bigint.
+TURN_DIGITS = 15
+
 
 def exact_survivors(df: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
     """Ids of the first row of every distinct normalized text."""
@@ -61,14 +67,16 @@ def _join_keys(members: DataFrame, keys: DataFrame, limit: int) -> DataFrame:
 
 
 def greedy_losers(rows: DataFrame, n_keys: int, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Ids dropped by the id-ordered scan over ``rows(_id, _keys)``, each with ``n_keys`` keys."""
+    """Ids dropped by the hash-ordered scan over ``rows(_id, _keys)``, each with ``n_keys`` keys."""
+    turn = F.conv(F.left(sample_key("_id"), F.lit(TURN_DIGITS)), 16, 10).cast("bigint")
     losers = []
     pending, left = rows, rows.count()
     while left:
-        members = pending.select("_id", F.explode("_keys").alias("_key"))
+        members = pending.select("_id", turn.alias("_turn"), F.explode("_keys").alias("_key"))
         # Reduced before the shuffle: a hot key sends one row per task.
         stats = members.groupBy("_key").agg(
-            F.min("_id").alias("_lead"), F.count("*").alias("_n")
+            F.min(F.struct("_turn", "_id")).getField("_id").alias("_lead"),
+            F.count("*").alias("_n"),
         )
         owned = F.count("*").over(Window.partitionBy("_lead"))  # at most n_keys rows each
         keys = materialize(

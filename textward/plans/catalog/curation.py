@@ -113,7 +113,7 @@ _UNIQUE = f"""uniq AS (
 
 
 def _sql_near(threshold: float = dedup.DEFAULT_THRESHOLD) -> str:
-    """CTEs that end in ``near(doc_id)``: MinHash bands, then the id-ordered scan itself.
+    """CTEs that end in ``near(doc_id)``: MinHash bands, then the hash-ordered scan itself.
 
     The scan walks the colliding rows one by one and keeps a list of kept ids.
     """
@@ -145,14 +145,18 @@ hashed AS (
   )
 ),
 sig AS (SELECT doc_id, {lows} FROM shingle JOIN hashed USING (s) GROUP BY doc_id),
-member AS MATERIALIZED (SELECT doc_id, unnest([{keys}]) AS k FROM sig),
+member AS MATERIALIZED (
+  SELECT doc_id, left({sql_sample_key('doc_id')}, {dedup.TURN_DIGITS}) AS turn, unnest([{keys}]) AS k
+  FROM sig
+),
 edge AS MATERIALIZED (
-  SELECT DISTINCT hi.doc_id AS hi, lo.doc_id AS lo
-  FROM member hi JOIN member lo ON hi.k = lo.k AND lo.doc_id < hi.doc_id
+  SELECT DISTINCT hi.doc_id AS hi, hi.turn AS turn, lo.doc_id AS lo
+  FROM member hi JOIN member lo ON hi.k = lo.k
+    AND (lo.turn < hi.turn OR (lo.turn = hi.turn AND lo.doc_id < hi.doc_id))
 ),
 node AS MATERIALIZED (
-  SELECT hi AS id, list(lo) AS lower_ids, row_number() OVER (ORDER BY hi) AS pos
-  FROM edge GROUP BY hi
+  SELECT hi AS id, list(lo) AS lower_ids, row_number() OVER (ORDER BY turn, hi) AS pos
+  FROM edge GROUP BY hi, turn
 ),
 scan AS (
   SELECT 0::BIGINT AS pos, []::BIGINT[] AS dropped
