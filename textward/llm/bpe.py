@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from textward.llm.common import per_worker
 
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 KEPT_CHUNKS = 250_000
 
 
