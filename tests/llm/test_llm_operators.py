@@ -182,6 +182,22 @@ def test_vectors_by_brute_force(rows):
     assert found >= 0.9 * want.sum()
 
 
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_every_link_of_rare_pairs_and_beside_a_hot_group(rows, hot):
+    r = np.random.default_rng(8)
+    base = r.normal(size=(3000, 32))
+    copies = base[:60] + r.normal(size=(60, 32)) * 0.3
+    group = base[70] + r.normal(size=(hot, 32)) * 0.05
+    x = np.concatenate([base, copies, group])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert 50 <= (want[:3060] > 0).sum() <= 200
+    data = [(i, list(map(float, v))) for i, v in enumerate(x)]
+    found = vectorindex.near_duplicates(rows(data, "vec_id bigint, embedding array<double>"))
+    got = {g.vec_id: g.n_links for g in found.collect()}
+    assert [got[i] for i in range(len(x))] == want.tolist()
+
+
 @pytest.mark.parametrize("scale", [1, 10**8])
 def test_top_k_by_brute_force(rows, scale):
     r = np.random.default_rng(4)
