@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from textward.operators import evaluate as ev
 from textward.operators import models
 from textward.operators.splitting import assign_split
-from textward.operators.tfidf import Tfidf
 from textward.plans import training
 from textward.plans.catalog.tables import (
     SCORED,
@@ -36,9 +35,7 @@ def _long(report: DataFrame) -> DataFrame:
 
 def logistic(spark: SparkSession, sf: str) -> DataFrame:
     splits = _labelled_splits(spark, sf)
-    trained = training.train_tfidf_logreg(
-        splits, id_col="doc_id", vectorizer=Tfidf(max_features=5000), max_iter=100
-    )
+    trained = training.train_tfidf_logreg(splits, id_col="doc_id")
     report, _ = training.held_out_report(splits, lambda df: trained.score(df, id_col="doc_id"))
     return _long(report)
 
@@ -57,7 +54,7 @@ def _embedding_splits(spark: SparkSession, sf: str) -> DataFrame:
 
 def boosted(spark: SparkSession, sf: str) -> DataFrame:
     splits = _embedding_splits(spark, sf)
-    model = training.train_embedding_boosted(splits, rounds=10, learning_rate=0.2, max_depth=3)
+    model = training.train_embedding_boosted(splits)
 
     def score(df: DataFrame) -> DataFrame:
         with_features = df.withColumn("features", training.as_vector("embedding"))
