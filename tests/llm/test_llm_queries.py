@@ -115,6 +115,23 @@ def test_pipeline_stages(spark, small):
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in tokens)
 
 
+def test_near_stage_keeps_one_row_of_each_group(spark, small, rows):
+    base = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcdefg"]
+    a, b, c, d, e, f, g = base
+    near = " ".join(a.split()[:-1])
+    data = [(1, a), (2, near), (None, a), (3, b), (3, near), (4, c), (4, c), (4, d)]
+    data += [(None, e), (None, e), (None, f), (5, g), (None, None), (None, None), (6, "")]
+    docs = rows(data, "doc_id bigint, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_stage(spark, docs, small).collect()]
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    groups = []
+    for row in sorted(data, key=lambda x: (x[0] is None, x[0] or 0)):
+        alike = lambda o: 5 * len(grams(row[1]) & grams(o[1])) >= 4 * len(grams(row[1]) | grams(o[1]))
+        if not row[1] or not any(o[1] and alike(o) for o in groups):
+            groups.append(row)
+    assert sorted(got, key=str) == sorted(groups, key=str)
+
+
 def test_stages_take_empty_tables(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
