@@ -1,7 +1,9 @@
 """The operators on small fixtures: brute force, and nulls, ties, repeats, odd columns."""
 
 import random
+import re
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -158,6 +160,25 @@ def test_near_duplicates_by_brute_force(rows, length):
         assert (x.n_shingles, x.component_id) == (len(sets[x.doc_id]), find(x.doc_id))
 
 
+def test_line_dedup_misses_what_the_readme_says(rows):
+    readme = (Path(__file__).resolve().parents[2] / "README.md").read_text()
+    told = re.findall(r"^\| (\d+) \| (\d+) % \| (\d+) % \|$", readme, re.M)
+    assert [int(n) for n, _, _ in told] == [2, 3, 4, 5, 6, 10, 30]
+    r, pairs = random.Random(12), 400
+    fresh = lambda n: [str(r.random()) for _ in range(n)]
+    texts = []
+    for n, _, _ in told:
+        for shared in [fresh(int(n)) for _ in range(pairs)]:
+            texts += ["\n".join(fresh(15) + shared + fresh(15)) for _ in range(2)]
+    docs = rows(list(enumerate(texts)), "doc_id bigint, text string")
+    found = lines.dedup_lines(docs).select("doc_id", "_n_removed").collect()
+    gone = dict(tuple(x) for x in found)
+    for i, (n, some, share) in enumerate(told):
+        later = [gone[2 * pairs * i + 2 * k + 1] for k in range(pairs)]
+        assert 100 * sum(x > 0 for x in later) / pairs == pytest.approx(int(some), abs=9)
+        assert 100 * sum(later) / pairs / int(n) == pytest.approx(int(share), abs=6)
+
+
 def test_runs_that_small_sets_share():
     assert minhash.run_length(Fraction(4, 5)) == (3, 5)
 
