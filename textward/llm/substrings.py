@@ -1,13 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv factors over indexed blocks of all documents.
+"""Substring dedup by hashes of windows, after a filter by indexed blocks of all documents.
 
 Every document is a reference for those with larger ids. Its blocks are runs of ``BLOCK`` words,
 chosen by content: of each window of ``WINDOW`` consecutive words the block with the smallest hash
 (a minimizer), so equal windows choose equal blocks wherever they stand. The index counts the
-different texts that hold a block. Parsing a document greedily, a window whose block no other text
-holds can't be copied and ends a factor; what lies between such windows are the possible factors.
-At their windows the factors are checked to the word: a window belongs to a factor if its hash
-occurs in a document with a smaller id. Runs of such windows are the duplicate spans; shorter
-factors have no window and are left alone.
+different texts that hold a block. A window whose block no other text holds can't be copied; all
+others are open, and an open window is copied if its hash occurs in a document with a smaller id.
+Runs of such windows are the duplicate spans. This stands in place of a relative Lempel-Ziv parse:
+no match is extended greedily.
 
 Texts that are equal as a whole are represented by the smallest id from the start. All shuffles
 carry hashes and are reduced before (smallest id per hash), so a passage that a third of all
