@@ -51,6 +51,20 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where lambdas name it many times."""
+    return F.transform(F.array(value), use)[0]
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case, all other letters as they are."""
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+
+
 def join_on(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join on one column where a null key equals a null key; ``right`` gives its other columns."""
     other = right.withColumnRenamed(key, "_right_key")

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from textward.llm import (
     bpe,
     chat,
+    decontaminate,
+    divergence,
+    lexical,
     lines,
     maxscore,
     minhash,
@@ -164,6 +167,30 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        _sha(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
+def op13_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Item ids have the type that they have in the table."""
+    items = table(spark, sf, "benchmark")
+    found = lexical.search(table(spark, sf, "documents"), items, k=20)
+    kind = items.schema["item_id"].dataType
+    return found.select(F.col("item").cast(kind).alias("item_id"), "rank", "doc_id", "score")
+
+
 OP10_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -311,6 +338,120 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 5
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), grams AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT item, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM (SELECT *, least(len(w), 10) AS n FROM items) WHERE n > 0)
+), places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM docs, (SELECT DISTINCT n FROM grams))
+), hits AS (
+  SELECT doc_id, n, i, item FROM places JOIN grams USING (n, gram)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM (SELECT DISTINCT doc_id, n, i FROM hits))
+  GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS key, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (
+  SELECT key, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT key) >= 3
+), counted AS (
+  SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT lang, source, coalesce(any_value(n), 0) AS n, coalesce(any_value(v), 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN (SELECT lang, source, sum(c)::HUGEINT AS n FROM counted GROUP BY ALL) USING (lang, source)
+  LEFT JOIN sizes USING (lang) GROUP BY lang, source
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+         (1 + 1000000000::HUGEINT * (coalesce(c, 0) + 1) // (n + v))::HUGEINT AS p
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counted USING (lang, source, term)
+), whole AS (
+  SELECT lang, term, (1 + 1000000000::HUGEINT * (sum(c) + 1) // (any_value(n) + any_value(v)))::HUGEINT AS q
+  FROM counted JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM groups GROUP BY lang) USING (lang)
+  GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value
+  FROM shares JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r
+  FROM terms QUALIFY r <= 200
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked
+"""
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS key, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), sizes AS (
+  SELECT count(*)::BIGINT AS all_docs, sum(len(w))::BIGINT AS all_terms FROM docs WHERE len(w) > 0
+), postings AS (
+  SELECT key, doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT key, doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY key, doc_id, term
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * all_docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), sizes
+), scored AS (
+  SELECT item_id, key, doc_id,
+         sum(times * w * (1000000000 * tf // (1000 * tf + 12 * (75 + 25 * n * all_docs // all_terms)))) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), sizes
+  GROUP BY item_id, key, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score::BIGINT AS score FROM ranked WHERE rank <= 20
+"""
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]):
     @functools.wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,6 +472,9 @@ _QUERIES = {
     "op7_vectors": op7_vectors,
     "op9_topk": op9_topk,
     "op10_chat": op10_chat,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_divergence": op12_divergence,
+    "op13_search": op13_search,
 }
 
 QUERIES = {name: _prepared(query) for name, query in _QUERIES.items()}
@@ -342,4 +486,7 @@ ORACLES = {
     "op7_vectors": OP7_SQL,
     "op9_topk": OP9_SQL,
     "op10_chat": OP10_SQL,
+    "op11_decontaminate": OP11_SQL,
+    "op12_divergence": OP12_SQL,
+    "op13_search": OP13_SQL,
 }
