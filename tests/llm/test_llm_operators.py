@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from fractions import Fraction
 from pathlib import Path
 
@@ -74,6 +75,36 @@ def test_prefix_counts_as_the_library():
             assert counter.fitting(text, budget) == max(fits)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_budgets_inside_long_chunks(seed, monkeypatch):
+    monkeypatch.setattr(token_counts, "SHORT", 4)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, counter = Tokenizer.from_file(path), token_counts.Counter(path)
+    n = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    r = random.Random(seed)
+    parts = ["aΣb", "日本語", "isn't", "\n", "!!", "<|endoftext|>", "'re", "12", "é", "unbelievable", "É", "<|", "😀"]
+    for i in range(60):
+        text = "".join(r.choices(parts, k=12))
+        fits = [j for j in range(len(text) + 1) if n(text[:j]) <= i % 20]
+        if n(text) > i % 20:
+            assert counter.fitting(text, i % 20) == max(fits)
+
+
+@pytest.mark.parametrize("part", ["line\n", "漢字かな", "ab", "!?"])
+def test_budgets_of_long_texts_without_blanks(part):
+    counter = token_counts.Counter(public_tokenizers.path("word_bpe_49k.json"))
+
+    def took(n):
+        text = part * (n // len(part))
+        start = time.process_time()
+        total = counter.count(text)
+        assert 0 < counter.fitting(text, total // 2) < len(text)
+        return time.process_time() - start
+
+    # Linear in the text; asking each prefix anew would take 100 times as long.
+    assert took(200_000) < 30 * max(took(20_000), 0.2)
+
+
 def test_odd_rows(spark, rows):
     docs = rows(ODD, ODD_SCHEMA)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")

@@ -7,6 +7,11 @@ it. With the last token the prefix stores its count, which answers how many toke
 and where a budget of tokens ends, without encoding again.
 
 Words are taken in sorted order and share the entries of the prefix they have in common.
+
+Defined results: null and empty texts have no tokens; repeated rows have equal counts; texts of any
+length are counted whole, and a budget's end is found in time linear in the text, unless a chunk
+without blanks isn't in NFC or changes its length in lower case: then each prefix of that chunk is
+asked; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from textward.llm.common import per_worker
 KEPT_CHUNKS = 700_000
 KEPT_PAIRS = 500_000
 BLOCK_CHARS = 3_000_000
+# Chunks and words up to this length are asked for each prefix anew.
+SHORT = 64
 
 
 def byte_letters() -> list[str]:
@@ -118,7 +125,8 @@ class Counter:
             raise ValueError(f"{path}: not a lower-case BPE with word ends")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.tables = PrefixTables(merges, set(model["vocab"]), model["end_of_word_suffix"])
-        self.find = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        pattern = regex.compile(steps[0]["pattern"]["Regex"])
+        self.find, self.match = pattern.findall, pattern.finditer
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.letters = {b: c for b, c in enumerate(byte_letters())}
@@ -183,8 +191,49 @@ class Counter:
             out.append(total)
         return out
 
+    def places(self, chunk: str) -> list[tuple[int, int, int, bool]] | None:
+        """``(start, end, tokens, special)`` of the chunk's words; None if these have no place in it.
+
+        Lower case and NFC can change a text's length; then words aren't parts of the chunk.
+        """
+        if len(chunk.lower()) != len(chunk) or not unicodedata.is_normalized("NFC", chunk):
+            return None
+        pieces, lo = [], 0
+        for found in self.special.finditer(chunk) if self.special else ():
+            pieces += [(lo, found.start(), False), (found.start(), found.end(), True)]
+            lo = found.end()
+        spans = []
+        for lo, hi, special in [*pieces, (lo, len(chunk), False)]:
+            if special:
+                spans.append((lo, hi, True))
+            else:
+                lowered = chunk[lo:hi].replace("Σ", "σ").lower()
+                spans += [(lo + m.start(), lo + m.end(), False) for m in self.match(lowered)]
+        words = [self._words(chunk[lo:hi]) for lo, hi, special in spans if not special]
+        if any(len(w) != 1 for w in words):
+            return None
+        unknown = {w for (w,) in words if w not in self.words}
+        self.words.update(self.tables.count_all(list(unknown)))
+        counts = iter(words)
+        return [(lo, hi, 1 if s else self.words[next(counts)[0]], s) for lo, hi, s in spans]
+
+    def word_prefixes(self, part: str) -> list[int]:
+        """Tokens of ``part[:i]`` for each i, of one run of letters or of signs; linear."""
+        (word,) = self._words(part)
+        tokens, counts = [""], [0]
+        self.tables.extend(word, tokens, counts, 0)
+        ends, at = [0], 0
+        for letter in part.replace("Σ", "σ").lower():
+            at += len(letter.encode())
+            ends.append(at)
+        return [self.tables.closed(word, tokens, counts, at) for at in ends]
+
     def fitting(self, text: str, budget: int) -> int:
-        """Length of the longest prefix, in characters, with at most ``budget`` tokens."""
+        """Length of the longest prefix, in characters, with at most ``budget`` tokens.
+
+        Running totals of whole chunks and words lead to the word in which the budget ends; the
+        stored counts of its prefixes tell where.
+        """
         used = at = best = 0
         for chunk in text.split(" "):
             # A blank alone adds no token, so the place behind it fits if the place before does.
@@ -193,11 +242,33 @@ class Counter:
                 at += len(chunk) + 1
                 best = at - 1
                 continue
-            # Counts inside a word can fall again, so every prefix of the chunk is asked.
-            inside = self.prefix_counts(chunk)
-            return max([at + i for i, n in enumerate(inside) if used + n <= budget] + [best])
+            return max(best, at + self._fitting_chunk(chunk, budget - used))
         return len(text)
 
+    def _fitting_chunk(self, chunk: str, budget: int) -> int:
+        """As ``fitting`` for one chunk that has more tokens than the budget."""
+        words = self.places(chunk) if len(chunk) > SHORT else None
+        if words is None:
+            # Counts inside a word can fall again, so every prefix of the chunk is asked.
+            return max(i for i, n in enumerate(self.prefix_counts(chunk)) if n <= budget or not i)
+        used = over = 0
+        while used + words[over][2] <= budget:
+            used += words[over][2]
+            over += 1
+        lo, hi, _, special = words[over]
+        following = words[over + 1][3] if over + 1 < len(words) else False
+        if special or following:
+            # A cut special string is plain text, one word with signs before it.
+            first = max(0, over - 1)
+            used -= sum(n for _, _, n, _ in words[first:over])
+            lo, hi = words[first][0], words[over + following][1]
+            inside = self.prefix_counts(chunk[lo:hi])
+        elif hi - lo <= SHORT:
+            inside = self.prefix_counts(chunk[lo:hi])
+        else:
+            inside = self.word_prefixes(chunk[lo:hi])
+        return lo + max(i for i, n in enumerate(inside) if used + n <= budget or not i)
+
 
 def count_tokens(text: Column | str, tokenizer_path: str, budget: int | None = None) -> Column:
     """``struct<n_tokens bigint, fits bigint>`` of each whole text; a null text counts as empty.
