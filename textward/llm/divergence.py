@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,7 +37,8 @@ from pyspark.sql.window import Window
 from textward.llm.common import ascii_lower
 from textward.sources.store import materialize
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Terms once A-Z are lower-cased.
+LOWERED = r"[^\x00-\x60\x7B-\x7F]+"
 LEAST_DOCS = 3
 SCALE = 10**9
 TOP_TERMS = 200
@@ -143,19 +145,17 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(counts: DataFrame) -> DataFrame:
-    """``lang, source, term, n, df, low, high`` per chunk that holds the term; a chunk is read once."""
-    terms = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
+    """``lang, source, term, n, df, low, high`` per chunk and each term in it; a chunk is read once."""
+    terms = F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(LOWERED), F.lit(0))
     tokens = (
         counts.where("chunk IS NOT NULL")
         .select("chunk")
         .distinct()
-        .select("chunk", F.explode(terms).alias("term"))
-        .select("chunk", ascii_lower(F.col("term")).alias("term"))
-        .groupBy("chunk", "term")
-        .agg(F.count("*").alias("times"))
+        .select("chunk", terms.alias("terms"))
     )
+    # A term that a chunk holds twice gives two rows.
     return counts.join(tokens, "chunk").select(
-        "lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "df", "low", "high"
+        "lang", "source", F.explode("terms").alias("term"), "n", "df", "low", "high"
     )
 
 
@@ -196,22 +196,21 @@ def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     Rows without a term name the sources, with the share of a count of 0 and whether the source is
     the tile's.
     """
-    term, source, share = (rows[c].to_pylist() for c in ("term", "source", "share"))
-    mine = rows["mine"].to_pylist()
-    base = {s: (p, m) for t, s, p, m in zip(term, source, share, mine) if t is None}
-    names = sorted(base)
-    place = {s: i for i, s in enumerate(names)}
-    slots: dict[str, int] = {}
-    at = [(place[s], slots.setdefault(t, len(slots)), p) for t, s, p in zip(term, source, share) if t is not None]
-    zero = np.array([base[s][0] for s in names], np.int64)
-    left = [i for i, s in enumerate(names) if base[s][1]]
-    row, column, value = np.array(at, np.int64).reshape(-1, 3).T
-    order = np.argsort(column, kind="stable")
-    row, column, value = row[order], column[order], value[order]
+    named = pc.is_null(rows["term"])
+    listed = rows.filter(named).sort_by("source")
+    names = listed["source"].to_pylist()
+    zero = listed["share"].to_numpy()
+    left = np.flatnonzero(listed["mine"].to_numpy()).tolist()
+    held = rows.filter(pc.invert(named))
+    terms = held["term"].combine_chunks().dictionary_encode()
+    row = pc.index_in(held["source"], listed["source"].combine_chunks()).to_numpy()
+    order = np.argsort(terms.indices.to_numpy(), kind="stable")
+    row, column = row[order], terms.indices.to_numpy()[order]
+    value, n_terms = held["share"].to_numpy()[order], len(terms.dictionary)
     sums = np.zeros((len(left), len(names)), np.int64)
     step = max(1, STEP_CELLS // max(1, len(names)))
-    for lo in range(0, len(slots), step):
-        hi = min(lo + step, len(slots))
+    for lo in range(0, n_terms, step):
+        hi = min(lo + step, n_terms)
         a, b = np.searchsorted(column, [lo, hi])
         shares = np.repeat(zero[:, None], hi - lo, axis=1)
         shares[row[a:b], column[a:b] - lo] = value[a:b]
