@@ -7,6 +7,10 @@ at all its positions at once, and only the pairs with touched neighbours are loo
 
 A block is a bounded number of characters, so memory doesn't grow with the corpus, and nothing is
 shuffled: the words a worker has seen are kept, up to a bound, for its later blocks.
+
+Defined results: null and empty texts have no ids; a repeated row has the same ids each time; ids,
+ties and the order of merges depend on the text and the ranks alone; texts of any length are encoded
+whole, one longer than a block is a block; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ from pyspark.sql import functions as F
 
 from textward.llm.common import per_worker
 
-BLOCK_CHARS = 2_000_000
-KEPT_CHUNKS = 250_000
+BLOCK_CHARS = 1_000_000
+KEPT_CHUNKS = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -246,6 +250,40 @@ def _merges(path: str) -> Merges:
     return per_worker(("merges", path), lambda: Merges(read_ranks(path)))
 
 
+def _encoder(ranks_path: str, pattern: str) -> Encoder:
+    # The tables hold no cycles, and looking for some among millions of entries is slow.
+    gc.disable()
+    return per_worker(("encoder", ranks_path, pattern), lambda: Encoder(_merges(ranks_path), pattern))
+
+
+class Decoder:
+    """The bytes of lists of ids."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.letters = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.start = np.cumsum(self.length) - self.length
+
+    def of(self, ids: np.ndarray) -> bytes:
+        return self.letters[_spread(self.start[ids], self.length[ids])].tobytes()
+
+
+def _decoder(ranks_path: str) -> Decoder:
+    return per_worker(("decoder", ranks_path), lambda: Decoder(_tokens(read_ranks(ranks_path))))
+
+
+def _encoded(encoder: Encoder, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' ids behind each other, and where each text's ids end."""
+    blocks = list(encoder.encode(texts))
+    ids = np.concatenate([b[0] for b in blocks] or [np.empty(0, np.int32)])
+    return ids, np.cumsum(np.concatenate([b[1] for b in blocks] or [np.empty(0, np.int64)]))
+
+
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    # A batch has 64 MB at most unless it is one row, so its ids are fewer than 2^31.
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids))
+
+
 def encode(text: Column | str, ranks_path: str, pattern: str) -> Column:
     """Token ids (``array<int>``) of each whole text; a null or empty text has none.
 
@@ -254,23 +292,42 @@ def encode(text: Column | str, ranks_path: str, pattern: str) -> Column:
     """
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # The tables hold no cycles, and looking for some among millions of entries is slow.
-        gc.disable()
-        encoder = per_worker(
-            ("encoder", ranks_path, pattern), lambda: Encoder(_merges(ranks_path), pattern)
-        )
+        encoder = _encoder(ranks_path, pattern)
         for column in texts:
-            blocks = list(encoder.encode([t or "" for t in column.to_pylist()]))
-            ids = np.concatenate([b[0] for b in blocks] or [np.empty(0, np.int32)])
-            ends = np.cumsum(np.concatenate([b[1] for b in blocks] or [np.empty(0, np.int64)]))
-            yield pa.ListArray.from_arrays(
-                pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids)
-            )
+            yield _lists(*_encoded(encoder, [t or "" for t in column.to_pylist()]))
 
     run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "array<int>")(text)
 
 
+def round_trip(
+    text: Column | str, ranks_path: str, pattern: str, *, keep_decoded: bool = False
+) -> Column:
+    """``struct<ids array<int>, same boolean, decoded binary>`` of each text, by one worker.
+
+    ``same``: the bytes that the ids decode to are the text's. The bytes themselves are returned
+    only if asked for, else null. A null text counts as empty.
+    """
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+        for column in texts:
+            read = [t or "" for t in column.to_pylist()]
+            ids, ends = _encoded(encoder, read)
+            same, decoded = [], []
+            for t, lo, hi in zip(read, [0, *ends.tolist()], ends.tolist()):
+                raw = decoder.of(ids[lo:hi])
+                same.append(raw == t.encode())
+                decoded.append(raw if keep_decoded else None)
+            yield pa.StructArray.from_arrays(
+                [_lists(ids, ends), pa.array(same, pa.bool_()), pa.array(decoded, pa.binary())],
+                names=["ids", "same", "decoded"],
+            )
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "struct<ids array<int>, same boolean, decoded binary>")(text)
+
+
 def decode(ids: Column | str, ranks_path: str) -> Column:
     """The bytes (``binary``) of each list of ids; a null list or an empty one gives no bytes.
 
@@ -278,20 +335,14 @@ def decode(ids: Column | str, ranks_path: str) -> Column:
     """
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = per_worker(("tokens", ranks_path), lambda: _tokens(read_ranks(ranks_path)))
-        letters = np.frombuffer(b"".join(tokens), np.uint8)
-        length = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        start = np.cumsum(length) - length
+        decoder = _decoder(ranks_path)
         for column in columns:
             if column.flatten().null_count:
                 raise ValueError("a null among the token ids")
             flat = column.flatten().to_numpy()
             sizes = np.array([n or 0 for n in pc.list_value_length(column).to_pylist()], int)
             ends = np.cumsum(sizes).tolist()
-            out = []
-            for lo, hi in zip([0, *ends], ends):
-                ids = flat[lo:hi]
-                out.append(letters[_spread(start[ids], length[ids])].tobytes())
+            out = [decoder.of(flat[lo:hi]) for lo, hi in zip([0, *ends], ends)]
             yield pa.array(out, pa.binary())
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -34,15 +34,16 @@ def _sha(column: Column | str) -> Column:
 
 def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = table(spark, sf, "documents").select(
-        "doc_id", bpe.encode("text", path, public_tokenizers.PATTERN).alias("ids")
-    )
-    both = ids.select("doc_id", "ids", bpe.decode("ids", path).alias("decoded"))
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        _sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
-        _sha("decoded").alias("decoded_sha256"),
+    both = bpe.round_trip("text", path, public_tokenizers.PATTERN, keep_decoded=True)
+    return (
+        table(spark, sf, "documents")
+        .select("doc_id", both.alias("b"))
+        .select(
+            "doc_id",
+            F.size("b.ids").cast("bigint").alias("n_tokens"),
+            _sha(F.array_join(F.col("b.ids").cast("array<string>"), " ")).alias("ids_sha256"),
+            _sha("b.decoded").alias("decoded_sha256"),
+        )
     )
 
 
