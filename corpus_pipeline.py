@@ -75,16 +75,14 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether decoding them gives the text back."""
     prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = docs.withColumn("ids", bpe.encode("text", path, public_tokenizers.PATTERN))
-    back = ids.withColumn("decoded", bpe.decode("ids", path))
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return back.select(
+    both = bpe.round_trip("text", path, public_tokenizers.PATTERN)
+    return docs.select("doc_id", "lang", "source", both.alias("b")).select(
         "doc_id",
         "lang",
         "source",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        same.alias("round_trip"),
+        F.size("b.ids").cast("bigint").alias("n_tokens"),
+        F.col("b.ids").alias("ids"),
+        F.col("b.same").alias("round_trip"),
     )
 
 
