@@ -267,8 +267,17 @@ def drift_alert(
     )
 
 
-def hold(evaluations: DataFrame, hold_s: int, *, step_s: int = MINUTE) -> DataFrame:
-    """Active evaluations with ``pending_since`` and ``firing``.
+def _hold_of(alert: Column, hold_s: int | dict[str, int]) -> Column:
+    if isinstance(hold_s, int):
+        return F.lit(hold_s)
+    named = [F.lit(x) for pair in hold_s.items() for x in pair]
+    return F.create_map(*named)[alert]
+
+
+def hold(
+    evaluations: DataFrame, hold_s: int | dict[str, int], *, step_s: int = MINUTE
+) -> DataFrame:
+    """Active evaluations with ``pending_since`` and ``firing``; ``hold_s`` for all or by alert.
 
     An alert fires once it has been active at every step for ``hold_s``; an inactive or missing
     step resets it. A series has one row per step, so its rows are few.
@@ -283,7 +292,8 @@ def hold(evaluations: DataFrame, hold_s: int, *, step_s: int = MINUTE) -> DataFr
         .withColumn("pending_since", F.min("eval_ts").over(run))
         .withColumn(
             "firing",
-            F.unix_seconds("eval_ts") - F.unix_seconds("pending_since") >= F.lit(hold_s),
+            F.unix_seconds("eval_ts") - F.unix_seconds("pending_since")
+            >= _hold_of(F.col("alert"), hold_s),
         )
         .select("alert", "series", "eval_ts", "pending_since", "firing")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textward.operators import monitor
 from textward.operators.monitor import HOUR, MINUTE
+from textward.plans import alerting
 from textward.plans.catalog.sources import _logged
 from textward.plans.catalog.tables import (
     PREDICTIONS,
@@ -17,13 +18,14 @@ from textward.plans.catalog.tables import (
     table,
 )
 from textward.sources.store import materialize, scratch_path
-from textward.streaming.holds import stream_hold
+from textward.streaming.holds import stateful_session, stream_hold
 from textward.streaming.predictions import (
     start_table_sink,
     stream_counts,
     stream_histograms,
     stream_trailing_sums,
 )
+from textward.streaming.sinks import read_part
 
 
 def _seconds(df: DataFrame, *names: str) -> DataFrame:
@@ -151,25 +153,38 @@ def held(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def held_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The evaluations arrive in three files, in time order."""
+    """The evaluations arrive in three parts, in time order.
+
+    Each part is a run of its own that goes on from the checkpoint of the one before.
+    """
     evaluations = materialize(monitor.class_imbalance(predictions(spark, sf)), "evaluations")
     base = scratch_path(spark, "evaluations-in")
-    ends = evaluations.agg(F.min(F.unix_seconds("eval_ts")), F.max(F.unix_seconds("eval_ts"))).first()
-    first, last = ends
-    cuts = [first, first + (last - first) // 3, first + 2 * (last - first) // 3, last + 1]
     at = F.unix_seconds("eval_ts")
+    first, last = evaluations.agg(F.min(at), F.max(at)).first()
+    cuts = [first, first + (last - first) // 3, first + 2 * (last - first) // 3, last + 1]
+    session = stateful_session(spark)
+    out = scratch_path(spark, "held")
     for lo, hi in zip(cuts[:-1], cuts[1:]):
-        part = evaluations.where((at >= lo) & (at < hi))
-        part.coalesce(1).write.mode("append").parquet(base)
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    stream = (
-        session.readStream.schema(evaluations.schema).option("maxFilesPerTrigger", 1).parquet(base)
-    )
-    held_rows = _finish(spark, stream_hold(stream, HOUR), "held")
+        evaluations.where((at >= lo) & (at < hi)).write.mode("append").parquet(base)
+        stream = stream_hold(session.readStream.schema(evaluations.schema).parquet(base), HOUR)
+        start_table_sink(stream, f"{out}/rows", f"{out}/state", available_now=True).awaitTermination()
+    held_rows = spark.read.schema(stream.schema).parquet(f"{out}/rows")
     return _seconds(held_rows, "eval_ts", "pending_since")
 
 
+def alert_holds(spark: SparkSession, sf: str) -> DataFrame:
+    return _seconds(alerting.alert_holds(predictions(spark, sf)), "eval_ts", "pending_since")
+
+
+def alert_holds_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events to firing alerts in one streaming query."""
+    stream = as_predictions(stream_of(spark, sf, "events", stateful_session(spark)))
+    base = scratch_path(spark, "alerts")
+    alerting.start_alerts(stream, base, f"{base}/state", available_now=True).awaitTermination()
+    schema = alerting.stream_alert_holds(stream).drop("late").schema
+    return _seconds(read_part(spark, base, "held", schema), "eval_ts", "pending_since")
+
+
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
     """Three events make a request, each answered by another family; failed calls have no label."""
     rows = predictions(spark, sf)
@@ -225,6 +240,8 @@ QUERIES = {
     "k09_drift_alert": drift,
     "k10_hold_time": held,
     "k10_hold_time_stream": held_stream,
+    "k10_alert_holds": alert_holds,
+    "k10_alert_holds_stream": alert_holds_stream,
     "k11_family_disagreement": disagreements,
     "k12_recent_log": recent,
     "k13_deployed_versions": deployed,
@@ -419,3 +436,30 @@ SELECT * FROM batch WHERE eval_ts <= (SELECT epoch(max(ts)) - 600 FROM events)""
         "k08_class_imbalance",
     )
 }
+
+_HOLDS = ", ".join(f"('{alert}', {hold_s})" for alert, hold_s in alerting.HOLDS.items())
+_ACTIVE = " UNION ALL ".join(
+    f"SELECT alert, series, eval_ts FROM ({ORACLES[name]})"
+    for name in (
+        "k05_high_error_rate",
+        "k06_high_latency",
+        "k07_confidence_collapse",
+        "k08_class_imbalance",
+    )
+)
+ORACLES["k10_alert_holds"] = f"""
+WITH active AS ({_ACTIVE}), holds(alert, hold_s) AS (VALUES {_HOLDS}),
+marked AS (
+  SELECT *, coalesce(eval_ts - lag(eval_ts) OVER w <> 60, true) AS starts
+  FROM active WINDOW w AS (PARTITION BY alert, series ORDER BY eval_ts)
+),
+runs AS (
+  SELECT *, max(CASE WHEN starts THEN eval_ts END) OVER (
+    PARTITION BY alert, series ORDER BY eval_ts ROWS UNBOUNDED PRECEDING) AS pending_since
+  FROM marked
+)
+SELECT alert, series, eval_ts, pending_since, eval_ts - pending_since >= hold_s AS firing
+FROM runs JOIN holds USING (alert)"""
+ORACLES["k10_alert_holds_stream"] = f"""
+WITH batch AS ({ORACLES['k10_alert_holds']})
+SELECT * FROM batch WHERE eval_ts <= (SELECT epoch(max(ts)) - 600 FROM events)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,14 @@ from pyspark.sql import functions as F
 
 from textward.operators import evaluate as ev
 from textward.operators import models
+from textward.operators.monitor import LATENCY_EDGES
 from textward.operators.splitting import assign_split
-from textward.plans import training
+from textward.plans import serving, training
 from textward.plans.catalog.tables import (
     SCORED,
     corpus,
     scored_labels,
+    sql_sample_key,
     sql_split,
     stream_of,
     table,
@@ -115,6 +118,54 @@ def stream_records(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows")
 
 
+def _served(spark: SparkSession, sf: str) -> str:
+    """Documents as requests, ten minutes apart, served into the tables of a folder."""
+    requests = stream_of(spark, sf, "documents").select(
+        "doc_id",
+        F.timestamp_seconds(F.col("doc_id") * 600).alias("ts"),
+        "text",
+        ((F.col("doc_id") % 300) / F.lit(100.0)).alias("latency_s"),
+    )
+    base = scratch_path(spark, "served")
+    serving.start_serving(
+        requests,
+        length_scorer,
+        base,
+        f"{base}/state",
+        id_col="doc_id",
+        family="tfidf_logreg",
+        model_version="3",
+        data_version="v1",
+        rate=0.1,
+        width="1 day",
+        available_now=True,
+    ).awaitTermination()
+    return base
+
+
+def rejects_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{_served(spark, sf)}/rejects")
+    return rows.select("doc_id", F.unix_seconds("ts").alias("ts"), "reason", "n_chars")
+
+
+def serving_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Records, sampled log, counters and one histogram bucket list, in one long table."""
+    base = _served(spark, sf)
+    read = lambda name: spark.read.parquet(f"{base}/{name}")
+    part = lambda name, of, key, value: of.select(
+        F.lit(name).alias("part"), key.cast("string").alias("key"), value.cast("double").alias("value")
+    )
+    at = lambda *names: F.concat_ws("|", F.unix_seconds("window_start"), *names)
+    hist = serving.total_histograms(read("histograms")).where("metric = 'latency_s'")
+    parts = [
+        part("record", read("records"), F.concat_ws("|", "doc_id", "label"), F.col("confidence")),
+        part("log", read("log"), F.concat_ws("|", "doc_id", F.col("date").cast("string")), F.length("text")),
+        part("count", serving.total_counts(read("counts")), at("label"), F.col("count")),
+        part("latency", hist, at(F.when(F.col("le") < 1e9, (F.col("le") * 1000).cast("int")).otherwise(-1)), F.col("bucket")),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def held_out(spark: SparkSession, sf: str) -> DataFrame:
     splits = assign_split(corpus(spark, sf)).select("doc_id", "split")
     scored = scored_labels(spark, sf).join(splits, "doc_id")
@@ -135,6 +186,8 @@ QUERIES = {
     "g04_score_batches": batched,
     "g05_prediction_records": records,
     "g05_prediction_records_stream": stream_records,
+    "g05_serving_stream": serving_stream,
+    "c14_rejects_stream": rejects_stream,
     "g06_held_out_report": held_out,
     "g06_test_source_f1": held_out_sources,
 }
@@ -165,6 +218,28 @@ FROM t GROUP BY ALL""",
 SELECT doc_id, length(text) % 1000 / 1000.0::DOUBLE AS score FROM documents""",
     "g05_prediction_records": _RECORDS,
     "g05_prediction_records_stream": _RECORDS,
+    "g05_serving_stream": f"""
+WITH r AS (
+  SELECT doc_id, doc_id * 600 AS at_s, length(text) AS n, length(text) % 1000 / 1000.0::DOUBLE AS p,
+         doc_id % 300 / 100.0::DOUBLE AS latency
+  FROM documents WHERE length(text) BETWEEN 1 AND 10000
+), s AS (
+  SELECT *, CASE WHEN p >= 0.5 THEN 'jailbreak' ELSE 'benign' END AS label, at_s // 86400 * 86400 AS w FROM r
+), edges(le) AS (VALUES {", ".join(f"({e}::DOUBLE)" for e in LATENCY_EDGES)}, ('inf'::DOUBLE))
+SELECT 'record' AS part, doc_id || '|' || label AS key, CASE WHEN p >= 0.5 THEN p ELSE 1 - p END AS value FROM s
+UNION ALL
+SELECT 'log', doc_id || '|' || (DATE '1970-01-01' + (at_s // 86400)::INT)::DATE::VARCHAR, n FROM s
+WHERE ('0x' || substr({sql_sample_key('doc_id')}, 1, 8))::BIGINT < {0.1 * 2**32}::DOUBLE
+UNION ALL
+SELECT 'count', w || '|' || label, count(*) FROM s GROUP BY ALL
+UNION ALL
+SELECT 'latency', w || '|' || CASE WHEN isinf(le) THEN -1 ELSE (le * 1000)::INT END,
+       count(*) FILTER (latency <= le) FROM s, edges GROUP BY w, le""",
+    "c14_rejects_stream": """
+SELECT doc_id, doc_id * 600 AS ts,
+       CASE WHEN text IS NULL THEN 'missing' WHEN text = '' THEN 'empty' ELSE 'too long' END AS reason,
+       length(text) AS n_chars
+FROM documents WHERE NOT coalesce(length(text) BETWEEN 1 AND 10000, false)""",
     "g06_held_out_report": f"""{_TESTED},
 c AS (
   SELECT split, count(*) FILTER (y_true = 1 AND score >= 0.5) AS tp,

@@ -97,15 +97,18 @@ PREDICTIONS = """predictions AS (
 )"""
 
 
-def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def stream_of(
+    spark: SparkSession, sf: str, name: str, session: SparkSession | None = None
+) -> DataFrame:
     """A table as a stream of its file.
 
     A stream's state has as many partitions as its session shuffles into; the stream gets a session
     with one per core, since the default of hundreds costs more than these streams' rows.
     """
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    if session is None:
+        session = spark.newSession()
+        session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     return (
         session.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
     )
