@@ -38,3 +38,13 @@ def test_build_corpus(spark, small):
     labels = {r.label: r["count"] for r in built.rows.groupBy("label").count().collect()}
     assert labels[0] == labels[1]
     assert build_corpus(corpus(spark, small), id_col="doc_id", near_duplicates=False).rows.count() > 0
+
+
+def test_funnel_counts_repeated_and_odd_rows(spark):
+    data = [(1, "one two", 1), (2, "One  two", 1), (3, None, 0), (4, None, 0), (5, "", 0), (6, "three four", 1), (7, "x", None)]
+    merged = spark.createDataFrame(data, "id bigint, text string, label int")
+    for near in (True, False):
+        built = build_corpus(merged, id_col="id", near_duplicates=near)
+        assert [tuple(r)[1:] for r in built.funnel.orderBy("step").collect()] == [
+            ("merged", 7), ("deduped", 5 - near), ("balanced", 4 - 2 * near)
+        ]

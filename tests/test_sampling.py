@@ -84,3 +84,15 @@ def test_stage_counts(spark):
 def test_hot_label(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") % 50 == 0, 1).otherwise(0).cast("byte").alias("label"))
     assert counts(sampling.balance_classes(df, id_col="id")) == {1: 100, 0: 100}
+
+
+def test_balance_reads_the_table_twice_before_its_filter(spark, tmp_path):
+    df = spark.range(3000).select("id", (F.col("id") % 3 == 0).cast("int").alias("label"), F.lit("t").alias("text"))
+    df.write.parquet(str(tmp_path / "t"))
+    got = sampling.balance_classes(spark.read.parquet(str(tmp_path / "t")), 0.2, id_col="id")
+    plan = plan_of(got)
+    # What is left is one scan with a filter of literals.
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "ubquery" not in plan
+    assert counts(got) == {1: 500, 0: 2000}
+    kept = {r.id for r in got.where("label = 1").collect()}
+    assert kept == set(sorted(range(0, 3000, 3), key=key)[:500])

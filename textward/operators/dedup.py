@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from textward.functions.minhash import band_keys, band_layout
@@ -35,11 +35,15 @@ MAX_HOT_KEYS = 50_000
 TURN_DIGITS = 15
 
 
+def text_digest(text_col: str) -> Column:
+    """Equal for texts that normalize alike; null for a null text."""
+    return F.unhex(F.sha2(normalize(text_col), 256))
+
+
 def exact_survivors(df: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
     """Ids of the first row of every distinct normalized text."""
-    digest = F.unhex(F.sha2(normalize(text_col), 256))
     return (
-        df.select(id_col, digest.alias("_digest"))
+        df.select(id_col, text_digest(text_col).alias("_digest"))
         .groupBy("_digest")
         .agg(F.min(id_col).alias(id_col))
         .select(id_col)
@@ -114,17 +118,35 @@ def near_survivors(
     text_col: str = "text",
     threshold: float = DEFAULT_THRESHOLD,
     hot_key_rows: int = HOT_KEY_ROWS,
+    keep: tuple[str, ...] = (),
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Ids left after exact and near-duplicate removal."""
+    """Ids left after exact and near-duplicate removal, with the columns of ``keep``.
+
+    The texts are read once, into a narrow table of ids, digests and band keys; everything else
+    works on that table and no text is shuffled. ``observation`` gets ``n_rows``, the rows of
+    ``df``, counted by the task that writes them.
+    """
     bands, _ = band_layout(threshold)
-    unique = dedup_exact(df.select(id_col, text_col), id_col=id_col, text_col=text_col)
     text = normalize(F.coalesce(F.col(text_col), F.lit("")))
+    digest = F.when(F.col(text_col).isNotNull(), F.unhex(F.sha2(text, 256)))
+    narrow = df.select(
+        F.col(id_col).alias("_id"),
+        digest.alias("_digest"),
+        band_keys(text, threshold).alias("_keys"),
+        F.struct(F.lit(0).alias("_"), *keep).alias("_kept"),
+    )
+    if observation is not None:
+        narrow = narrow.observe(observation, F.count(F.lit(1)).alias("n_rows"))
+    hashed = materialize(narrow, "near-dup-hashes")
+    firsts = hashed.groupBy("_digest").agg(F.min("_id").alias("_id")).select("_id")
     rows = materialize(
-        unique.select(F.col(id_col).alias("_id"), band_keys(text, threshold).alias("_keys")),
-        "near-dup-bands",
+        hashed.drop("_digest").join(firsts, "_id", "left_semi"), "near-dup-bands"
+    )
+    losers = greedy_losers(rows.select("_id", "_keys"), bands, hot_key_rows)
+    return rows.join(losers, "_id", "left_anti").select(
+        F.col("_id").alias(id_col), *[F.col("_kept")[c].alias(c) for c in keep]
     )
-    losers = greedy_losers(rows, bands, hot_key_rows)
-    return rows.join(losers, "_id", "left_anti").select(F.col("_id").alias(id_col))
 
 
 def dedup_near(

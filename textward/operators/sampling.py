@@ -10,10 +10,11 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textward.functions.sampling import sample_key
+from textward.sources.store import materialize
 
 # Leading hex digits that slice the key space: 65 536 equal slices.
 _SLICE_DIGITS = 4
@@ -72,6 +73,48 @@ def balance_targets(n_pos: int, n_neg: int, target_ratio: float) -> tuple[int, i
     return math.floor(whole * share), math.floor(whole * (1 - share))
 
 
+def _class_bounds(
+    df: DataFrame, targets: dict[int, int], slices: DataFrame, id_col: str, label_col: str, seed: int
+) -> dict[int, Column]:
+    """Per class the greatest ``struct(_key, _id)`` among its first rows by key.
+
+    ``slices`` counts the keys of each class by their leading digits. It names one slice per class,
+    and one read of the table finds the bounds of all classes in theirs.
+    """
+    wanted = F.create_map(*[F.lit(x).cast("bigint") for pair in targets.items() for x in pair])
+    label = F.col("_label").cast("bigint")
+    before = F.col("_upto") - F.col("_cnt")
+    upto = F.sum("_cnt").over(Window.partitionBy("_label").orderBy("_slice"))
+    edges = (
+        slices.where(label.isin(list(targets)))
+        .withColumns({"_upto": upto, "_n": wanted[label]})
+        .where((before < F.col("_n")) & (F.col("_upto") >= F.col("_n")))
+        .select("_label", "_slice", (F.col("_n") - before).alias("_left"))
+        .collect()
+    )
+    key = sample_key(id_col, seed)
+    inside = F.lit(False)
+    left = F.lit(None).cast("bigint")
+    for e in edges:
+        here = (F.col(label_col) == e["_label"]) & key.startswith(e["_slice"])
+        inside, left = inside | here, F.when(here, F.lit(e["_left"])).otherwise(left)
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_key", "_id"))
+    found = (
+        df.where(inside)
+        .select(
+            F.col(label_col).alias("_label"), key.alias("_key"), F.col(id_col).alias("_id"), left.alias("_left")
+        )
+        .withColumn("_rank", rank)
+        .where("_rank = _left")
+        .collect()
+    )
+    kind = df.schema[id_col].dataType
+    return {
+        r["_label"]: F.struct(F.lit(r["_key"]).alias("_key"), F.lit(r["_id"]).cast(kind).alias("_id"))
+        for r in found
+    }
+
+
 def balance_classes(
     df: DataFrame,
     target_ratio: float = 0.5,
@@ -82,22 +125,31 @@ def balance_classes(
 ) -> DataFrame:
     """Downsample the larger class; unchanged when a class is missing.
 
-    One narrow aggregate job fixes the two targets, the sampling itself stays lazy. The smaller
-    class is always kept whole.
+    The smaller class is always kept whole. One aggregate over (class, slice of keys) gives the
+    sizes and where each bound lies, a second read the bounds; the result is a filter with literals.
     """
     label = F.col(label_col)
-    sizes = df.agg(F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")).first()
-    if not sizes.pos or not sizes.neg:
+    key = sample_key(id_col, seed)
+    slices = materialize(
+        df.where(label.isin(0, 1))
+        .groupBy(label.alias("_label"), F.left(key, F.lit(_SLICE_DIGITS)).alias("_slice"))
+        .agg(F.count("*").alias("_cnt")),
+        "class-slices",
+    )
+    sizes = {r["_label"]: r["n"] for r in slices.groupBy("_label").agg(F.sum("_cnt").alias("n")).collect()}
+    if len(sizes) < 2:
         return df
-    keep_pos, keep_neg = balance_targets(sizes.pos, sizes.neg, target_ratio)
+    keep = dict(zip((1, 0), balance_targets(sizes[1], sizes[0], target_ratio)))
+    cut = {v: n for v, n in keep.items() if n < sizes[v]}
+    bounds = _class_bounds(df, cut, slices, id_col, label_col, seed) if cut else {}
+    place = F.struct(key.alias("_key"), F.col(id_col).alias("_id"))
 
-    def kept(value: int, size: int, target: int) -> Column:
-        mine = label == value
-        if target == size:
-            return mine
-        return mine & _first_n(df.where(mine), target, id_col, seed)
+    def kept(value: int) -> Column:
+        if value not in cut:
+            return label == value
+        return (label == value) & (place <= bounds[value] if value in bounds else F.lit(False))
 
-    return df.where(kept(1, sizes.pos, keep_pos) | kept(0, sizes.neg, keep_neg))
+    return df.where(kept(1) | kept(0))
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -112,3 +164,13 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionAll(p)
     return out
+
+
+def observed_counts(spark: SparkSession, stages: dict[str, Observation]) -> DataFrame:
+    """As ``stage_counts`` from ``n_rows`` that the stages' own writes have observed.
+
+    An observation has to sit in the stage that writes, where a task counts once however often it
+    is tried.
+    """
+    rows = [(i, name, seen.get["n_rows"]) for i, (name, seen) in enumerate(stages.items())]
+    return spark.createDataFrame(rows, "step int, stage string, n_rows bigint")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from textward.operators.dedup import DEFAULT_THRESHOLD, exact_survivors, near_survivors
-from textward.operators.sampling import balance_classes, stage_counts
-from textward.operators.splitting import assign_split
+from textward.operators.dedup import DEFAULT_THRESHOLD, near_survivors, text_digest
+from textward.operators.sampling import balance_classes, observed_counts
+from textward.operators.splitting import PARTS, assign_split
 from textward.sources.store import materialize
 
 
@@ -25,21 +27,36 @@ def build_corpus(
     threshold: float = DEFAULT_THRESHOLD,
     near_duplicates: bool = True,
     target_ratio: float = 0.5,
-    ratios: tuple[float, float, float] = (0.7, 0.15, 0.15),
+    parts: Sequence[float] = PARTS,
     seed: int = 42,
 ) -> Corpus:
     """Dedup, balance and split a merged canonical table.
 
     The stages decide on ids and labels only; whole rows are joined to the final ids once, and the
-    split is an expression on top of that.
+    split is an expression on top of that. The funnel is counted by the tasks that write the stages.
     """
-    pick = near_survivors if near_duplicates else exact_survivors
-    options = {"threshold": threshold} if near_duplicates else {}
-    unique_ids = pick(merged, id_col=id_col, **options)
-    unique = materialize(
-        merged.select(id_col, "label").join(unique_ids, id_col, "left_semi"), "unique-ids"
+    read, left = Observation(), Observation()
+    if near_duplicates:
+        unique = near_survivors(
+            merged, id_col=id_col, threshold=threshold, keep=("label",), observation=read
+        )
+    else:
+        counted = materialize(
+            merged.select(id_col, "label", text_digest("text").alias("_digest")).observe(
+                read, F.count(F.lit(1)).alias("n_rows")
+            ),
+            "text-digests",
+        )
+        firsts = counted.groupBy("_digest").agg(F.min(id_col).alias(id_col)).select(id_col)
+        unique = counted.select(id_col, "label").join(firsts, id_col, "left_semi")
+    unique = materialize(unique.observe(left, F.count(F.lit(1)).alias("n_rows")), "unique-ids")
+    last = Observation()
+    kept = materialize(
+        balance_classes(unique, target_ratio, id_col=id_col, seed=seed)
+        .select(id_col)
+        .observe(last, F.count(F.lit(1)).alias("n_rows")),
+        "balanced-ids",
     )
-    kept = balance_classes(unique, target_ratio, id_col=id_col, seed=seed)
-    rows = assign_split(merged.join(kept.select(id_col), id_col, "left_semi"), ratios)
-    funnel = stage_counts({"merged": merged, "deduped": unique, "balanced": kept})
-    return Corpus(rows, funnel)
+    rows = assign_split(merged.join(kept, id_col, "left_semi"), parts)
+    stages = {"merged": read, "deduped": left, "balanced": last}
+    return Corpus(rows, observed_counts(merged.sparkSession, stages))

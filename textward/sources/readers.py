@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textward.functions import text as tx
 from textward.operators.sampling import sample_exact
 from textward.sources.schema import canonical
+from textward.sources.store import materialize
 
 # The source tags that downstream tables group by, and one data set id.
 RECORD_SOURCE = "dmtrdr_ru"
@@ -184,14 +185,16 @@ def article_sample(
     """First paragraphs of a seeded article sample.
 
     ``4 * n`` articles are drawn, the first ``n`` non-empty first paragraphs in draw order are
-    taken, and only then the line filters apply, so fewer than ``n`` rows may remain.
+    taken, and only then the line filters apply, so fewer than ``n`` rows may remain. The drawn
+    paragraphs are written once, so the second draw doesn't read the articles again.
     """
     drawn = sample_exact(articles.select(id_col, text_col), 4 * n, id_col=id_col, seed=seed)
     firsts = drawn.select(id_col, tx.first_paragraph(text_col, separator).alias("value")).where(
         F.col("value") != ""
     )
+    drawn_once = materialize(firsts, "first-paragraphs")
     return benign_lines(
-        sample_exact(firsts, n, id_col=id_col, seed=seed), "value", keep=(id_col,), **line_options
+        sample_exact(drawn_once, n, id_col=id_col, seed=seed), "value", keep=(id_col,), **line_options
     )
 
 
