@@ -26,7 +26,7 @@ SHINGLE = 4
 # Texts are worked off in groups of up to this many characters, so that a shingle common to several
 # is hashed once; it bounds the rows of the group's table at 512 bytes each.
 _GROUP_CHARS = 1 << 18
-_CHUNK = 64
+_CHUNK = 512
 _CACHE = 1 << 18
 
 
@@ -70,24 +70,71 @@ def _permuted(shingles: list[str], num_perm: int) -> np.ndarray:
     a, b = permutations(num_perm)
     hashes = np.fromiter(map(_hash32, shingles), dtype=np.uint64, count=len(shingles))
     table = np.empty((len(shingles), num_perm), dtype=np.uint32)
+    prime = np.uint64(MERSENNE_PRIME)
     for at in range(0, len(shingles), _CHUNK):
         part = hashes[at : at + _CHUNK, None] * a + b
-        part %= np.uint64(MERSENNE_PRIME)
-        part &= np.uint64(MAX_HASH)
-        table[at : at + _CHUNK] = part
+        # Modulo 2^61 - 1: the high bits count once more, then at most one subtraction is left.
+        low = part & prime
+        part >>= np.uint64(61)
+        low += part
+        np.subtract(low, prime, out=low, where=low >= prime)
+        table[at : at + _CHUNK] = low & np.uint64(MAX_HASH)
     return table
 
 
+def _windows(joined: str, starts: np.ndarray, k: int) -> np.ndarray | None:
+    """A 64-bit number per window of ``k`` characters, equal for equal windows only.
+
+    Characters are numbered within the group; None if their numbers need too many bits.
+    """
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    seen = np.zeros(int(points.max(initial=0)) + 1, bool)
+    seen[points] = True
+    number = (np.cumsum(seen) - 1)[points].astype(np.uint64)
+    bits = int(seen.sum()).bit_length()
+    if bits * k > 64:
+        return None
+    code = np.zeros(len(starts), np.uint64)
+    for j in range(k):
+        code = code << np.uint64(bits) | number[starts + j]
+    return code
+
+
+def _shingle_rows(texts: list[str], k: int) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct shingles of a few texts, and for each text which of them it has.
+
+    A text shorter than a shingle is one itself.
+    """
+    sizes = np.array([len(t) - k + 1 for t in texts], np.int64)
+    joined = "".join(texts)
+    offset = np.cumsum([0, *map(len, texts)])[:-1]
+    held = np.maximum(sizes, 0)
+    text = np.repeat(np.arange(len(texts)), held)
+    starts = np.arange(int(held.sum())) + (offset - np.cumsum(held) + held)[text]
+    code = _windows(joined, starts, k)
+    if code is None:
+        of: dict[str, int] = {}
+        inverse = np.array([of.setdefault(joined[i : i + k], len(of)) for i in starts.tolist()], np.int64)
+        shingles = list(of)
+    else:
+        _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
+        shingles = [joined[i : i + k] for i in starts[first].tolist()]
+    n = max(1, len(shingles))
+    pairs = np.unique(text * n + inverse)
+    cuts = np.searchsorted(pairs, np.arange(1, len(texts)) * n)
+    rows = [part % n for part in np.split(pairs, cuts)]
+    for i in np.flatnonzero(sizes <= 0).tolist():
+        rows[i] = np.array([len(shingles)])
+        shingles.append(texts[i])
+    return shingles, rows
+
+
 def _group_signatures(texts: list[str], num_perm: int, k: int) -> Iterator[np.ndarray]:
     """Signatures of a few texts: a table over their shingles, then column minima per text."""
-    row_of: dict[str, int] = {}
-    picks = []
-    for text in texts:
-        shingles = {text[i : i + k] for i in range(len(text) - k + 1)} or {text}
-        picks.append([row_of.setdefault(s, len(row_of)) for s in shingles])
-    table = _permuted(list(row_of), num_perm)
-    for pick in picks:
-        yield table.take(pick, axis=0).min(axis=0)
+    shingles, rows = _shingle_rows(texts, k)
+    table = _permuted(shingles, num_perm)
+    for row in rows:
+        yield table.take(row, axis=0).min(axis=0)
 
 
 def _long_signature(text: str, num_perm: int, k: int) -> np.ndarray:
