@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from textward.llm.common import per_worker
 
-BLOCK_CHARS = 1_000_000
-KEPT_CHUNKS = 200_000
+# Larger blocks take less time and more memory per worker.
+BLOCK_CHARS = 2_000_000
+KEPT_CHUNKS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -170,8 +171,9 @@ class Encoder:
     over such a place, so a chunk has the same ids wherever it stands.
     """
 
-    def __init__(self, merges: Merges, pattern: str):
+    def __init__(self, merges: Merges, pattern: str, block_chars: int = BLOCK_CHARS):
         self.merges, self.find = merges, regex.compile(pattern).findall
+        self.block_chars = block_chars
         self.clear()
 
     def clear(self) -> None:
@@ -231,7 +233,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block, chars = [], 0
         for text in texts:
-            if block and chars + len(text) > BLOCK_CHARS:
+            if block and chars + len(text) > self.block_chars:
                 yield self.block(block)
                 block, chars = [], 0
             block.append(text)
@@ -250,10 +252,13 @@ def _merges(path: str) -> Merges:
     return per_worker(("merges", path), lambda: Merges(read_ranks(path)))
 
 
-def _encoder(ranks_path: str, pattern: str) -> Encoder:
+def _encoder(ranks_path: str, pattern: str, block_chars: int = BLOCK_CHARS) -> Encoder:
     # The tables hold no cycles, and looking for some among millions of entries is slow.
     gc.disable()
-    return per_worker(("encoder", ranks_path, pattern), lambda: Encoder(_merges(ranks_path), pattern))
+    return per_worker(
+        ("encoder", ranks_path, pattern, block_chars),
+        lambda: Encoder(_merges(ranks_path), pattern, block_chars),
+    )
 
 
 class Decoder:
@@ -301,7 +306,12 @@ def encode(text: Column | str, ranks_path: str, pattern: str) -> Column:
 
 
 def round_trip(
-    text: Column | str, ranks_path: str, pattern: str, *, keep_decoded: bool = False
+    text: Column | str,
+    ranks_path: str,
+    pattern: str,
+    *,
+    keep_decoded: bool = False,
+    block_chars: int = BLOCK_CHARS,
 ) -> Column:
     """``struct<ids array<int>, same boolean, decoded binary>`` of each text, by one worker.
 
@@ -310,7 +320,7 @@ def round_trip(
     """
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+        encoder, decoder = _encoder(ranks_path, pattern, block_chars), _decoder(ranks_path)
         for column in texts:
             read = [t or "" for t in column.to_pylist()]
             ids, ends = _encoded(encoder, read)
