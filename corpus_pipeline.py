@@ -75,7 +75,8 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether decoding them gives the text back."""
     prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = bpe.round_trip("text", path, public_tokenizers.PATTERN)
+    # Half the usual block: the executors still hold what the stages before have left.
+    both = bpe.round_trip("text", path, public_tokenizers.PATTERN, block_chars=bpe.BLOCK_CHARS // 2)
     return docs.select("doc_id", "lang", "source", both.alias("b")).select(
         "doc_id",
         "lang",
