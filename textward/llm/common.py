@@ -71,6 +71,30 @@ def join_on(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> D
     return left.join(other, left[key].eqNullSafe(other["_right_key"]), how).drop("_right_key")
 
 
+def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that clash with nothing, and the new name of each column."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+# Keys that a skewed join broadcasts at most.
+HOT_KEYS = 50_000
+
+
+def join_skewed(rows: DataFrame, index: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with a written ``index`` of one row per key; ``n`` counts its rows.
+
+    No task receives a hot key: of all rows that have a key in the index, a key with more than one
+    in ``HOT_KEYS`` is broadcast, and there can't be more than ``HOT_KEYS`` of them. The other keys
+    are shuffled. The result has no column ``n``.
+    """
+    total = index.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = F.col("n") * HOT_KEYS > total
+    few = F.broadcast(index.where(hot).drop("n"))
+    rest = rows.join(F.broadcast(index.where(hot).select(key)), key, "left_anti")
+    return rows.join(few, key).unionByName(rest.join(index.where(~hot).drop("n"), key))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the undirected ``edges (a, b)``; root: smallest node.
 

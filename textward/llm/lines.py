@@ -13,7 +13,8 @@ whose bytes don't are removed only if their bytes have occurred before.
 
 Defined results: a null text has no lines and stays null; lines end with ``\n`` alone, and an empty
 text is one empty line; documents of one line are left alone; a null id comes after all others;
-repeated rows (equal id and text) are one document and lose the same lines.
+repeated rows (equal id and text) are one document and lose the same lines; columns of any name are
+passed on, but for those named like a result, which the result replaces.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textward.llm.common import join_skewed, plain_names
 from textward.sources.store import materialize
 
+RESULTS = ("_kept", "_n_lines", "_n_removed")
+
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, though the body's lambdas use it per element."""
@@ -105,6 +109,9 @@ def _without(lines: Column, gone: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``_kept`` (the text without repeated chunks), ``_n_lines``, ``_n_removed``."""
+    given = docs.columns
+    docs, at = plain_names(docs)
+    id_col, text_col = at[id_col], at[text_col]
     lines = F.split(F.col(text_col), "\n", -1)
     # Names the document: equal for repeated rows only.
     key = F.md5(
@@ -116,14 +123,15 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
     found = materialize(cut.select("id", "key", "c.*"), "line-chunks")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key", "no")
-    index = (
+    index = materialize(
         found.groupBy("digest")
-        .agg(F.min(place).alias("first"), F.max(place).alias("other"))
+        .agg(F.min(place).alias("first"), F.max(place).alias("other"), F.count("*").alias("n"))
         .where("first < other")
-        .select("digest", "first")
+        .select("digest", "first", "n"),
+        "line-index",
     )
     marks = (
-        found.join(index, "digest")
+        join_skewed(found, index, "digest")
         .groupBy("key")
         .agg(
             F.collect_set(
@@ -184,7 +192,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     n_lines = F.coalesce(F.length(text_col) - F.length(F.replace(text_col, F.lit("\n"))) + 1, F.lit(0))
     removed = F.aggregate("_line_gone", F.lit(0), lambda s, m: s + m["size"])
     return decided.withColumn("_line_gone", gone).select(
-        *docs.columns,
+        *[F.col(at[c]).alias(c) for c in given if c.lower() not in RESULTS],
         F.when(some, kept).otherwise(F.col(text_col)).alias("_kept"),
         n_lines.cast("bigint").alias("_n_lines"),
         F.when(some, removed).otherwise(F.lit(0)).cast("bigint").alias("_n_removed"),
