@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.llm import bpe, lines, minhash, mixing, queries
-from textward.llm.common import n_words, prepare, table
+from textward.llm.common import n_words, plain_names, prepare, table
 from textward.sources.store import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,13 +30,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated chunks of lines; one that had nothing else goes."""
     prepare(spark)
-    done = lines.dedup_lines(docs)
+    plain, at = plain_names(docs)
+    done = lines.dedup_lines(plain, id_col=at["doc_id"], text_col=at["text"])
     emptied = (F.col("_n_removed") > 0) & (F.length(F.trim("_kept")) == 0)
     text = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("bigint")}
     changed = F.col("_n_removed") > 0
     return done.where(~emptied).select(
         *[
-            F.when(changed, text[c]).otherwise(F.col(c)).alias(c) if c in text else F.col(c)
+            (F.when(changed, text[c]).otherwise(F.col(at[c])) if c in text else F.col(at[c])).alias(c)
             for c in docs.columns
         ]
     )
@@ -49,19 +50,21 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lowest id stays, one without an id only if the group has no other.
     """
     prepare(spark)
-    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    found = minhash.near_duplicates(keyed, id_col="_row").select(
+    plain, at = plain_names(docs)
+    keyed = materialize(plain.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = minhash.near_duplicates(keyed, id_col="_row", text_col=at["text"]).select(
         F.col("doc_id").alias("_key"), "component_id"
     )
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    id_col = at["doc_id"]
+    place = F.struct(F.col(id_col).isNull().alias("last"), id_col, "_row")
     kept = (
-        keyed.select("_row", "doc_id")
+        keyed.select("_row", id_col)
         .join(found, F.col("_row") == F.col("_key"))
         .groupBy("component_id")
         .agg(F.min(place).alias("first"))
         .select(F.col("first._row").alias("_row"))
     )
-    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
+    return keyed.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -95,8 +98,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe", bpe_stage),
 ]
 
-# Fitting, sketches and tokens have no counterpart in SQL. The tests compare the operators and the
-# near-duplicates stage with brute force, the other stages in shape and counts only.
+# Fitting, sketches and tokens have no counterpart in SQL. The tests compare run() on a small table
+# with plain Python for every stage.
 ORACLE_SQL = None
 
 
