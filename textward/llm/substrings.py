@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textward.llm.common import per_worker
+from textward.llm.common import join_skewed, per_worker
 from textward.sources.store import materialize
 
 WINDOW = 50
@@ -243,15 +243,16 @@ def dedup_substrings(
     windows = open_texts.select("id", "mark", F.explode("runs").alias("r")).select(
         "id", "mark", F.posexplode("r.hashes").alias("i", "hash"), F.col("r.start").alias("start")
     )
-    origin = (
+    origin = materialize(
         windows.groupBy("hash")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
         .where("first < last")
-        .select("hash", "first")
+        .select("hash", "first", "n"),
+        "substr-origins",
     )
+    placed = windows.select("id", "mark", "hash", (F.col("start") + F.col("i")).alias("at"))
     copied = (
-        windows.select("id", "mark", "hash", (F.col("start") + F.col("i")).alias("at"))
-        .join(origin, "hash")
+        join_skewed(placed, origin, "hash")
         .where("first < id")
         .groupBy("id", "mark")
         .agg(F.collect_set("at").alias("starts"))
