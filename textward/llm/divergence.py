@@ -1,9 +1,9 @@
 """How the sources of a language differ in their terms, by chunk factorization.
 
 A term never goes over white space, so a text's white-space chunks hold all its terms. Chunks are
-counted per document, reduced per task, and tokenized once each, however often they occur; their
-terms are joined back to the counts. Only counts per source and chunk are shuffled, never documents
-or words, so a hot source or a very frequent word is one row per task.
+counted per document, reduced in each worker, and tokenized once each, however often they occur;
+their terms are joined back to the counts. Only counts per source and chunk are shuffled, never
+documents or words, so a very frequent word is one row per source and ``HELD_CHUNKS`` counted chunks.
 
 Whether a term is in at least ``LEAST_DOCS`` documents follows from its chunks: one chunk in as many
 documents settles it; rarer chunks carry the keys of all their documents, which are counted
@@ -131,8 +131,11 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("key"),
         F.coalesce("text", empty).cast("binary").alias("text"),
     )
+    # By chunk alone, so that all sources of a chunk meet. Workers have counted already; reducing
+    # their rows once more before the shuffle would find few equal ones.
     return (
         read.mapInArrow(_count_chunks, _COUNTS)
+        .repartition("chunk")
         .groupBy("lang", "source", "chunk")
         .agg(
             F.sum("n").alias("n"),
@@ -140,23 +143,26 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        .withColumn("chunk", F.col("chunk").cast("string"))
+        .withColumn("text", F.col("chunk").cast("string"))
     )
 
 
 def term_counts(counts: DataFrame) -> DataFrame:
-    """``lang, source, term, n, df, low, high`` per chunk and each term in it; a chunk is read once."""
-    terms = F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(LOWERED), F.lit(0))
+    """``lang, source, term, n, df, low, high`` per chunk and each term in it.
+
+    Only the first row of a chunk is tokenized; its terms are joined to the chunk's other rows by a
+    window, which streams over them. A row without a chunk gives one without a term.
+    """
+    rows = Window.partitionBy("chunk").orderBy("lang", "source")
+    found = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(LOWERED), F.lit(0))
+    none = F.array(F.lit(None).cast("string"))
     tokens = (
-        counts.where("chunk IS NOT NULL")
-        .select("chunk")
-        .distinct()
-        .select("chunk", terms.alias("terms"))
+        counts.withColumn("place", F.row_number().over(rows))
+        .withColumn("found", F.when(F.col("place") == 1, F.when(F.col("text").isNull(), none).otherwise(found)))
+        .withColumn("terms", F.first("found").over(rows.rowsBetween(Window.unboundedPreceding, 0)))
     )
     # A term that a chunk holds twice gives two rows.
-    return counts.join(tokens, "chunk").select(
-        "lang", "source", F.explode("terms").alias("term"), "n", "df", "low", "high"
-    )
+    return tokens.select("lang", "source", F.explode("terms").alias("term"), "n", "df", "low", "high")
 
 
 def kept_terms(found: DataFrame) -> DataFrame:
@@ -281,8 +287,8 @@ def divergence(docs: DataFrame, *, top_terms: int = TOP_TERMS) -> DataFrame:
     Part ``pair``: ``item`` is another source of the language, all ranks. Part ``term``: ``item`` is
     a term that the source has more of than its language, ranks to ``top_terms``.
     """
-    counts = materialize(chunk_counts(docs), "chunk-counts")
-    found = materialize(term_counts(counts), "term-counts")
+    counted = materialize(term_counts(chunk_counts(docs)), "term-counts")
+    found = counted.where("term IS NOT NULL")
     kept = materialize(kept_terms(found), "kept-terms")
     occurring = materialize(
         found.groupBy("lang", "source", "term")
@@ -290,7 +296,7 @@ def divergence(docs: DataFrame, *, top_terms: int = TOP_TERMS) -> DataFrame:
         .join(kept, ["lang", "term"], "left_semi"),
         "source-terms",
     )
-    sources = counts.where("chunk IS NULL").select("lang", "source").distinct()
+    sources = counted.where("term IS NULL").select("lang", "source").distinct()
     vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"))
     totals = occurring.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     zero = F.lit(0).cast("bigint")
