@@ -24,8 +24,10 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ SCALE = 10**9
 TOP_TERMS = 200
 # Chunks of documents that a worker counts before it passes the counts on.
 HELD_CHUNKS = 2_000_000
+# What a source takes beside its chunks, in chunks.
+_GROUP_SIZE = 16
 # Terms of a block, sources of a tile, and cells computed at once.
 BLOCK_TERMS = 4096
 TILE_SOURCES = 256
@@ -52,55 +56,68 @@ STEP_CELLS = 1 << 20
 _COUNTS = "lang string, source string, chunk binary, n bigint, df bigint, low bigint, high bigint"
 
 
+class _Group:
+    """Chunks of one source's documents, numbered, and an entry per document and distinct chunk."""
+
+    def __init__(self):
+        self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.key, self.distinct = array("q"), array("q")
+        self.slot, self.n = array("q"), array("q")
+
+    def add(self, key: int, counted: Counter) -> None:
+        self.key.append(key)
+        self.distinct.append(len(counted))
+        self.slot.extend(map(self.slots.__getitem__, counted))
+        self.n.extend(counted.values())
+
+    def totals(self) -> list[np.ndarray]:
+        """``n, df, low, high`` of each chunk."""
+        slot, size = np.asarray(self.slot), len(self.slots)
+        key = np.repeat(np.asarray(self.key), np.asarray(self.distinct))
+        low, high = np.empty(size, np.int64), np.empty(size, np.int64)
+        # Documents come with ascending keys, and of several values the last one is kept.
+        low[slot[::-1]] = key[::-1]
+        high[slot] = key
+        n = np.bincount(slot, np.asarray(self.n), size).astype(np.int64)
+        return [n, np.bincount(slot, minlength=size), low, high]
+
+
 class _Held:
-    """Chunk counts of the documents seen so far, one entry per document and distinct chunk."""
+    """Chunk counts of the documents seen so far."""
 
     def __init__(self):
-        self.groups: dict[tuple[str, str], int] = {}
-        self.slots: dict[bytes, int] = {}
-        self.group: list[int] = []
-        self.key: list[int] = []
-        self.distinct: list[int] = []
-        self.slot: list[int] = []
-        self.n: list[int] = []
+        self.groups: dict[tuple[str, str], _Group] = {}
+        self.size = 0
 
     def add(self, lang: str, source: str, key: int, text: bytes) -> None:
+        group = self.groups.get((lang, source))
+        if group is None:
+            group = self.groups[lang, source] = _Group()
+            self.size += _GROUP_SIZE
         # bytes.split goes by the blank and the five ASCII control spaces.
         counted = Counter(text.split())
-        slots = self.slots
-        self.group.append(self.groups.setdefault((lang, source), len(self.groups)))
-        self.key.append(key)
-        self.distinct.append(len(counted))
-        self.slot += [slots.setdefault(c, len(slots)) for c in counted]
-        self.n += counted.values()
+        group.add(key, counted)
+        self.size += len(counted) + 1
 
     def batch(self) -> pa.RecordBatch:
         """A row per group and chunk, and one without a chunk for each group."""
-        distinct = np.array(self.distinct, np.int64)
-        group = np.repeat(np.array(self.group, np.int64), distinct)
-        key = np.repeat(np.array(self.key, np.int64), distinct)
-        cell = group * len(self.slots) + np.array(self.slot, np.int64)
-        # Documents come with ascending keys, and a stable sort keeps them in order.
-        order = np.argsort(cell, kind="stable")
-        cell, key, n = cell[order], key[order], np.array(self.n, np.int64)[order]
-        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]][: len(cell)])
-        last = np.r_[first[1:], len(cell)][: len(first)] - 1
-        group, slot = np.divmod(cell[first], max(1, len(self.slots)))
-        extra = len(self.groups)
-        padded = lambda values, kind, fill: pa.concat_arrays(
-            [pa.array(values, kind), pa.array([fill] * extra, kind)]
+        groups = self.groups.values()
+        extra = len(groups)
+        chunks = pa.array(chain(*[g.slots for g in groups], [None] * extra), pa.binary())
+        n, df, low, high = [np.concatenate(c) for c in zip(*[g.totals() for g in groups])]
+        name = pa.array(np.r_[np.repeat(np.arange(extra), [len(g.slots) for g in groups]), np.arange(extra)])
+        padded = lambda values, fill: pa.concat_arrays(
+            [pa.array(values, pa.int64()), pa.array([fill] * extra, pa.int64())]
         )
-        name = pa.array(np.r_[group, np.arange(extra)])
-        counts = np.add.reduceat(n, first) if len(first) else n
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([g[0] for g in self.groups], pa.string()).take(name),
                 pa.array([g[1] for g in self.groups], pa.string()).take(name),
-                padded(pa.array(list(self.slots), pa.binary()).take(pa.array(slot)), pa.binary(), None),
-                padded(counts, pa.int64(), 0),
-                padded(last - first + 1, pa.int64(), 0),
-                padded(key[first], pa.int64(), None),
-                padded(key[last], pa.int64(), None),
+                chunks,
+                padded(n, 0),
+                padded(df, 0),
+                padded(low, None),
+                padded(high, None),
             ],
             names=["lang", "source", "chunk", "n", "df", "low", "high"],
         )
@@ -112,7 +129,7 @@ def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         columns = [batch.column(c).to_pylist() for c in ("lang", "source", "key", "text")]
         for lang, source, key, text in zip(*columns):
             held.add(lang, source, key, text)
-            if len(held.slot) >= HELD_CHUNKS:
+            if held.size >= HELD_CHUNKS:
                 yield held.batch()
                 held = _Held()
     if held.groups:
