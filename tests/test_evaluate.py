@@ -95,3 +95,43 @@ def test_latency(spark):
     want = [*np.percentile(ms, [50, 95, 99]), np.mean(ms)]
     assert [got.p50_ms, got.p95_ms, got.p99_ms, got.mean_ms] == pytest.approx(want)
     assert got.p50_ms <= got.p95_ms <= got.p99_ms
+
+
+def test_one_read_serves_all_models(spark):
+    """Counts of two halves add up to those of the whole, and every metric follows from them."""
+    rng = random.Random(5)
+    data = []
+    for i in range(800):
+        y, p = rng.choice([0, 1, 1, None]), rng.choice([0, 1, None])
+        s = rng.choice([None, float("nan"), float("inf"), 0.0, -0.0, rng.random(), rng.randrange(9) / 9])
+        data.append((i, rng.choice(["g", "h", None]), y, p, s, rng.randrange(4)))
+    df = spark.createDataFrame(data, "id int, score string, y int, p int, s double, model int")
+    models = {"m": ("p", "s"), "n": ("y", "model")}
+    counts = [
+        ev.score_counts(df.where(half), models, true_col="y", by=["score"]).toDF("g", "model", "v", *ev._COUNTS)
+        for half in ("id < 300", "id >= 300")
+    ]
+    both = counts[0].unionAll(counts[1]).groupBy("g", "model", "v").sum(*ev._COUNTS)
+    both = both.toDF("g", "model", "score", *ev._COUNTS)
+    got = {(r.g, r.model): r for r in ev.metrics_of_counts(both, ["g", "model"]).collect()}
+    assert len(got) == 6
+    for (g, model), r in got.items():
+        rows = [x for x in data if x[1] == g]
+        pred, at = (3, 4) if model == "m" else (2, 5)
+        pairs = [(x[2], x[at]) for x in rows if x[at] is not None]
+        up = lambda v: float("inf") if v != v else v
+        key = lambda v: (v != v, up(v))
+        pos, neg = [key(v) for y, v in pairs if y == 1], [key(v) for y, v in pairs if y == 0]
+        wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+        assert r.auroc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+        tp = sum(x[2] == 1 and x[pred] == 1 for x in rows)
+        wrong = sum(x[2] is not None and x[pred] is not None and x[2] != x[pred] for x in rows)
+        assert r.f1 == pytest.approx(2 * tp / (2 * tp + wrong))
+
+
+def test_no_rows(spark):
+    empty = frame(spark, [0], [0]).where("y > 5")
+    got = metrics(empty)
+    assert (got.f1, got.precision, got.recall, got.accuracy, got.auroc) == (0.0, 0.0, 0.0, 0.0, None)
+    assert ev.auroc(empty, true_col="y", score_col="s", by=["p"]).count() == 0
+    assert ev.latency_summary(empty, "s").first().mean_ms is None

@@ -1,11 +1,15 @@
-"""Binary classification metrics. Everything is a count, so one partial aggregate serves it all."""
+"""Binary classification metrics. Everything is a count, so one partial aggregate serves it all.
+
+Metrics that need scores come from one additive table, a row per group, model and distinct score
+(`score_counts`): its cells, the area under its curve, and its sums over days or shards alike.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textward.operators.ordered import exact_quantiles, quantile_bucket, running_totals
+from textward.operators.ordered import bucketed_counts, exact_quantiles, running_totals
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -43,29 +47,91 @@ def confusion_matrix(df: DataFrame, *, true_col: str, pred_col: str) -> DataFram
     )
 
 
-def auroc(
-    df: DataFrame, *, true_col: str, score_col: str, by: list[str] | None = None
+_COUNTS = ("tp", "fp", "fn", "tn", "pos", "neg")
+
+
+def score_counts(
+    df: DataFrame,
+    models: dict[str, tuple[str | None, str]],
+    *,
+    true_col: str,
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Area under the ROC curve with ties counted half; null when a class is missing.
+    """Counts per group, model and distinct score: ``<by>, model, score, tp, fp, fn, tn, pos, neg``.
 
-    Counts pairs exactly: positives at a score times negatives below it, in decimals.
+    ``models`` maps a name to its prediction (or None) and score columns. All models are counted in
+    one read; tables of several days add up by grouping again. ``pos`` and ``neg`` rank by score and
+    leave out rows without one, the cells don't.
     """
     by = list(by or [])
-    y = F.col(true_col)
-    rows = quantile_bucket(
-        df.select(*by, true_col, score_col).where(F.col(score_col).isNotNull()), score_col
-    )
-    counts = rows.groupBy(*by, score_col, "_bucket").agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+    none = F.lit(None).cast("int")
+    each = [
+        F.struct(
+            F.lit(name).alias("model"),
+            (F.col(pred) if pred else none).alias("_pred"),
+            F.col(score).alias("score"),
+        )
+        for name, (pred, score) in models.items()
+    ]
+    groups = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
+    long = df.select(*groups, F.col(true_col).alias("_true"), F.inline(F.array(*each)))
+    ranked, y = F.col("score").isNotNull(), F.col("_true")
+    counts = long.groupBy(*[f"_by{i}" for i in range(len(by))], "model", "score").agg(
+        *_cells("_true", "_pred"),
+        F.count_if(ranked & (y == 1)).alias("pos"),
+        F.count_if(ranked & (y == 0)).alias("neg"),
     )
-    run = running_totals(counts, score_col, ["pos", "neg"], by)
+    return counts.toDF(*by, "model", "score", *_COUNTS)
+
+
+def metrics_of_counts(counts: DataFrame, by: list[str]) -> DataFrame:
+    """f1, precision, recall (0 when undefined), accuracy and auroc per group of `score_counts`.
+
+    The area counts pairs exactly, ties half: positives at a score times negatives below it, in
+    decimals; it is null when a class is missing.
+    """
+    run = running_totals(bucketed_counts(counts, "score"), "score", ["pos", "neg"], by)
     wide = "decimal(19,0)"
     twice_won = F.sum(
         F.col("pos").cast(wide) * (2 * F.col("neg_upto") - F.col("neg")).cast(wide)
     ).cast("double")
     pairs = (F.max("pos_all").cast(wide) * F.max("neg_all").cast(wide)).cast("double")
-    grouped = run.groupBy(*by) if by else run.groupBy()
-    return grouped.agg(F.try_divide(twice_won, 2 * pairs).alias("auroc"))
+    cells = [F.sum(c).alias(c) for c in _COUNTS[:4]]
+    summed = run.groupBy(*by).agg(*cells, F.try_divide(twice_won, 2 * pairs).alias("auroc"))
+    return summed.select(*by, *_rates(), "auroc")
+
+
+def _rates() -> list[Column]:
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return [
+        _f1().alias("f1"),
+        _ratio(tp, tp + fp).alias("precision"),
+        _ratio(tp, tp + fn).alias("recall"),
+        _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+    ]
+
+
+def model_metrics(
+    df: DataFrame,
+    models: dict[str, tuple[str | None, str]],
+    *,
+    true_col: str,
+    by: list[str] | None = None,
+) -> DataFrame:
+    """Metrics of several models per group, ``<by>, model, f1, ..., auroc``, from one read."""
+    by = list(by or [])
+    counts = score_counts(df, models, true_col=true_col, by=by)
+    return metrics_of_counts(counts, [*by, "model"])
+
+
+def auroc(
+    df: DataFrame, *, true_col: str, score_col: str, by: list[str] | None = None
+) -> DataFrame:
+    """Area under the ROC curve with ties counted half; null when a class is missing."""
+    by = list(by or [])
+    scored = df.where(F.col(score_col).isNotNull())
+    counts = score_counts(scored, {"": (None, score_col)}, true_col=true_col, by=by)
+    return metrics_of_counts(counts.drop("model"), by).select(*by, "auroc")
 
 
 def binary_metrics(
@@ -78,23 +144,10 @@ def binary_metrics(
 ) -> DataFrame:
     """f1, precision, recall (0 when undefined), accuracy, and auroc when scores are given."""
     by = list(by or [])
-    grouped = df.groupBy(*by) if by else df.groupBy()
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    out = grouped.agg(*_cells(true_col, pred_col)).select(
-        *by,
-        _f1().alias("f1"),
-        _ratio(tp, tp + fp).alias("precision"),
-        _ratio(tp, tp + fn).alias("recall"),
-        _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
-    )
     if score_col is None:
-        return out
-    areas = auroc(df, true_col=true_col, score_col=score_col, by=by)
-    if not by:
-        return out.withColumn("auroc", areas.scalar())
-    areas = areas.withColumnsRenamed({c: f"_r_{c}" for c in by})
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
-    return out.join(areas, same, "left").drop(*[f"_r_{c}" for c in by])
+        return df.groupBy(*by).agg(*_cells(true_col, pred_col)).select(*by, *_rates())
+    counts = score_counts(df, {"": (pred_col, score_col)}, true_col=true_col, by=by)
+    return metrics_of_counts(counts.drop("model"), by)
 
 
 def per_source_f1(
@@ -169,20 +222,17 @@ def latency_summary(
     df: DataFrame, latency_col: str = "latency_ms", by: list[str] | None = None
 ) -> DataFrame:
     """Exact p50, p95, p99 (linear) and mean of per-request latencies."""
-    by = list(by or [])
-    grouped = df.groupBy(*by) if by else df.groupBy()
-    means = grouped.agg(F.avg(latency_col).alias("mean_ms"))
-    q = exact_quantiles(
+    return exact_quantiles(
         df,
         latency_col,
-        {"p50_ms": (0.5, "linear"), "p95_ms": (0.95, "linear"), "p99_ms": (0.99, "linear")},
+        {
+            "p50_ms": (0.5, "linear"),
+            "p95_ms": (0.95, "linear"),
+            "p99_ms": (0.99, "linear"),
+            "mean_ms": "mean",
+        },
         by=by,
     )
-    if not by:
-        return q.withColumn("mean_ms", means.scalar())
-    means = means.withColumnsRenamed({c: f"_r_{c}" for c in by})
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
-    return q.join(means, same).drop(*[f"_r_{c}" for c in by])
 
 
 def request_latency(

@@ -11,6 +11,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textward.sources.store import materialize
+
 _BUCKETS = 512
 
 
@@ -72,30 +74,49 @@ def running_totals(
     )
 
 
+def bucketed_counts(counts: DataFrame, value: str) -> DataFrame:
+    """``counts`` (additive columns per distinct ``value``), written once, with ordered buckets.
+
+    Cut points come from the written table, so that what it was counted from is read once only;
+    each bucket holds about equally many distinct values.
+    """
+    return quantile_bucket(materialize(counts, "value-counts"), value)
+
+
 def value_counts(
     df: DataFrame, value: str, by: list[str] | None = None, whole_numbers: bool = False
 ) -> DataFrame:
     """Rows per distinct ``value`` as ``cnt``, with the ordered ``_bucket``; nulls are left out."""
     by = list(by or [])
     rows = df.select(*by, value).where(F.col(value).isNotNull())
+    counts = rows.groupBy(*by, value).agg(F.count("*").alias("cnt"))
     if whole_numbers:
-        return (
-            rows.groupBy(*by, value)
-            .agg(F.count("*").alias("cnt"))
-            .withColumn("_bucket", integer_bucket(value))
-        )
-    bucketed = quantile_bucket(rows, value)
-    return bucketed.groupBy(*by, value, "_bucket").agg(F.count("*").alias("cnt"))
+        return counts.withColumn("_bucket", integer_bucket(value))
+    return bucketed_counts(counts, value)
+
+
+def _mean(value: str) -> Column:
+    return F.try_divide(F.sum(F.col(value) * F.col("cnt")), F.sum("cnt"))
+
+
+def _sample_std(value: str) -> Column:
+    v, n = F.col(value).cast("double"), F.sum("cnt")
+    spread = F.sum(v * v * F.col("cnt")) - _mean(value) * F.sum(v * F.col("cnt"))
+    return F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
 
 
 def exact_quantiles(
     df: DataFrame,
     value: str,
-    wanted: dict[str, tuple[float, str]],
+    wanted: dict[str, tuple[float, str] | str],
     by: list[str] | None = None,
     whole_numbers: bool = False,
 ) -> DataFrame:
-    """Exact quantiles per group; ``wanted`` maps a column name to ``(q, "linear"|"nearest")``."""
+    """Exact quantiles and moments per group, all from one table of counts per distinct value.
+
+    ``wanted`` maps a column name to ``(q, "linear"|"nearest")``, ``"mean"`` or ``"std"`` (sample
+    standard deviation from sums of squares; null for a single row). ``df`` is read once.
+    """
     by = list(by or [])
     counts = value_counts(df, value, by, whole_numbers)
     run = running_totals(counts, value, ["cnt"], by)
@@ -105,7 +126,12 @@ def exact_quantiles(
 
     last = F.col("cnt_all") - 1
     parts, outs = [], []
-    for name, (q, how) in wanted.items():
+    for name, what in wanted.items():
+        if isinstance(what, str):
+            parts.append({"mean": _mean, "std": _sample_std}[what](value).alias(f"_{name}"))
+            outs.append(F.col(f"_{name}").alias(name))
+            continue
+        q, how = what
         pos = last * F.lit(float(q))
         if how == "nearest":
             parts.append(at_rank(F.round(pos)).alias(f"_{name}"))

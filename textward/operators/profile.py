@@ -123,11 +123,6 @@ def script_ratio_stats(
 ) -> DataFrame:
     """Mean, median and sample standard deviation of the script share per group."""
     ratios = df.select(by, char_script_ratio(text_col, script).alias("ratio"))
-    moments = ratios.groupBy(by).agg(
-        F.round(F.avg("ratio"), 3).alias("mean"), F.round(F.stddev_samp("ratio"), 3).alias("std")
-    )
-    medians = exact_quantiles(ratios, "ratio", {"median": (0.5, "linear")}, by=[by])
-    medians = medians.select(F.col(by).alias("_by"), F.round("median", 3).alias("median"))
-    return moments.join(medians, F.col(by).eqNullSafe(F.col("_by"))).select(
-        by, "mean", "median", "std"
-    )
+    wanted = {"mean": "mean", "median": (0.5, "linear"), "std": "std"}
+    out = exact_quantiles(ratios, "ratio", wanted, by=[by])
+    return out.select(by, *[F.round(c, 3).alias(c) for c in wanted])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,14 +46,11 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comparison(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scored_labels(spark, sf)
     names = ("f1", "precision", "recall", "accuracy", "auroc")
-    parts = []
-    for model, pred, score in (("a", "pred_a", "score"), ("b", "pred_b", "score_b")):
-        out = ev.binary_metrics(rows, true_col="y_true", pred_col=pred, score_col=score)
-        cells = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])
-        parts.append(out.select(F.lit(model).alias("model"), F.inline(cells)))
-    return ev.compare_models(reduce(DataFrame.unionAll, parts), ["a", "b"])
+    models = {"a": ("pred_a", "score"), "b": ("pred_b", "score_b")}
+    out = ev.model_metrics(scored_labels(spark, sf), models, true_col="y_true")
+    cells = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])
+    return ev.compare_models(out.select("model", F.inline(cells)), list(models))
 
 
 def latency(spark: SparkSession, sf: str) -> DataFrame:
