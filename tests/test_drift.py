@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -32,6 +33,40 @@ def test_ks_tail_is_continuous_and_falls(spark):
     assert all(0 <= y <= x + 1e-12 <= 1 + 1e-12 for x, y in zip(got, got[1:]))
 
 
+def test_exact_ks_counts_orders(spark):
+    """All orders of two small samples, one by one."""
+    rows, want = [], []
+    for n1, n2 in ((1, 1), (1, 4), (3, 3), (4, 2), (5, 4), (3, 7)):
+        gaps = []
+        for first in itertools.combinations(range(n1 + n2), n1):
+            i = j = top = 0
+            for at in range(n1 + n2):
+                i, j = (i + 1, j) if at in first else (i, j + 1)
+                top = max(top, abs(i * n2 - j * n1))
+            gaps.append(top)
+        for gap in {0, *gaps}:
+            rows.append((gap / (n1 * n2), n1, n2))
+            want.append(sum(g >= gap for g in gaps) / len(gaps))
+    rows.append((0.5, 0, 3))
+    exact = pvalues.ks_exact_p_value(F.col("d"), F.col("a"), F.col("b"))
+    got = p_values(spark, rows, "d double, a bigint, b bigint", exact)
+    assert got[-1] is None or got[-1] != got[-1]
+    assert got[:-1] == pytest.approx(want, abs=1e-13)
+
+
+def test_exact_ks_nears_the_series_and_is_asked_for(spark):
+    rows = [(x / math.sqrt(1000), 2000, 2000) for x in (0.6, 0.9, 1.2, 1.6)]
+    d, a, b = F.col("d"), F.col("a"), F.col("b")
+    schema = "d double, a bigint, b bigint"
+    near = p_values(spark, rows, schema, pvalues.ks_p_value(d, a, b))
+    assert p_values(spark, rows, schema, pvalues.ks_exact_p_value(d, a, b)) == pytest.approx(near, abs=0.02)
+    rng = random.Random(8)
+    prod, train = lengths(rng, 100, 200), lengths(rng, 103, 200)
+    plain, exact = (report(spark, prod, train, method=m) for m in ("asymptotic", "exact"))
+    assert plain.p_value_length != exact.p_value_length
+    assert plain.p_value_length == pytest.approx(exact.p_value_length, abs=0.02)
+
+
 def test_chi2_tail(spark):
     xs = [0.0, 0.01, 1.0, 7.814728, 11.344867, 60.0, 1e6]
     got = p_values(spark, [(x,) for x in xs], "x double", pvalues.chi2_p_value(F.col("x")))

@@ -67,6 +67,77 @@ def test_boosted_on_embeddings(spark):
     assert {r.f1 for r in report.collect()} == {1.0}
 
 
+def boosting_rows(spark, n=400, noise=0.35):
+    rng = random.Random(3)
+    data = []
+    for i in range(n):
+        x = [rng.gauss(0, 1) for _ in range(4)]
+        y = (x[0] + x[1] * x[2] > 0) != (rng.random() < noise)
+        data.append((Vectors.dense(x), float(y), i % 3 == 0))
+    return spark.createDataFrame(data, ["features", "label", "val"]), data
+
+
+def staged_losses(model, data):
+    """Mean log loss of the held-out rows after each tree, from the trees' own predictions."""
+    held = [(x, y) for x, y, val in data if val]
+    margins, losses = [0.0] * len(held), []
+    for tree, weight in zip(model.trees, model.treeWeights):
+        margins = [m + weight * tree.predict(x) for m, (x, _) in zip(margins, held)]
+        each = [math.log1p(math.exp(-2 * m * (2 * y - 1))) for m, (_, y) in zip(margins, held)]
+        losses.append(sum(each) / len(each))
+    return losses
+
+
+def test_boosting_stops_at_the_round_of_a_plain_search(spark):
+    df, data = boosting_rows(spark)
+    full = GBTClassifier(maxIter=16, stepSize=0.3, maxDepth=4, minInstancesPerNode=5, seed=42).fit(df.where("not val"))
+    losses = staged_losses(full, data)
+    for patience in (1, 3, 50):
+        best = 0
+        for at in range(len(losses)):
+            if losses[at] < losses[best]:
+                best = at
+            if at - best >= patience:
+                break
+        got = models.train_boosted(
+            df, validation_col="val", rounds=16, learning_rate=0.3, max_depth=4, patience=patience
+        )
+        assert len(got.trees) == best + 1 < 16
+        row = models.positive_score(got, df.limit(5)).collect()
+        margin = lambda x: sum(w * t.predict(x) for t, w in zip(full.trees[: best + 1], full.treeWeights))
+        assert [r.score for r in row] == pytest.approx([1 / (1 + math.exp(-2 * margin(r.features))) for r in row])
+    free = models.train_boosted(df.where("not val"), validation_col="val", rounds=3)
+    assert len(free.trees) == 3
+
+
+def test_newton_reaches_the_optimum(spark):
+    rng = random.Random(4)
+    data = []
+    for _ in range(300):
+        a, b = rng.gauss(0, 1), rng.gauss(2, 30)
+        data.append((a, b, 5.0, int(rng.random() < 1 / (1 + math.exp(-a - b / 20 + 1)))))
+    odd = [(None, 1.0, 5.0, 1), (1.0, float("nan"), 5.0, 0), (1.0, 1.0, 5.0, None)]
+    df = spark.createDataFrame(data + odd, "p double, y double, x0 double, label int")
+    c = 0.5
+    m = models.train_newton(df, ["p", "y", "x0"], c=c)
+    *w, b = m.weights
+    grad, grad_b = [v / c for v in w], 0.0
+    for *x, y in data:
+        err = 1 / (1 + math.exp(-sum(u * v for u, v in zip(w, x)) - b)) - y
+        grad, grad_b = [g + err * v for g, v in zip(grad, x)], grad_b + err
+    assert max(map(abs, [*grad, grad_b])) < 1e-8
+    first = m.score(df).first()
+    assert first.score == pytest.approx(1 / (1 + math.exp(-w[0] * first.p - w[1] * first.y - w[2] * 5 - b)))
+    with pytest.raises(ValueError, match="no rows"):
+        models.train_newton(df.where("p > 1e9"), ["p"])
+
+
+def test_newton_halves_steps_that_overshoot(spark):
+    df = spark.createDataFrame([(x / 10, int(x > 0)) for x in range(-50, 51)], "f double, label int")
+    m = models.train_newton(df, ["f"], c=1e4, max_steps=100)
+    assert m.weights[0] > 5
+
+
 def test_score_batches(spark):
     # Defined here, so that it travels by value; executors cannot import a test module.
     def make_scorer():
@@ -126,4 +197,5 @@ def test_queries_train_with_the_defaults(spark, small, monkeypatch, name):
     if name == "g01_train_logistic":
         assert used["terms"] == Tfidf(50_000, (1, 2), 2) and used["maxIter"] == 1000
     else:
-        assert (used["maxIter"], used["maxDepth"], used["stepSize"]) == (200, 5, 0.05)
+        # The first of the fits of doubled length, up to 200 rounds.
+        assert (used["maxIter"], used["maxDepth"], used["stepSize"]) == (40, 5, 0.05)

@@ -12,7 +12,7 @@ LAZY = [
     if n[0] in "cehi" or n.startswith(("corpus", "d01", "d04", "d05", "d07", "f01", "j", "k03_rate_5m", "k04", "k08_class_imbalance"))
 ]
 LAZY = [n for n in LAZY if not n.endswith("_stream")]
-WITH_PYTHON = ("i04_drift_report", "i05", "i06")
+WITH_PYTHON = ("i01_ks_exact", "i04_drift_report", "i05", "i06")
 
 
 @pytest.mark.parametrize("name", LAZY)

@@ -1,9 +1,14 @@
-"""p-values of the two drift tests, as built-in expressions of one formula for every size."""
+"""p-values of the two drift tests, as built-in expressions of one formula for every size.
+
+`ks_exact_p_value` counts lattice paths instead; it is only used where it is asked for.
+"""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +34,44 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
     )
 
 
+def _path_leaves(gap: int, n1: int, n2: int) -> float:
+    """Chance that a random order of n1 and n2 values has a gap of at least ``gap`` / (n1 * n2).
+
+    An order is a path from (0, 0) to (n1, n2). ``left[i]`` is the chance that a path through
+    (i, k - i) has left the band by then; a step weighs its two predecessors by how many paths come
+    from each. One diagonal after the other, n1 + n2 in all.
+    """
+    if n1 > n2:
+        n1, n2 = n2, n1
+    i = np.arange(n1 + 1, dtype=np.float64)
+    left = np.full(n1 + 1, float(gap <= 0))
+    for k in range(1, n1 + n2 + 1):
+        from_first = np.concatenate(([0.0], left[:-1])) * i
+        left = (from_first + left * (k - i)) / k
+        left[np.abs(i * (n1 + n2) - float(k) * n1) >= gap] = 1.0
+        left[: max(0, k - n2)] = 0.0
+        left[min(n1, k) + 1 :] = 0.0
+    return float(left[n1])
+
+
+def ks_exact_p_value(d: Column, n1: Column, n2: Column) -> Column:
+    """Two-sided p-value of the statistic ``d`` under continuous values, by counting lattice paths.
+
+    A row takes (n1 + n2) * min(n1, n2) steps and min(n1, n2) numbers of memory, so it is meant for
+    samples up to some ten thousands. Null if a sample is empty.
+    """
+
+    @F.pandas_udf("double")
+    def p_value(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+        rows = zip(d, n1, n2)
+        return pd.Series(
+            [_path_leaves(round(x * a * b), int(a), int(b)) if a and b else None for x, a, b in rows],
+            dtype="float64",
+        )
+
+    return p_value(d, n1, n2)
+
+
 def chi2_p_value(x: Column) -> Column:
     """Upper tail of the chi-square distribution with 3 degrees of freedom, by the gamma series."""
     half = F.least(x / 2, F.lit(MOST_HALF))

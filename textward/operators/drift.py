@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textward.functions.pvalues import chi2_p_value, ks_p_value
+from textward.functions.pvalues import chi2_p_value, ks_exact_p_value, ks_p_value
 from textward.functions.text import CYRILLIC, char_features
 from textward.operators.ordered import integer_bucket, running_totals
 from textward.sources.store import materialize
@@ -211,14 +211,20 @@ def drift_tests(
     )
 
 
-def drift_report(tests: DataFrame, min_production: int = MIN_PRODUCTION_ROWS) -> DataFrame:
-    """p-values and verdict per family; too little production text means no verdict."""
+def drift_report(
+    tests: DataFrame, min_production: int = MIN_PRODUCTION_ROWS, method: str = "asymptotic"
+) -> DataFrame:
+    """p-values and verdict per family; too little production text means no verdict.
+
+    ``method`` of the length test: ``"asymptotic"`` or ``"exact"``, for every size alike.
+    """
+    ks_p = {"asymptotic": ks_p_value, "exact": ks_exact_p_value}[method]
     enough = (F.col("n_production") >= MIN_TEST_ROWS) & (F.col("n_training") >= MIN_TEST_ROWS)
     skipped = F.col("n_production") < min_production
     one = F.lit(1.0)
     # The p-values see one row per family; sizes are raised to 1 to keep guarded rows valid.
     sizes = [F.greatest(c, F.lit(1)) for c in ("n_production", "n_training")]
-    p_len = ks_p_value(F.col("ks_d"), *sizes)
+    p_len = ks_p(F.col("ks_d"), *sizes)
     p_chr = chi2_p_value(F.coalesce("chi2", F.lit(0.0)))
     verdict = (
         (F.col("p_value_length") < LENGTH_THRESHOLD)
@@ -251,12 +257,13 @@ def detect_drift(
     text_col: str = "text",
     script: str = CYRILLIC,
     min_production: int = MIN_PRODUCTION_ROWS,
+    method: str = "asymptotic",
 ) -> DataFrame:
     """Drift report with one row per family named or found in production."""
     tests = drift_tests(
         production, training, families, family_col=family_col, text_col=text_col, script=script
     )
-    return drift_report(tests, min_production)
+    return drift_report(tests, min_production, method)
 
 
 def drift_gauge(report: DataFrame, ts: Column) -> DataFrame:

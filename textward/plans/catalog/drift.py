@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textward.functions.pvalues import ks_exact_p_value
 from textward.operators import drift
 from textward.plans.catalog.tables import SCRIPT, SQL_SCRIPT, table
 
@@ -63,6 +64,13 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in rounded})
 
 
+def exact_ks(spark: SparkSession, sf: str) -> DataFrame:
+    """The length test's p-value by lattice paths, without the guards of the report."""
+    tests = _statistics(spark, sf)
+    p = ks_exact_p_value(F.col("ks_d"), F.col("n_production"), F.col("n_training"))
+    return tests.select("family", p.alias("p")).select("family", F.round("p", 9).alias("p_value"))
+
+
 def guarded(spark: SparkSession, sf: str) -> DataFrame:
     """The guard is set at the largest family's size, so the smaller ones get no verdict."""
     prod = production(spark, sf)
@@ -92,6 +100,7 @@ def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "i01_ks_length": ks,
+    "i01_ks_exact": exact_ks,
     "i02_chi_square_charset": chi2,
     "i03_centroid_distance": centroid,
     "i04_drift_statistics": statistics,
@@ -185,6 +194,24 @@ ORACLES = {
     "i06_drift_by_family": f"""
 WITH {_REPORT} SELECT family, drift_detected::INT::DOUBLE AS value FROM report""",
     "i01_ks_length": f"WITH {_SIDES}, {_KS} SELECT family, round(ks_d, 9) AS ks_d FROM ks",
+    "i01_ks_exact": f"""
+WITH RECURSIVE {_SIDES}, {_KS},
+n AS (SELECT family, count(*) FILTER (is_prod) AS n1, count(*) FILTER (NOT is_prod) AS n2
+      FROM both_sides GROUP BY family),
+walk AS (
+  SELECT family, n1, n2, round(ks_d * n1 * n2)::BIGINT AS gap, 0 AS k, [0.0::DOUBLE] AS o
+  FROM n JOIN ks USING (family) WHERE ks_d > 0
+  UNION ALL
+  SELECT family, n1, n2, gap, k + 1,
+         list_transform(range(0, least(n1, k + 1) + 1), lambda i: CASE
+           WHEN k + 1 - i > n2 THEN 0.0
+           WHEN abs(i * n2 - (k + 1 - i) * n1) >= gap THEN 1.0
+           ELSE (CASE WHEN i > 0 THEN o[i] * i ELSE 0.0 END
+                 + CASE WHEN k + 1 > i THEN o[i + 1] * (k + 1 - i) ELSE 0.0 END) / (k + 1) END)
+  FROM walk WHERE k < n1 + n2
+)
+SELECT family, coalesce(round(o[n1 + 1], 9), 1.0) AS p_value
+FROM n LEFT JOIN (SELECT family, o FROM walk WHERE k = n1 + n2) USING (family)""",
     "i02_chi_square_charset": f"WITH {_SIDES}, {_CHI2} SELECT family, round(chi2, 6) AS chi2 FROM chi",
     "i03_centroid_distance": """
 WITH v AS (SELECT label >= 5 AS is_prod, unnest(embedding)::DOUBLE AS x,

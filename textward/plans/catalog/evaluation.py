@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.operators import evaluate as ev
+from textward.operators import sketches
 from textward.plans.catalog.tables import PREDICTIONS, SCORED, predictions, scored_labels
+from textward.sources.store import materialize
+
+SKETCHED = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def _round(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -65,6 +69,17 @@ def latency(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sketched_latency(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sketches, stored, merged per family; their quantiles held against all rows."""
+    rows = predictions(spark, sf).select("family", F.to_date("ts").alias("day"), "value")
+    daily = materialize(sketches.sketch_values(rows, "value", ["family", "day"]), "daily-sketches")
+    merged = sketches.merge_sketches(daily, ["family"])
+    found = sketches.sketch_quantiles(merged, SKETCHED)
+    errors = sketches.rank_error(rows, "value", found, SKETCHED, ["family"])
+    near = (F.col("error") <= 0.01).alias("within_one_percent")
+    return errors.join(merged.select("family", "n"), "family").select("family", "n", "name", near)
+
+
 QUERIES = {
     "h01_confusion_matrix": confusion,
     "h02_binary_metrics": binary,
@@ -74,6 +89,7 @@ QUERIES = {
     "h06_classification_report": report,
     "h07_compare_models": comparison,
     "h08_latency_summary": latency,
+    "h08_latency_sketches": sketched_latency,
 }
 
 
@@ -153,6 +169,10 @@ FROM long""",
 WITH {SCORED}, {_sql_metrics('ma', 'pred_a', 'score')}, {_sql_metrics('mb', 'pred_b', 'score_b')}
 SELECT metric, round(x.value, 4) AS a, round(y.value, 4) AS b
 FROM ({_UNPIVOT.format('ma')}) x JOIN ({_UNPIVOT.format('mb')}) y USING (metric)""",
+    "h08_latency_sketches": f"""
+WITH {PREDICTIONS}
+SELECT family, count(value) AS n, name, true AS within_one_percent
+FROM predictions, (VALUES ('p50'), ('p95'), ('p99')) q(name) GROUP BY family, name""",
     "h08_latency_summary": f"""
 WITH {PREDICTIONS}
 SELECT family, round(quantile_cont(ms, 0.5), 6) AS p50_ms, round(quantile_cont(ms, 0.95), 6) AS p95_ms,

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textward.functions.text import char_features
 from textward.operators import evaluate as ev
 from textward.operators import models
 from textward.operators.monitor import LATENCY_EDGES
@@ -15,6 +16,8 @@ from textward.operators.splitting import assign_split
 from textward.plans import serving, training
 from textward.plans.catalog.tables import (
     SCORED,
+    SCRIPT,
+    SQL_SCRIPT,
     corpus,
     scored_labels,
     sql_sample_key,
@@ -43,6 +46,22 @@ def logistic(spark: SparkSession, sf: str) -> DataFrame:
     return _long(report)
 
 
+NEWTON_FEATURES = ("log_chars", "letters", "script", "digits")
+
+
+def newton(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of four character features, fitted on the training split."""
+    train = _labelled_splits(spark, sf).where("split = 'train'")
+    counted = train.select("label", char_features(F.coalesce("text", F.lit("")), SCRIPT).alias("f"))
+    chars = F.greatest(F.col("f")[0], F.lit(1.0))
+    shares = [(F.col("f")[i] / chars).alias(NEWTON_FEATURES[i]) for i in (1, 2, 3)]
+    rows = counted.select("label", F.log1p(F.col("f")[0]).alias(NEWTON_FEATURES[0]), *shares)
+    fitted = models.train_newton(rows, NEWTON_FEATURES)
+    weights = zip((*NEWTON_FEATURES, "intercept"), fitted.weights)
+    table_of = spark.createDataFrame(list(weights), "feature string, weight double")
+    return table_of.withColumn("weight", F.round("weight", 6))
+
+
 def _embedding_splits(spark: SparkSession, sf: str) -> DataFrame:
     return assign_split(
         table(spark, sf, "embeddings").select(
@@ -181,6 +200,7 @@ def held_out_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "g01_train_logistic": logistic,
+    "g01_newton_logistic": newton,
     "g02_train_boosted": boosted,
     "g03_mean_pool": mean_pool,
     "g04_score_batches": batched,
@@ -204,7 +224,62 @@ tested AS (
   SELECT s.*, {sql_split('d.text')} AS split FROM scored s JOIN documents d USING (doc_id)
 )"""
 
+
+
+def _sql_newton(steps: int = 15) -> str:
+    """The same steps as a recursive table; each solves its system by elimination (L D L')."""
+    size = len(NEWTON_FEATURES) + 1
+    every = range(size)
+    w = [f"w{i}" for i in every]
+    margin = " + ".join(f"w{i} * x{i}" for i in every)
+    ridge = lambda i: 1.0 if i < size - 1 else 0.0
+    sums = [f"sum(x{i} * (p - y)) + {ridge(i)} * w{i} AS g{i}" for i in every]
+    sums += [
+        f"sum(x{i} * x{j} * p * (1 - p)) + {ridge(i) if i == j else 0.0} AS h{i}{j}"
+        for i in every
+        for j in range(i + 1)
+    ]
+    solve = []
+    for j in every:
+        done = "".join(f" - l{j}{k} * l{j}{k} * d{k}" for k in range(j))
+        solve.append(f"h{j}{j}{done} AS d{j}")
+        for i in range(j + 1, size):
+            done = "".join(f" - l{i}{k} * l{j}{k} * d{k}" for k in range(j))
+            solve.append(f"(h{i}{j}{done}) / d{j} AS l{i}{j}")
+    for i in every:
+        solve.append(f"g{i}" + "".join(f" - l{i}{k} * u{k}" for k in range(i)) + f" AS u{i}")
+    for i in reversed(every):
+        later = "".join(f" - l{k}{i} * s{k}" for k in range(i + 1, size))
+        solve.append(f"u{i} / d{i}{later} AS s{i}")
+    named = ", ".join(f"('{n}', w{i})" for i, n in enumerate((*NEWTON_FEATURES, "intercept")))
+    return f"""
+WITH RECURSIVE counted AS (
+  SELECT l.toxic::DOUBLE AS y, {sql_split('d.text')} AS split, length(coalesce(d.text, '')) AS n,
+         coalesce(length(regexp_replace(d.text, '[^\\pL]+', '', 'g')), 0) AS a,
+         coalesce(length(d.text) - length(regexp_replace(d.text, '[{SQL_SCRIPT}]+', '', 'g')), 0) AS b,
+         coalesce(length(d.text) - length(regexp_replace(d.text, '[\\p{{Nd}}]+', '', 'g')), 0) AS c
+  FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic IS NOT NULL
+), r AS MATERIALIZED (
+  SELECT y, ln(1 + n) AS x0, a / greatest(n, 1) AS x1, b / greatest(n, 1) AS x2,
+         c / greatest(n, 1) AS x3, 1.0::DOUBLE AS x4
+  FROM counted WHERE split = 'train'
+), w AS (
+  SELECT 0 AS step, {', '.join(f'0.0::DOUBLE AS {v}' for v in w)}
+  UNION ALL
+  SELECT step + 1, {', '.join(f'w{i} - s{i}' for i in every)} FROM (
+    SELECT *, {', '.join(solve)} FROM (
+      SELECT step, {', '.join(w)}, {', '.join(sums)}
+      FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM w, r WHERE step < {steps})
+      GROUP BY step, {', '.join(w)}
+    )
+  )
+)
+SELECT v.feature, round(v.weight, 6) AS weight
+FROM w, LATERAL (VALUES {named}) v(feature, weight) WHERE step = {steps}"""
+
+
 ORACLES = {
+    "g01_newton_logistic": _sql_newton(),
     "g03_mean_pool": """
 WITH t AS (
   SELECT label AS text_id, (vec_id % 3 <> 0 AND label <> 0)::INT AS mask,
