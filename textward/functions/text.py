@@ -112,18 +112,17 @@ def char_features(text: Column | str, script: str = CYRILLIC) -> Column:
 
 
 def char_shingles(text: Column | str, k: int = 4) -> Column:
-    """Distinct character k-grams of the normalized text; a shorter text is its own only shingle."""
+    """Distinct character k-grams of the normalized text; a shorter text is its own only shingle.
 
-    def windows(chars: Column) -> Column:
-        joined = F.transform(
-            F.sequence(F.lit(0), F.size(chars) - k),
-            lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)]),
-        )
-        return F.when(F.size(chars) < k, F.array(F.array_join(chars, ""))).otherwise(
-            F.array_distinct(joined)
-        )
+    One pass of a pattern that looks ahead k characters and moves on by one.
+    """
+    ahead = F.lit(f"(?s)(?=(.{{{k}}})).")
 
-    return bind(F.split(normalize(text), ""), windows)
+    def windows(norm: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(norm, ahead, F.lit(1)))
+        return F.when(F.length(norm) < k, F.array(norm)).otherwise(found)
+
+    return bind(normalize(text), windows)
 
 
 def tokens(text: Column | str) -> Column:
@@ -135,13 +134,12 @@ def word_ngrams(toks: Column, min_n: int = 1, max_n: int = 2) -> Column:
     """Word n-grams of every size in ``min_n..max_n``, words joined by one space."""
 
     def of_size(t: Column, n: int) -> Column:
-        if n == 1:
-            return t
-        runs = F.transform(
-            F.sequence(F.lit(0), F.size(t) - n),
-            lambda i: F.concat_ws(" ", *[F.get(t, i + j) for j in range(n)]),
-        )
-        return F.when(F.size(t) >= n, runs).otherwise(F.array().cast("array<string>"))
+        # The words beside their followers; a text of fewer words has no n-gram.
+        held = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        runs = F.slice(t, 1, held) if n > 1 else t
+        for j in range(2, n + 1):
+            runs = F.zip_with(runs, F.slice(t, j, held), lambda a, b: F.concat(a, F.lit(" "), b))
+        return runs
 
     return bind(toks, lambda t: F.concat(*[of_size(t, n) for n in range(min_n, max_n + 1)]))
 
