@@ -43,7 +43,7 @@ def _shingles(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id",
         F.size("s").cast("bigint").alias("n_shingles"),
-        F.md5(F.array_join(F.array_sort("s"), "|")).alias("shingles_md5"),
+        F.md5(F.array_join(F.sort_array("s"), "|")).alias("shingles_md5"),
     )
 
 
