@@ -160,7 +160,6 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        .withColumn("text", F.col("chunk").cast("string"))
     )
 
 
@@ -171,15 +170,17 @@ def term_counts(counts: DataFrame) -> DataFrame:
     window, which streams over them. A row without a chunk gives one without a term.
     """
     rows = Window.partitionBy("chunk").orderBy("lang", "source")
-    found = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(LOWERED), F.lit(0))
+    found = F.regexp_extract_all(ascii_lower(F.col("chunk").cast("string")), F.lit(LOWERED), F.lit(0))
     none = F.array(F.lit(None).cast("string"))
     tokens = (
         counts.withColumn("place", F.row_number().over(rows))
-        .withColumn("found", F.when(F.col("place") == 1, F.when(F.col("text").isNull(), none).otherwise(found)))
+        .withColumn("found", F.when(F.col("place") == 1, F.when(F.col("chunk").isNull(), none).otherwise(found)))
         .withColumn("terms", F.first("found").over(rows.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    # A term that a chunk holds twice gives two rows.
-    return tokens.select("lang", "source", F.explode("terms").alias("term"), "n", "df", "low", "high")
+    # A term that a chunk holds twice gives two rows. Keys only matter where few documents hold it.
+    few = F.col("df") < LEAST_DOCS
+    keys = [F.when(few, F.col(c)).alias(c) for c in ("low", "high")]
+    return tokens.select("lang", "source", F.explode("terms").alias("term"), "n", "df", *keys)
 
 
 def kept_terms(found: DataFrame) -> DataFrame:
