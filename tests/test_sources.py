@@ -126,6 +126,13 @@ def test_recent_predictions_prune_and_skip_broken_files(spark, tmp_path):
     assert sorted(r.id for r in got.collect()) == [i * 2 + 1 for i in range(3, 10)]
     plan = plan_of(got)
     assert "PartitionFilters: [isnotnull(date" in plan and "DataFilters: []" in plan
+    assert "InMemoryFileIndex(7 paths)" in plan
+    schema = "id int, date date, family string"
+    late = readers.recent_predictions(spark, base, as_of=days[1], days=5, schema=schema)
+    assert sorted(r.id for r in late.collect()) == [0, 1, 2, 3]
+    assert "InMemoryFileIndex(2 paths)" in plan_of(late)
+    assert readers.recent_predictions(spark, base, as_of=dt.date(2020, 1, 1), schema=schema).count() == 0
+    assert readers.recent_predictions(spark, base, as_of=dt.date(2020, 1, 1)).count() == 0
 
 
 def test_reference_sample(spark):

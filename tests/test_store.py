@@ -1,4 +1,7 @@
+import datetime as dt
+
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textward.sources import readers, store
@@ -81,3 +84,25 @@ def test_shared_dir_is_the_session_setting(spark):
     if configured:
         assert configured in where
     assert store.materialize(spark.range(4)).count() == 4
+
+
+def test_gauge_table_keeps_runs_apart_and_lists_recent_days_only(spark, tmp_path):
+    base = str(tmp_path / "gauge")
+    now = dt.datetime(2024, 3, 20, 12, tzinfo=dt.UTC)
+    assert store.read_gauge(spark, base, now).count() == 0
+
+    def sample(days, value, job="a", families=("f", "g")):
+        ts = F.timestamp_seconds(F.lit(int((now - dt.timedelta(days=days)).timestamp())))
+        rows = spark.createDataFrame([(f, value) for f in families], "family string, value double")
+        store.append_gauge(rows.withColumn("ts", ts), base, job)
+
+    for days in (30, 20, 9, 8, 3, 0):
+        sample(days, float(days))
+    sample(3, 4.0)
+    sample(3, 5.0, job="b", families=("f",))
+    got = store.read_gauge(spark, base, now)
+    assert sorted((r.family, r.job, r.value) for r in got.collect()) == [
+        ("f", "a", 0.0), ("f", "a", 4.0), ("f", "a", 8.0), ("f", "b", 5.0),
+        ("g", "a", 0.0), ("g", "a", 4.0), ("g", "a", 8.0),
+    ]
+    assert "InMemoryFileIndex(3 paths)" in plan_of(got)

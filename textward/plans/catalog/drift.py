@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textward.functions.pvalues import ks_exact_p_value
-from textward.operators import drift
+from textward.operators import drift, monitor
 from textward.plans.catalog.tables import SCRIPT, SQL_SCRIPT, table
+from textward.sources import store
+from textward.sources.store import materialize, scratch_path
 
 FAMILIES = ["fam0", "fam1", "fam2"]
 
@@ -98,6 +100,29 @@ def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return gauge.select("family", "value")
 
 
+def gauge_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports as samples of a metric table, and the alert that reads the table.
+
+    The report of the 1st of February counts. Samples from before it say the contrary, one of them
+    is too old to be read at all; the report's run is done twice.
+    """
+    base = scratch_path(spark, "gauge")
+    made = materialize(
+        drift.detect_drift(production(spark, sf), training(spark, sf), script=SCRIPT), "report"
+    )
+    at = lambda text: F.lit(text).cast("timestamp")
+    contrary = made.withColumn("drift_detected", ~F.col("drift_detected"))
+    for ts in ("2024-01-20 00:00:00", "2024-01-30 00:00:00"):
+        store.append_gauge(drift.drift_gauge(contrary, at(ts)), base, "weekly")
+    for _ in range(2):
+        store.append_gauge(drift.drift_gauge(made, at("2024-02-01 00:00:00")), base, "weekly")
+    now = at("2024-02-03 00:00:00")
+    samples = store.read_gauge(spark, base, spark.range(1).select(now).first()[0])
+    alert = monitor.drift_alert(samples, now, series=["job"])
+    n = samples.groupBy("family").agg(F.count("*").alias("n_samples"))
+    return n.join(alert, "family", "left").select("family", "n_samples", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
 QUERIES = {
     "i01_ks_length": ks,
     "i01_ks_exact": exact_ks,
@@ -107,6 +132,7 @@ QUERIES = {
     "i04_drift_report": report,
     "i05_too_few_rows": guarded,
     "i06_drift_by_family": end_to_end,
+    "i06_gauge_alert": gauge_alert,
 }
 
 _SIDES = f"""sides AS (
@@ -191,6 +217,8 @@ report AS (
 
 ORACLES = {
     "i04_drift_report": f"WITH {_REPORT} SELECT * FROM report",
+    "i06_gauge_alert": f"""
+WITH {_REPORT} SELECT family, 2 AS n_samples, drift_detected::INT::DOUBLE AS value FROM report""",
     "i06_drift_by_family": f"""
 WITH {_REPORT} SELECT family, drift_detected::INT::DOUBLE AS value FROM report""",
     "i01_ks_length": f"WITH {_SIDES}, {_KS} SELECT family, round(ks_d, 9) AS ks_d FROM ks",

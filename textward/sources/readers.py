@@ -1,7 +1,7 @@
 """Readers that bring each source layout to the canonical table.
 
-Every reader takes an explicit schema, so no pass over the data infers one, and filters sit next
-to the scan so that Parquet evaluates them.
+Readers of raw files take an explicit schema, so no pass over the data infers one, and filters sit
+next to the scan so that Parquet evaluates them. Tables of this package bring theirs along.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textward.functions import text as tx
 from textward.operators.sampling import sample_exact
 from textward.sources.schema import canonical
-from textward.sources.store import materialize
+from textward.sources.store import day_folders, materialize
 
 # The source tags that downstream tables group by, and one data set id.
 RECORD_SOURCE = "dmtrdr_ru"
@@ -238,7 +238,9 @@ def recent_predictions(
 ) -> DataFrame:
     """Logged predictions of the last ``days`` UTC dates including ``as_of`` (default today).
 
-    Dates and families are partitions, so other files are never opened. ``schema`` is the DDL of the
+    Dates and families are partitions, so other files are never opened. With a date of Python, only
+    the folders of the wanted dates are listed, however long the log is (a log that a stream's file
+    sink has written is read by the sink's own list of files). ``schema`` is the DDL of the
     log with ``date`` and ``family``; with it no file is opened to find the columns, and a log that
     doesn't exist yet has no rows. With ``skip_broken``, files that vanish or cannot be decoded are
     left out; otherwise they are errors.
@@ -249,8 +251,17 @@ def recent_predictions(
     reader = spark.read.option("ignoreCorruptFiles", skip_broken).option(
         "ignoreMissingFiles", skip_broken
     )
+    if schema:
+        reader = reader.schema(schema)
+    plain_date = isinstance(as_of, dt.date) and not isinstance(as_of, dt.datetime)
+    folders = day_folders(spark, base, as_of, days) if plain_date else None
     try:
-        log = (reader.schema(schema) if schema else reader).parquet(base)
+        if folders:
+            log = reader.option("basePath", base).parquet(*folders)
+        elif folders is not None and schema:
+            log = spark.createDataFrame([], schema)
+        else:
+            log = reader.parquet(base)
     except AnalysisException as e:
         if not schema or e.getCondition() != "PATH_NOT_FOUND":
             raise

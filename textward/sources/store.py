@@ -71,6 +71,58 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def day_folders(spark: SparkSession, base: str, last: dt.date, days: int) -> list[str] | None:
+    """Existing folders ``date=...`` of ``days`` dates up to ``last``, each asked for by name.
+
+    None for a table that a stream's file sink has written: its own log names the committed files,
+    so no folder is listed there, and files of failed attempts lie beside them.
+    """
+    jvm = spark.sparkContext._jvm
+    path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}")
+    fs = path("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path("_spark_metadata")):
+        return None
+    names = [f"date={last - dt.timedelta(days=back)}" for back in reversed(range(days))]
+    return [path(n).toString() for n in names if fs.exists(path(n))]
+
+
+GAUGE = "ts timestamp, family string, value double, date date, job string, run bigint"
+
+
+def append_gauge(gauge: DataFrame, base: str, job: str) -> None:
+    """Add a run's samples ``ts, family, value`` to the metric table ``base``.
+
+    A partition holds one job's samples of one instant, so a run that is done again replaces its own
+    rows and adds none.
+    """
+    second = F.unix_seconds("ts")
+    (
+        gauge.select(
+            "ts",
+            "family",
+            "value",
+            F.date_from_unix_date(F.floor(second / 86_400).cast("int")).alias("date"),
+            F.lit(job).alias("job"),
+            second.alias("run"),
+        )
+        .write.partitionBy("date", "job", "run")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(base)
+    )
+
+
+def read_gauge(spark: SparkSession, base: str, now: dt.datetime, days: int = 8) -> DataFrame:
+    """Samples that can lie within ``days`` times 24 hours before ``now``; no other date is listed.
+
+    A table that doesn't exist yet has none.
+    """
+    folders = day_folders(spark, base, now.astimezone(dt.UTC).date(), days + 1)
+    if not folders:
+        return spark.createDataFrame([], GAUGE)
+    return spark.read.schema(GAUGE).option("basePath", base).parquet(*folders)
+
+
 def write_stage(df: DataFrame, path: str) -> None:
     """A stage's canonical output, replacing an earlier one."""
     df.write.mode("overwrite").parquet(path)
