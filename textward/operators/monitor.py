@@ -299,6 +299,8 @@ def hold(
     )
 
 
+# The result's columns, as its readers name them, are champion_label, other_family,
+# other_label and count.
 def disagreements(
     df: DataFrame, *, request_col: str = "request_id", seq_col: str = "seq"
 ) -> DataFrame:
