@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textward.operators import models, monitor
 from textward.operators.monitor import HOUR, MINUTE
 from textward.plans import serving
+from textward.plans.catalog import scoring
 from textward.plans.catalog.tables import as_predictions, predictions, stream_of, table
 from textward.sources import readers
 from textward.streaming import holds, sinks
@@ -54,6 +55,30 @@ def test_shares_over_trailing_windows_equal_batch(spark, small, stream, tmp_path
     assert as_set(got) == as_set(batch.where(F.col("eval_ts") <= closed(spark, small)))
 
 
+@pytest.mark.parametrize(
+    "name", ["c14_rejects_stream", "g05_prediction_records_stream", "g05_serving_stream"]
+)
+def test_streams_of_a_table_in_several_files(spark, small, tmp_path, name):
+    folder = str(tmp_path)
+    docs = table(spark, small, "documents").select("doc_id", "text")
+    long = docs.where("doc_id < 7").withColumn("text", F.repeat("text", 10_000))
+    docs = docs.where("doc_id >= 7").unionByName(long)
+    docs.where("doc_id < 50").coalesce(1).write.parquet(f"{folder}/one/documents.parquet")
+    (part,) = (tmp_path / "one" / "documents.parquet").glob("part-*")
+    part.rename(tmp_path / "documents.parquet")
+    docs.where("doc_id < 50").repartition(3).write.parquet(f"{folder}/more/documents.parquet")
+    query = scoring.QUERIES[name]
+    got = as_set(query(spark, f"{folder}/more"))
+    assert got and got == as_set(query(spark, folder))
+
+
+@pytest.mark.parametrize("name", ["g05_prediction_records_stream", "g05_serving_stream"])
+def test_streams_without_rows(spark, tmp_path, name):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    none.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert scoring.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     source = tmp_path / "in"
     ddl = "s bigint, family string, label string"

@@ -27,6 +27,7 @@ from textward.plans.catalog.tables import (
 )
 from textward.sources.store import scratch_path
 from textward.streaming.predictions import start_table_sink
+from textward.streaming.sinks import read_part
 
 
 def _labelled_splits(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,14 +128,10 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_records(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "scores")
-    query = start_table_sink(
-        _records(stream_of(spark, sf, "documents")),
-        f"{base}/rows",
-        f"{base}/state",
-        available_now=True,
-    )
+    stream = _records(stream_of(spark, sf, "documents"))
+    query = start_table_sink(stream, f"{base}/rows", f"{base}/state", available_now=True)
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/rows")
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
 def _served(spark: SparkSession, sf: str) -> str:
@@ -174,11 +171,13 @@ def serving_stream(spark: SparkSession, sf: str) -> DataFrame:
     part = lambda name, of, key, value: of.select(
         F.lit(name).alias("part"), key.cast("string").alias("key"), value.cast("double").alias("value")
     )
+    # A batch without a sampled request leaves no file to take a schema from.
+    log = read_part(spark, base, "log", "doc_id bigint, text string, date date")
     at = lambda *names: F.concat_ws("|", F.unix_seconds("window_start"), *names)
     hist = serving.total_histograms(read("histograms")).where("metric = 'latency_s'")
     parts = [
         part("record", read("records"), F.concat_ws("|", "doc_id", "label"), F.col("confidence")),
-        part("log", read("log"), F.concat_ws("|", "doc_id", F.col("date").cast("string")), F.length("text")),
+        part("log", log, F.concat_ws("|", "doc_id", F.col("date").cast("string")), F.length("text")),
         part("count", serving.total_counts(read("counts")), at("label"), F.col("count")),
         part("latency", hist, at(F.when(F.col("le") < 1e9, (F.col("le") * 1000).cast("int")).otherwise(-1)), F.col("bucket")),
     ]

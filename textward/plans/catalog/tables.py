@@ -100,7 +100,10 @@ PREDICTIONS = """predictions AS (
 def stream_of(
     spark: SparkSession, sf: str, name: str, session: SparkSession | None = None
 ) -> DataFrame:
-    """A table as a stream of its file.
+    """A table as a stream of its file, or of the files in its folder.
+
+    The path is a pattern that only the table matches: a stream takes a plain path for a folder's,
+    and a name filter on the folder above would skip the files of a table that is a folder.
 
     A stream's state has as many partitions as its session shuffles into; the stream gets a session
     with one per core, since the default of hundreds costs more than these streams' rows.
@@ -109,9 +112,7 @@ def stream_of(
     if session is None:
         session = spark.newSession()
         session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    return (
-        session.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-    )
+    return session.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def scored_labels(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,7 +55,7 @@ def start_fanout(
     ).start()
 
 
-def read_part(spark: SparkSession, base: str, name: str, schema: StructType) -> DataFrame:
+def read_part(spark: SparkSession, base: str, name: str, schema: StructType | str) -> DataFrame:
     """A table of the fan-out, without its ``batch`` column."""
     path = f"{base}/{name}"
     return spark.read.schema(schema).option("basePath", path).parquet(path).drop("batch")
