@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -54,6 +55,19 @@ def test_exact_ks_counts_orders(spark):
     assert got[:-1] == pytest.approx(want, abs=1e-13)
 
 
+def test_exact_ks_of_large_samples():
+    """Steps grow with the band; all diagonals in full would be 10^11 here."""
+    start = time.process_time()
+    series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k) for k in range(1, 9))
+    gap = round(math.sqrt(200_000 * 600_000 * 800_000))
+    assert pvalues._path_leaves(gap, 200_000, 600_000) == pytest.approx(series, abs=2e-3)
+    assert pvalues._path_leaves(30 * gap, 200_000, 600_000) == 0
+    assert pvalues._path_leaves(600 * 600 // 2, 600, 600) == pytest.approx(
+        2 * math.comb(1200, 300) / math.comb(1200, 600), rel=1e-9
+    )
+    assert time.process_time() - start < 60
+
+
 def test_exact_ks_nears_the_series_and_is_asked_for(spark):
     rows = [(x / math.sqrt(1000), 2000, 2000) for x in (0.6, 0.9, 1.2, 1.6)]
     d, a, b = F.col("d"), F.col("a"), F.col("b")
