@@ -210,6 +210,29 @@ def test_line_dedup_misses_what_the_readme_says(rows):
         assert 100 * sum(later) / pairs / int(n) == pytest.approx(int(share), abs=6)
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.95, 0.99])
+def test_near_duplicates_at_high_thresholds(rows, threshold):
+    """Long texts just above the threshold, whose differences cut all long runs of their hashes."""
+    r, n = random.Random(5), 1000
+    texts, gone = [], int(n * (1 - threshold))
+    for base in [[str(r.random()) for _ in range(n)] for _ in range(40)]:
+        left_out = set(r.sample(range(n), gone))
+        texts += [" ".join(base), " ".join(w for i, w in enumerate(base) if i not in left_out)]
+    docs = rows(list(enumerate(texts)), "doc_id bigint, text string")
+    found = minhash.near_duplicates(docs, length=1, threshold=threshold).collect()
+    assert {x.doc_id: x.component_id for x in found} == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_sketches_of_any_threshold():
+    for t in (Fraction(1, 10), Fraction(1, 2), Fraction(4, 5), Fraction(99, 100), Fraction(1)):
+        length, _ = minhash.run_length(t)
+        size = minhash.sketch_size(t, length)
+        ends = [1.0] + [0.0] * (length - 1)
+        for _ in range(size):
+            ends = [float(1 - t) * sum(ends), *(float(t) * x for x in ends[:-1])]
+        assert sum(ends) <= minhash.MISS <= 1e-12
+
+
 def test_runs_that_small_sets_share():
     assert minhash.run_length(Fraction(4, 5)) == (3, 5)
 

@@ -1,7 +1,7 @@
 """Near-duplicates by bottom-k sketches of one hash function, verified on the full sets.
 
 A document's set is its distinct shingles of words, each one a 64-bit hash. Its sketch retains the
-``SKETCH`` smallest hashes. Inverted lists are kept for runs of neighbouring retained values: where
+smallest hashes. Inverted lists are kept for runs of neighbouring retained values: where
 two sets agree on r neighbours of their union, they share a list. For a similarity of t the shared
 values of a union outnumber the others by t / (1 - t), so with r below that number sets that fit
 into a sketch always share a run; the few smallest sets, for which that needs shorter runs, list
@@ -15,9 +15,8 @@ whose members are all in one component is done. Each other list belongs to its l
 the members of all other components in the lists of that one meet its members and each other. So
 every two documents that share a list and aren't connected yet are compared. What a comparison is:
 an estimate of the similarity from the sketch of the union (the values up to which both sketches are
-complete) removes clear misses (more than ten deviations below t), the rest is decided on the full
-sets. Equal sets are one node from the
-start.
+complete) removes clear misses (as far below t as a pair that meets t comes with a probability
+below 2^-64), the rest is decided on the full sets. Equal sets are one node from the start.
 
 Both sides of such a meeting are cut into blocks of bounded size, and a block pair is one unit of
 work, so a group of copies of any size is spread over the cluster. Units receive packed words,
@@ -40,16 +39,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textward.llm.common import connected
 from textward.sources.store import materialize
 
+# Probability at most that a pair that meets the threshold shares no list.
+MISS = 2.0**-40
+# The longest runs that are listed, and the smallest sketch.
+RUN = 3
 SKETCH = 64
-# Values of each set that the similarity is estimated from, and the margin below t.
+# Values of each set that the similarity is estimated from, and the margin below t: Chernoff's bound
+# of a mean of 256 draws that far below t is under 2^-64 for every t.
 ESTIMATE = 256
-SAFE = 0.25
+SAFE = 0.3
 BLOCK = 256
 
 
@@ -72,16 +76,27 @@ def shingles(words: list[bytes], length: int) -> np.ndarray:
 
 def run_length(t: Fraction) -> tuple[int, int]:
     """Length of the runs that are listed, and the largest union that may share only shorter ones."""
-    length = max(1, math.ceil(t / (1 - t)) - 1) if t < 1 else 3
+    length = min(max(1, math.ceil(t / (1 - t)) - 1), RUN) if t < 1 else RUN
     # A union of u values has u - c others at most, which cut the c shared ones into runs.
     shared = {u: math.ceil(t * u) for u in range(1, 1000)}
     short = [u for u, c in shared.items() if math.ceil(Fraction(c, u - c + 1)) < length]
     return length, max(short, default=0)
 
 
-def list_keys(values: np.ndarray, length: int, small: int) -> np.ndarray:
+def sketch_size(t: Fraction, length: int) -> int:
+    """Values of which a share of ``t`` is without a run of ``length`` as rarely as ``MISS``."""
+    p, size = float(t), 0
+    # The chance of no run so far, by the length of the last one.
+    ends = [1.0] + [0.0] * (length - 1)
+    while sum(ends) > MISS:
+        ends = [(1 - p) * sum(ends), *(p * x for x in ends[:-1])]
+        size += 1
+    return max(size, SKETCH)
+
+
+def list_keys(values: np.ndarray, length: int, small: int, size: int = SKETCH) -> np.ndarray:
     """Names of the lists of a set, given its sorted hashes."""
-    sketch = values[:SKETCH]
+    sketch = values[:size]
     keys = np.full(max(len(sketch) - length + 1, 0), length, np.uint64)
     for i in range(length):
         keys = (keys ^ sketch[i : i + len(keys)]) * np.uint64(0xD6E8FEB86659FD93)
@@ -102,6 +117,7 @@ _SKETCHED = "struct<node:bigint,n_shingles:bigint,keys:array<bigint>,packed:bina
 def _sketched(text: Column, shingle: int, t: Fraction) -> Column:
     """A text's set's name (null if empty) and size, its lists, and its words, packed."""
     length, small = run_length(t)
+    size = sketch_size(t, length)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
@@ -111,7 +127,7 @@ def _sketched(text: Column, shingle: int, t: Fraction) -> Column:
                 values = shingles(words, shingle)
                 nodes.append(_node(values))
                 sizes.append(len(values))
-                keys.append(list_keys(values, length, small).view(np.int64))
+                keys.append(list_keys(values, length, small, size).view(np.int64))
                 packed.append(zlib.compress(b" ".join(words), 1))
             yield pa.StructArray.from_arrays(
                 [
@@ -282,6 +298,8 @@ def near_duplicates(
     words (runs of other than blanks and ASCII control spaces, A-Z in lower case).
     """
     t = Fraction(threshold).limit_denominator(10_000)
+    if not 0 < t <= 1:
+        raise ValueError("threshold must be above 0, and 1 at most")
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sketches = materialize(
         source.select("id", _sketched(F.col("text"), length, t).alias("s")).select("id", "s.*"),
@@ -292,10 +310,13 @@ def near_duplicates(
     named = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first"))
 
     entries = sketches.select("node", F.explode("keys").alias("value"))
-    lists = entries.groupBy("value").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+    # Entries move once: most lists have a single member, so counting first would shrink nothing.
+    of_list = Window.partitionBy("value")
+    lists = entries.withColumns(
+        {"hub": F.min("node").over(of_list), "_last": F.max("node").over(of_list)}
+    )
     member = materialize(
-        entries.join(lists.where("hub < last").select("value", "hub"), "value").distinct(),
-        "near-lists",
+        lists.where("hub < _last").select("value", "node", "hub").distinct(), "near-lists"
     )
     texts = sketches.groupBy("node").agg(F.first("packed").alias("packed"))
     texts = materialize(
