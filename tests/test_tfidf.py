@@ -3,7 +3,9 @@ import re
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 
+from textward.operators import tfidf
 from textward.operators.tfidf import Tfidf, TfidfModel
 
 TEXTS = [
@@ -90,3 +92,20 @@ def test_save_and_load(spark, docs, tmp_path):
 
 def test_settings_cannot_transform():
     assert not hasattr(Tfidf(), "weights")
+
+
+@pytest.mark.parametrize("ngrams", [(1, 1), (1, 2), (2, 2), (1, 3)])
+@pytest.mark.parametrize("at_once", [3, 10_000])
+def test_tasks_count_many_texts_before_the_shuffle(spark, monkeypatch, ngrams, at_once):
+    monkeypatch.setattr(tfidf, "COUNTED_WORDS", at_once)
+    texts = [*TEXTS, None, "a", *["кот спит кот спит кот"] * 3, "inst спит"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    tf, df = Counter(), Counter()
+    for t in texts:
+        w = re.findall(r"\b\w\w+\b", (t or "").lower())
+        every = [" ".join(w[i : i + n]) for n in range(ngrams[0], ngrams[1] + 1) for i in range(len(w) - n + 1)]
+        tf.update(every)
+        df.update(set(every))
+    stats = tfidf.term_statistics(docs, id_col="id", ngrams=ngrams)
+    assert {(r.term, r.tf, r.df) for r in stats.collect()} == {(t, tf[t], df[t]) for t in df}
+    assert "Generate" not in plan_of(stats)

@@ -1,14 +1,18 @@
 """TF-IDF with sublinear tf, smoothed idf and unit-length rows, as a long (id, term, weight) table.
 
-Repeats are counted inside each row, so exactly one shuffle of distinct terms serves the fit and one
-serves the transform. The fitted vocabulary has at most ``max_features`` rows and is broadcast.
+The fit counts the terms of many texts inside each task, the transform those of a row, so exactly one
+shuffle of distinct terms serves either. The fitted vocabulary has at most ``max_features`` rows and is broadcast.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,13 +33,72 @@ def doc_terms(
     return df.select(id_col, entry.alias("_e")).select(id_col, "_e.term", "_e.tf")
 
 
-def term_statistics(df: DataFrame, **options) -> DataFrame:
-    """Corpus frequency and document frequency of every term: ``term, tf, df``."""
-    return (
-        doc_terms(df, **options)
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+# Words that a task counts at once, a few hundred MB with their n-grams at most.
+COUNTED_WORDS = 2_000_000
+
+
+def _counted(words: list[pa.ListArray], sizes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Terms of some texts' words with their frequencies, each term once."""
+    rows = pa.chunked_array(words).combine_chunks()
+    flat = rows.flatten()
+    if not len(flat):
+        return
+    named = flat.dictionary_encode()
+    names, code = named.dictionary, named.indices.to_numpy().astype(np.int64)
+    lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+    text = np.repeat(np.arange(len(rows)), lengths)
+    # A number for the n-gram that starts at each word, and a place of every number.
+    gram, held = code, np.arange(len(code))
+    for n in range(1, sizes[1] + 1):
+        if n > 1:
+            held = held[held + n - 1 < len(code)]
+            held = held[text[held] == text[held + n - 1]]
+            pair = gram[held] * len(names) + code[held + n - 1]
+            numbers = np.unique(pair, return_inverse=True)[1]
+            gram = np.zeros(len(code), np.int64)
+            gram[held] = numbers
+        if n < sizes[0] or not len(held):
+            continue
+        order = held[np.lexsort((text[held], gram[held]))]
+        g, t = gram[order], text[order]
+        starts = np.r_[0, (np.diff(g) != 0).nonzero()[0] + 1]
+        fresh = np.r_[True, (np.diff(g) != 0) | (np.diff(t) != 0)]
+        first = order[starts]
+        term = names.take(pa.array(code[first]))
+        for j in range(1, n):
+            term = pc.binary_join_element_wise(term, names.take(pa.array(code[first + j])), " ")
+        yield pa.record_batch(
+            {
+                "term": term,
+                "tf": pa.array(np.diff(np.r_[starts, len(g)]), pa.int64()),
+                "df": pa.array(np.add.reduceat(fresh.astype(np.int64), starts), pa.int64()),
+            }
+        )
+
+
+def term_statistics(
+    df: DataFrame, *, id_col: str, text_col: str = "text", ngrams: tuple[int, int] = (1, 2)
+) -> DataFrame:
+    """Corpus frequency and document frequency of every term: ``term, tf, df``.
+
+    Each task counts the terms of many texts before they are shuffled; a row is a text.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = [], 0
+        for batch in batches:
+            words.append(batch.column(0))
+            n += len(batch.column(0).flatten())
+            if n >= COUNTED_WORDS:
+                yield from _counted(words, ngrams)
+                words, n = [], 0
+        if words:
+            yield from _counted(words, ngrams)
+
+    counted = df.select(tokens(text_col).alias("words")).mapInArrow(
+        count, "term string, tf bigint, df bigint"
     )
+    return counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 @dataclass(frozen=True)
