@@ -155,6 +155,48 @@ def test_links_don_t_depend_on_the_unit():
         assert sorted(h for _, h in whole) == alone
 
 
+def test_bands_meet_at_the_threshold_and_hardly_with_a_passage():
+    bands, rows = minhash.band_shape(Fraction(4, 5))
+    assert (1 - 0.8**rows) ** bands <= minhash.MISS
+    assert minhash.band_shape(Fraction(1, 2)) == (208, 3)
+    r = np.random.default_rng(5)
+
+    def shared(union, both):
+        values = np.unique(r.integers(0, 2**63, union).astype(np.uint64))
+        of = r.permutation(union)
+        sets = [np.sort(values[np.r_[of[:both], part]]) for part in np.array_split(of[both:], 2)]
+        keys = [set(minhash.band_keys(s, bands, rows).tolist()) for s in sets]
+        return len(keys[0] & keys[1])
+
+    near = [shared(100, 80) for _ in range(100)]
+    assert min(near) > 0 and abs(np.mean(near) - bands * 0.8**rows) < 2
+    assert sum(shared(300, 75) for _ in range(100)) <= 3
+
+
+def test_a_quoted_passage_doesn_t_bring_all_documents_together(spark, rows, monkeypatch):
+    passage = " ".join(f"p{j}" for j in range(60))
+    text = lambda i: f"{passage} " + " ".join(f"w{i}x{j}" for j in range(50))
+    data = [(i, text(i)) for i in range(240)] + [(1000 + i, f"{text(i)} new") for i in range(0, 240, 12)]
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "WIDE", 16)
+    seen, units = [], minhash._units
+
+    def counted(*given, **named):
+        found = units(*given, **named)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "_units", counted)
+    made = {}
+    for n in (120, 240):
+        docs = materialize(rows([d for d in data if d[0] % 1000 < n], "doc_id long, text string"))
+        seen.clear()
+        got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, length=2).collect()}
+        assert got == {i: i % 1000 for i in got}
+        made[n] = sum(seen)
+    assert made[240] <= 2.5 * made[120]
+
+
 def test_skewed_join(spark, rows, monkeypatch):
     data = [(i % 7, i) for i in range(50)] + [(9, i) for i in range(500)] + [(None, 1)]
     left = materialize(rows(data, "k int, v int"))

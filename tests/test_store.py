@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import plan_of
@@ -86,6 +87,22 @@ def test_shared_dir_is_the_session_setting(spark):
     assert store.materialize(spark.range(4)).count() == 4
 
 
+def test_temporary_tables_go_with_their_block(spark):
+    folders = lambda: {p.name for p in Path(store.shared_dir(spark).removeprefix("file:")).glob("tmp-*")}
+    assert not folders()
+    with store.temporary() as keep:
+        with store.temporary() as keep_inner:
+            inner = keep_inner(store.materialize(spark.range(5), "tmp-a").where("id > 1"), "tmp-b")
+            assert len(folders()) == 2
+        assert len(folders()) == 1 and inner.count() == 3
+        kept = keep(inner.where("id > 2"), "tmp-c")
+    assert {f[:5] for f in folders()} == {"tmp-c"} and kept.count() == 2
+    with pytest.raises(ZeroDivisionError), store.temporary():
+        store.materialize(spark.range(5), "tmp-d")
+        1 / 0
+    assert {f[:5] for f in folders()} == {"tmp-c"}
+
+
 def test_gauge_table_keeps_runs_apart_and_lists_recent_days_only(spark, tmp_path):
     base = str(tmp_path / "gauge")
     now = dt.datetime(2024, 3, 20, 12, tzinfo=dt.UTC)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,18 +47,25 @@ def _drop_at_exit(spark: SparkSession, path: str) -> None:
     _scratch.append((spark, path))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    if spark.sparkContext._jsc is None or jvm is None:
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch() -> None:
     """Delete the tables that ``materialize`` has written; runs when the driver's program ends.
 
     Results that still read them have to be stored before.
     """
     while _scratch:
-        spark, path = _scratch.pop()
-        jvm = spark.sparkContext._jvm
-        if spark.sparkContext._jsc is None or jvm is None:
-            continue
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(*_scratch.pop())
+
+
+# The tables of the innermost ``temporary``.
+_inside: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("_inside", default=None)
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
@@ -67,10 +76,38 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     _drop_at_exit(df.sparkSession, path)
+    if (tables := _inside.get()) is not None:
+        tables.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Delete the tables that ``materialize`` writes inside as soon as the block ends.
+
+    The yielded function materializes what is read after the block. Its tables belong to the
+    surrounding block, if there is one.
+    """
+    outer, tables = _inside.get(), []
+
+    def keep(df: DataFrame, name: str = "step") -> DataFrame:
+        token = _inside.set(outer)
+        try:
+            return materialize(df, name)
+        finally:
+            _inside.reset(token)
+
+    token = _inside.set(tables)
+    try:
+        yield keep
+    finally:
+        _inside.reset(token)
+        for table in tables:
+            _delete(*table)
+            _scratch.remove(table)
+
+
 def day_folders(spark: SparkSession, base: str, last: dt.date, days: int) -> list[str] | None:
     """Existing folders ``date=...`` of ``days`` dates up to ``last``, each asked for by name.
 
