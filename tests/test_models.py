@@ -138,6 +138,24 @@ def test_newton_halves_steps_that_overshoot(spark):
     assert m.weights[0] > 5
 
 
+def test_score_batches_holds_few_texts_at_once(spark):
+    def make_scorer():
+        import gc
+
+        def score(texts):
+            # Strings of this length that Python holds, beside those of the call.
+            lists = [o for o in gc.get_objects() if type(o) is list and o and o is not texts]
+            return [float(sum(len(x) for x in lists if type(x[0]) is str and len(x[0]) == 997))] * len(texts)
+
+        return score
+
+    df = spark.range(0, 500, 1, 1).select(F.lit("x" * 997).alias("text"))
+    assert models.score_batches(df, make_scorer).agg(F.max("score")).first()[0] == 0
+    odd = spark.createDataFrame([(None,), ("a",), ("bb",)], "text string").coalesce(1)
+    sizes = lambda: lambda ts: [float("nan") if t is None else len(t) for t in ts]
+    assert [r.score for r in models.score_batches(odd, sizes, batch_size=2).collect()] == [None, 1, 2]
+
+
 def test_score_batches(spark):
     # Defined here, so that it travels by value; executors cannot import a test module.
     def make_scorer():

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -18,6 +18,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from textward.functions.text import decode_confidence, decode_label
 from textward.operators import evaluate as ev
@@ -220,17 +222,20 @@ def score_batches(
     of texts to as many results. Only the text column travels to Python.
     """
 
-    @F.pandas_udf(returns)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = to_arrow_type(DataType.fromDDL(returns))
+
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = make_scorer()
-        for texts in batches:
-            values = texts.tolist()
-            out: list = []
-            for at in range(0, len(values), batch_size):
-                out.extend(scorer(values[at : at + batch_size]))
-            yield pd.Series(out)
-
-    return df.withColumn(out_col, score(F.col(text_col)))
+        for column in columns:
+            parts = [pa.array([], kind)]
+            for at in range(0, len(column), batch_size):
+                # Only these texts are Python objects at a time.
+                out = list(scorer(column.slice(at, batch_size).to_pylist()))
+                parts.append(pa.array(out, kind, from_pandas=True))
+            yield pa.concat_arrays(parts)
+
+    score.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return df.withColumn(out_col, F.arrow_udf(score, returns)(F.col(text_col)))
 
 
 def mean_pool(
