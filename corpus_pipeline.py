@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textward.llm import bpe, lines, minhash, mixing, queries
 from textward.llm.common import n_words, plain_names, prepare, table
-from textward.sources.store import materialize
+from textward.sources.store import materialize, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -106,5 +106,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with temporary() as keep:
+            docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textward.llm.common import join_skewed, plain_names
-from textward.sources.store import materialize
+from textward.sources.store import materialize, temporary
 
 RESULTS = ("_kept", "_n_lines", "_n_removed")
 
@@ -118,61 +118,62 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col))
     )
     several = F.col(text_col).isNotNull() & F.col(text_col).contains("\n")
-    cut = docs.where(several).select(
-        F.col(id_col).alias("id"), key.alias("key"), F.explode(_let(lines, _digests)).alias("c")
-    )
-    found = materialize(cut.select("id", "key", "c.*"), "line-chunks")
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "key", "no")
-    index = materialize(
-        found.groupBy("digest")
-        .agg(F.min(place).alias("first"), F.max(place).alias("other"), F.count("*").alias("n"))
-        .where("first < other")
-        .select("digest", "first", "n"),
-        "line-index",
-    )
-    marks = (
-        join_skewed(found, index, "digest")
-        .groupBy("key")
-        .agg(
-            F.collect_set(
-                F.struct("no", "start", "size", "digest", (place != F.col("first")).alias("again"))
-            ).alias("_line_marks")
+    with temporary() as keep:
+        cut = docs.where(several).select(
+            F.col(id_col).alias("id"), key.alias("key"), F.explode(_let(lines, _digests)).alias("c")
+        )
+        found = materialize(cut.select("id", "key", "c.*"), "line-chunks")
+        place = F.struct(F.col("id").isNull().alias("last"), "id", "key", "no")
+        index = materialize(
+            found.groupBy("digest")
+            .agg(F.min(place).alias("first"), F.max(place).alias("other"), F.count("*").alias("n"))
+            .where("first < other")
+            .select("digest", "first", "n"),
+            "line-index",
+        )
+        marks = (
+            join_skewed(found, index, "digest")
+            .groupBy("key")
+            .agg(
+                F.collect_set(
+                    F.struct("no", "start", "size", "digest", (place != F.col("first")).alias("again"))
+                ).alias("_line_marks")
+            )
+            .withColumnRenamed("key", "_line_other")
+        )
+        joined = keep(
+            docs.withColumn("_line_key", key).join(marks, F.col("_line_key") == F.col("_line_other"), "left").drop("_line_other"),
+            "line-marked",
         )
-        .withColumnRenamed("key", "_line_other")
-    )
-    joined = materialize(
-        docs.withColumn("_line_key", key).join(marks, F.col("_line_key") == F.col("_line_other"), "left").drop("_line_other"),
-        "line-marked",
-    )
 
-    # Comparing bytes: digests whose chunks aren't all alike.
-    marked = joined.where("_line_marks IS NOT NULL").select(
-        F.col(id_col).alias("id"),
-        F.col("_line_key").alias("key"),
-        F.explode(
-            _let(
-                lines,
-                lambda ls: F.transform(
-                    "_line_marks",
-                    lambda m: F.struct(
-                        m["no"].alias("no"), m["digest"].alias("digest"), _piece(ls, m).alias("piece")
+        # Comparing bytes: digests whose chunks aren't all alike.
+        marked = joined.where("_line_marks IS NOT NULL").select(
+            F.col(id_col).alias("id"),
+            F.col("_line_key").alias("key"),
+            F.explode(
+                _let(
+                    lines,
+                    lambda ls: F.transform(
+                        "_line_marks",
+                        lambda m: F.struct(
+                            m["no"].alias("no"), m["digest"].alias("digest"), _piece(ls, m).alias("piece")
+                        ),
                     ),
-                ),
-            )
-        ).alias("m"),
-    )
-    pieces = marked.select("id", "key", "m.*")
-    alike = pieces.groupBy("digest", "piece").agg(F.min(place).alias("first"))
-    unlike = alike.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    unlike = materialize(unlike, "line-unlike")
-    exceptions = materialize(
-        pieces.join(unlike, "digest")
-        .join(alike.join(unlike, "digest"), ["digest", "piece"])
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("no", (place != F.col("first")).alias("again"))).alias("_line_x"))
-        .withColumnRenamed("key", "_line_other"),
-        "line-exceptions",
-    )
+                )
+            ).alias("m"),
+        )
+        pieces = marked.select("id", "key", "m.*")
+        alike = pieces.groupBy("digest", "piece").agg(F.min(place).alias("first"))
+        unlike = alike.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+        unlike = materialize(unlike, "line-unlike")
+        exceptions = keep(
+            pieces.join(unlike, "digest")
+            .join(alike.join(unlike, "digest"), ["digest", "piece"])
+            .groupBy("key")
+            .agg(F.collect_set(F.struct("no", (place != F.col("first")).alias("again"))).alias("_line_x"))
+            .withColumnRenamed("key", "_line_other"),
+            "line-exceptions",
+        )
     # A table without rows but for colliding digests, which Spark broadcasts by its size.
     decided = joined.join(exceptions, F.col("_line_key") == F.col("_line_other"), "left").drop("_line_other", "_line_key")
     none = F.array().cast("array<struct<no:int,again:boolean>>")
