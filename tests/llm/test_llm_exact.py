@@ -6,6 +6,7 @@ import random
 import time
 import zlib
 from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from textward.llm import bpe, common, lines, minhash, mixing, quality, queries, substrings
+from textward.llm import bpe, common, divergence, lines, minhash, mixing, quality, queries, substrings
 from textward.sources.store import materialize
 
 
@@ -197,6 +198,16 @@ def test_a_quoted_passage_doesn_t_bring_all_documents_together(spark, rows, monk
     assert made[240] <= 2.5 * made[120]
 
 
+def test_workers_send_a_row_per_source_and_term():
+    texts = [("s", "Word, word (WORD) two,Two\x85 3"), ("t", "word"), ("s", "word. Größe größe! ..."), ("u", "4 ...")]
+    docs = pa.RecordBatch.from_pylist([{"lang": "l", "source": s, "text": t.encode()} for s, t in texts])
+    # The next-line character is no term's end, and no lower case is made beyond ASCII.
+    want = {("s", "word"): (4, 2), ("s", "two"): (1, 1), ("s", "two\x85"): (1, 1), ("s", "größe"): (2, 1), ("t", "word"): (1, 1)}
+    sent = list(chain.from_iterable(b.to_pylist() for b in divergence._count_terms(iter([docs]))))
+    assert {(x["source"], x["term"].decode()): (x["n"], x["df"]) for x in sent} == want
+    assert len(sent) == len(want)
+
+
 def test_skewed_join(spark, rows, monkeypatch):
     data = [(i % 7, i) for i in range(50)] + [(9, i) for i in range(500)] + [(None, 1)]
     left = materialize(rows(data, "k int, v int"))

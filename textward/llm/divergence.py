@@ -1,13 +1,10 @@
 """How the sources of a language differ in their terms, by chunk factorization.
 
-A term never goes over white space, so a text's white-space chunks hold all its terms. Chunks are
-counted per document, reduced in each worker, and tokenized once each, however often they occur;
-their terms are joined back to the counts. Only counts per source and chunk are shuffled, never
-documents or words, so a very frequent word is one row per source and ``HELD_CHUNKS`` counted chunks.
-
-Whether a term is in at least ``LEAST_DOCS`` documents follows from its chunks: one chunk in as many
-documents settles it; rarer chunks carry the keys of all their documents, which are counted
-distinctly.
+A term never goes over white space, so a text's white-space chunks hold all its terms. A worker
+counts the chunks of each document, tokenizes each distinct one once, however often it occurs, and
+joins the terms back to the documents' counts. Only occurrences and documents per source and term are
+shuffled, never documents or words, so a very frequent word is one row per source and
+``HELD_CHUNKS`` counted chunks. A document is counted in one place only, so a term's documents add up.
 
 A source's share of a term is ``1 + 10^9 (count + 1) div (N + V)``. Two shares differ by
 ``(p - q)^2 div q``; summed over all terms that compares two sources, and for one term it shows what
@@ -36,11 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textward.llm.common import ascii_lower
 from textward.sources.store import materialize
 
-# Terms once A-Z are lower-cased.
-LOWERED = r"[^\x00-\x60\x7B-\x7F]+"
+# Terms are runs of these bytes, once A-Z are lower-cased: of letters and of all beyond ASCII.
+_TERM_BYTES = bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
+# What is no term's is a blank; the line feed stays, which stands between chunks.
+_LOWERED = bytes(b if b in _TERM_BYTES + b"\n" else 0x20 for b in bytes(range(256)).lower())
 LEAST_DOCS = 3
 SCALE = 10**9
 TOP_TERMS = 200
@@ -53,82 +51,82 @@ BLOCK_TERMS = 4096
 TILE_SOURCES = 256
 STEP_CELLS = 1 << 20
 
-_COUNTS = "lang string, source string, chunk binary, n bigint, df bigint, low bigint, high bigint"
+_COUNTS = "lang string, source string, term binary, n bigint, df bigint"
 
 
-class _Group:
-    """Chunks of one source's documents, numbered, and an entry per document and distinct chunk."""
+class _Held:
+    """Chunk counts of the documents seen so far: an entry per document and distinct chunk."""
 
     def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
         self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.key, self.distinct = array("q"), array("q")
+        self.group, self.distinct = array("q"), array("q")
         self.slot, self.n = array("q"), array("q")
-
-    def add(self, key: int, counted: Counter) -> None:
-        self.key.append(key)
-        self.distinct.append(len(counted))
-        self.slot.extend(map(self.slots.__getitem__, counted))
-        self.n.extend(counted.values())
-
-    def totals(self) -> list[np.ndarray]:
-        """``n, df, low, high`` of each chunk."""
-        slot, size = np.asarray(self.slot), len(self.slots)
-        key = np.repeat(np.asarray(self.key), np.asarray(self.distinct))
-        low, high = np.empty(size, np.int64), np.empty(size, np.int64)
-        # Documents come with ascending keys, and of several values the last one is kept.
-        low[slot[::-1]] = key[::-1]
-        high[slot] = key
-        n = np.bincount(slot, np.asarray(self.n), size).astype(np.int64)
-        return [n, np.bincount(slot, minlength=size), low, high]
-
-
-class _Held:
-    """Chunk counts of the documents seen so far."""
-
-    def __init__(self):
-        self.groups: dict[tuple[str, str], _Group] = {}
         self.size = 0
 
-    def add(self, lang: str, source: str, key: int, text: bytes) -> None:
-        group = self.groups.get((lang, source))
-        if group is None:
-            group = self.groups[lang, source] = _Group()
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        name = (lang, source)
+        if name not in self.groups:
+            self.groups[name] = len(self.groups)
             self.size += _GROUP_SIZE
         # bytes.split goes by the blank and the five ASCII control spaces.
         counted = Counter(text.split())
-        group.add(key, counted)
+        self.group.append(self.groups[name])
+        self.distinct.append(len(counted))
+        self.slot.extend(map(self.slots.__getitem__, counted))
+        self.n.extend(counted.values())
         self.size += len(counted) + 1
 
+    def _terms(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct terms, those of all chunks one after the other, and how many each chunk has."""
+        numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        parts = [x.split() for x in b"\n".join(self.slots).translate(_LOWERED).split(b"\n")]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        of = np.fromiter(map(numbers.__getitem__, chain.from_iterable(parts)), np.int64, sizes.sum())
+        return list(numbers), of, sizes
+
     def batch(self) -> pa.RecordBatch:
-        """A row per group and chunk, and one without a chunk for each group."""
-        groups = self.groups.values()
-        extra = len(groups)
-        chunks = pa.array(chain(*[g.slots for g in groups], [None] * extra), pa.binary())
-        n, df, low, high = [np.concatenate(c) for c in zip(*[g.totals() for g in groups])]
-        name = pa.array(np.r_[np.repeat(np.arange(extra), [len(g.slots) for g in groups]), np.arange(extra)])
-        padded = lambda values, fill: pa.concat_arrays(
-            [pa.array(values, pa.int64()), pa.array([fill] * extra, pa.int64())]
-        )
+        """A row per group and term."""
+        terms, of, sizes = self._terms()
+        group, slot = np.asarray(self.group), np.asarray(self.slot)
+        # Documents by group, so that those of a term's sources are next to each other.
+        order = np.argsort(group, kind="stable")
+        group, n_docs = group[order], len(order)
+        place = np.empty(n_docs, np.int64)
+        place[order] = np.arange(n_docs)
+        # The terms of each entry's chunk. A term that a chunk holds twice is there twice.
+        held = sizes[slot]
+        within = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        key = of[np.repeat((np.cumsum(sizes) - sizes)[slot], held) + within]
+        key = key * n_docs + np.repeat(np.repeat(place, np.asarray(self.distinct)), held)
+        order = np.argsort(key)
+        key, n = key[order], np.repeat(np.asarray(self.n), held)[order]
+        term, of_group = key // n_docs, group[key % n_docs]
+        first = np.ones(len(key), bool)
+        first[1:] = (term[1:] != term[:-1]) | (of_group[1:] != of_group[:-1])
+        document = np.ones(len(key), np.int64)
+        document[1:] = key[1:] != key[:-1]
+        starts = np.flatnonzero(first)
+        add = lambda values: np.add.reduceat(values, starts) if len(starts) else values
+        name = pa.array(of_group[starts])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([g[0] for g in self.groups], pa.string()).take(name),
                 pa.array([g[1] for g in self.groups], pa.string()).take(name),
-                chunks,
-                padded(n, 0),
-                padded(df, 0),
-                padded(low, None),
-                padded(high, None),
+                pa.array(terms, pa.binary()).take(pa.array(term[starts])),
+                pa.array(add(n), pa.int64()),
+                pa.array(add(document), pa.int64()),
             ],
-            names=["lang", "source", "chunk", "n", "df", "low", "high"],
+            names=["lang", "source", "term", "n", "df"],
         )
 
 
-def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = _Held()
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("lang", "source", "key", "text")]
-        for lang, source, key, text in zip(*columns):
-            held.add(lang, source, key, text)
+        columns = [batch.column(c).to_pylist() for c in ("lang", "source", "text")]
+        for lang, source, text in zip(*columns):
+            held.add(lang, source, text)
             if held.size >= HELD_CHUNKS:
                 yield held.batch()
                 held = _Held()
@@ -136,65 +134,35 @@ def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield held.batch()
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, chunk, n, df, low, high`` with a row without a chunk for each source.
-
-    ``n`` occurrences in ``df`` documents, whose keys are from ``low`` to ``high``.
-    """
+def _named(docs: DataFrame) -> DataFrame:
+    """``lang, source, text`` without nulls."""
     empty = F.lit("")
-    read = docs.select(
-        F.coalesce("lang", empty).alias("lang"),
-        F.coalesce("source", empty).alias("source"),
-        F.monotonically_increasing_id().alias("key"),
-        F.coalesce("text", empty).cast("binary").alias("text"),
-    )
-    # By chunk alone, so that all sources of a chunk meet. Workers have counted already; reducing
-    # their rows once more before the shuffle would find few equal ones.
-    return (
-        read.mapInArrow(_count_chunks, _COUNTS)
-        .repartition("chunk")
-        .groupBy("lang", "source", "chunk")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("df").alias("df"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
-    )
+    return docs.select(*[F.coalesce(c, empty).alias(c) for c in ("lang", "source", "text")])
 
 
-def term_counts(counts: DataFrame) -> DataFrame:
-    """``lang, source, term, n, df, low, high`` per chunk and each term in it.
+def kept_counts(docs: DataFrame) -> DataFrame:
+    """``lang, source, term, count, total, leads`` of the terms in at least ``LEAST_DOCS`` documents.
 
-    Only the first row of a chunk is tokenized; its terms are joined to the chunk's other rows by a
-    window, which streams over them. A row without a chunk gives one without a term.
+    ``total`` counts the term's occurrences in the language; one source of each term leads.
     """
-    rows = Window.partitionBy("chunk").orderBy("lang", "source")
-    found = F.regexp_extract_all(ascii_lower(F.col("chunk").cast("string")), F.lit(LOWERED), F.lit(0))
-    none = F.array(F.lit(None).cast("string"))
-    tokens = (
-        counts.withColumn("place", F.row_number().over(rows))
-        .withColumn("found", F.when(F.col("place") == 1, F.when(F.col("chunk").isNull(), none).otherwise(found)))
-        .withColumn("terms", F.first("found").over(rows.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    # A term that a chunk holds twice gives two rows. Keys only matter where few documents hold it.
-    few = F.col("df") < LEAST_DOCS
-    keys = [F.when(few, F.col(c)).alias(c) for c in ("low", "high")]
-    return tokens.select("lang", "source", F.explode("terms").alias("term"), "n", "df", *keys)
-
-
-def kept_terms(found: DataFrame) -> DataFrame:
-    """``lang, term`` of the terms in at least ``LEAST_DOCS`` documents of the language."""
-    few = F.col("df") < LEAST_DOCS
-    keys = F.when(few, F.array_distinct(F.array("low", "high"))).otherwise(
-        F.array(F.lit(None).cast("bigint"))
-    )
+    of_term = Window.partitionBy("lang", "term")
+    read = _named(docs).withColumn("text", F.col("text").cast("binary"))
+    # By language and term, so that all sources of a term meet. Workers have counted already;
+    # reducing their rows once more before the shuffle would find few equal ones.
     return (
-        found.select("lang", "term", "df", F.explode(keys).alias("key"))
-        .groupBy("lang", "term")
-        .agg(F.max("df").alias("most"), F.count_distinct("key").alias("n_docs"))
-        .where((F.col("most") >= LEAST_DOCS) | (F.col("n_docs") >= LEAST_DOCS))
-        .select("lang", "term")
+        read.mapInArrow(_count_terms, _COUNTS)
+        .repartition("lang", "term")
+        .groupBy("lang", "source", "term")
+        .agg(F.sum("n").alias("count"), F.sum("df").alias("df"))
+        .withColumns(
+            {
+                "n_docs": F.sum("df").over(of_term),
+                "total": F.sum("count").over(of_term),
+                "leads": F.col("source") == F.min("source").over(of_term),
+            }
+        )
+        .where(F.col("n_docs") >= LEAST_DOCS)
+        .select("lang", "source", F.col("term").cast("string").alias("term"), "count", "total", "leads")
     )
 
 
@@ -305,17 +273,9 @@ def divergence(docs: DataFrame, *, top_terms: int = TOP_TERMS) -> DataFrame:
     Part ``pair``: ``item`` is another source of the language, all ranks. Part ``term``: ``item`` is
     a term that the source has more of than its language, ranks to ``top_terms``.
     """
-    counted = materialize(term_counts(chunk_counts(docs)), "term-counts")
-    found = counted.where("term IS NOT NULL")
-    kept = materialize(kept_terms(found), "kept-terms")
-    occurring = materialize(
-        found.groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("count"))
-        .join(kept, ["lang", "term"], "left_semi"),
-        "source-terms",
-    )
-    sources = counted.where("term IS NULL").select("lang", "source").distinct()
-    vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    occurring = materialize(kept_counts(docs), "source-terms")
+    sources = _named(docs).select("lang", "source").distinct()
+    vocabulary = occurring.where("leads").groupBy("lang").agg(F.count("*").alias("v"))
     totals = occurring.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     zero = F.lit(0).cast("bigint")
     groups = materialize(
@@ -332,17 +292,17 @@ def divergence(docs: DataFrame, *, top_terms: int = TOP_TERMS) -> DataFrame:
         "languages",
     )
     cells = materialize(
-        occurring.join(groups, ["lang", "source"]).select(
-            "lang", "source", "term", "count", _share(F.col("count"), "n", "v").alias("p")
+        occurring.join(groups, ["lang", "source"])
+        .join(langs.select("lang", F.col("n").alias("n_lang")), "lang")
+        .select(
+            "lang",
+            "source",
+            "term",
+            _share(F.col("count"), "n", "v").alias("p"),
+            _share(F.col("total"), "n_lang", "v").alias("q"),
         ),
         "source-shares",
     )
-    whole = (
-        cells.groupBy("lang", "term")
-        .agg(F.sum("count").alias("count"))
-        .join(langs, "lang")
-        .select("lang", "term", _share(F.col("count"), "n", "v").alias("q"))
-    )
     ranked = lambda rows: rows.withColumn(
         "rank",
         F.row_number().over(
@@ -350,9 +310,7 @@ def divergence(docs: DataFrame, *, top_terms: int = TOP_TERMS) -> DataFrame:
         ),
     )
     terms = ranked(
-        cells.join(whole, ["lang", "term"])
-        .where("p > q")
-        .select("lang", "source", F.col("term").alias("item"), _distance(F.col("p"), F.col("q")).alias("value"))
+        cells.where("p > q").select("lang", "source", F.col("term").alias("item"), _distance(F.col("p"), F.col("q")).alias("value"))
     ).where(F.col("rank") <= top_terms)
     pairs = ranked(_pair_values(cells, groups, langs))
     named = lambda rows, part: rows.select(
