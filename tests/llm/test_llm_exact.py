@@ -198,6 +198,49 @@ def test_a_quoted_passage_doesn_t_bring_all_documents_together(spark, rows, monk
     assert made[240] <= 2.5 * made[120]
 
 
+def test_links_of_near_copies_grow_with_their_number(spark, rows, monkeypatch):
+    r = random.Random(2)
+
+    def copy(i, words=100):
+        # Copies with three new words aren't linked with each other, but with those of two.
+        new = set(r.sample(range(1, words - 1), 2 + (i % 8 > 0)))
+        return " ".join(f"n{i}x{j}" if j in new else f"w{j}" for j in range(words))
+
+    data = [(i, copy(i)) for i in range(160)]
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    seen, connected = [], minhash.connected
+
+    def counted(edges):
+        seen.append(edges.count())
+        return connected(edges)
+
+    monkeypatch.setattr(minhash, "connected", counted)
+    made = {}
+    for n in (80, 160):
+        docs = materialize(rows(data[:n], "doc_id long, text string"))
+        sets = {}
+        for i, text in data[:n]:
+            words = text.split()
+            sets[i] = set(zip(words, words[1:]))
+        root = {i: i for i in sets}
+
+        def find(i, root=root):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i in sets:
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    low, high = sorted((find(i), find(j)))
+                    root[high] = low
+        seen.clear()
+        got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, length=2).collect()}
+        assert got == {i: find(i) for i in sets}
+        made[n] = sum(seen)
+    assert made[160] <= 2.5 * made[80]
+
+
 def test_workers_send_a_row_per_source_and_term():
     texts = [("s", "Word, word (WORD) two,Two\x85 3"), ("t", "word"), ("s", "word. Größe größe! ..."), ("u", "4 ...")]
     docs = pa.RecordBatch.from_pylist([{"lang": "l", "source": s, "text": t.encode()} for s, t in texts])

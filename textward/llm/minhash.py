@@ -23,8 +23,12 @@ complete) removes clear misses (as far below t as a pair that meets t comes with
 below 2^-64), the rest is decided on the full sets. Equal sets are one node from the start.
 
 The documents of such a meeting are cut into blocks of bounded size, and a block pair is one unit of
-work, so a group of copies of any size is spread over the cluster; no two blocks meet twice. Units receive packed words,
-which take a third of the space of the hashes.
+work, so a group of copies of any size is spread over the cluster; no two blocks meet twice. Where the
+visitors are more than a block, the documents of each block meet among themselves first: near copies
+of one text then are few components, and those left outside the largest one meet the others. Else
+each pair of blocks would find links of its own between the same components, and their number would
+grow with the square of the copies. Units receive packed words, which take a third of the space of
+the hashes, and tell which components they join.
 
 Defined results: an empty set (a null, empty or blank text) links with nothing; repeated rows have
 equal sets and are linked; a null id is never a component's id unless it has no other, so null ids
@@ -291,11 +295,11 @@ _UNIT = ["unit", "p", "q", "met", "visits", "node", "root"]
 
 
 def _verified(units: DataFrame, texts: DataFrame, length: int, t: Fraction) -> DataFrame:
-    """Links ``a, b`` that join the components of each unit."""
+    """Pairs ``a, b`` of components that a link joins, as many as connect those of each unit."""
 
     def run(rows: pa.Table) -> pa.Table:
         sets = [shingles(zlib.decompress(x).split(), length) for x in rows["packed"].to_pylist()]
-        nodes, roots = rows["node"].to_pylist(), rows["root"].to_numpy()
+        roots = rows["root"].to_numpy()
         hubs, visitors = (np.flatnonzero(rows[side].to_numpy()) for side in ("met", "visits"))
         found = []
         if len(hubs) and len(visitors):
@@ -304,8 +308,8 @@ def _verified(units: DataFrame, texts: DataFrame, length: int, t: Fraction) -> D
             )
         return pa.table(
             {
-                "a": pa.array([nodes[visitors[i]] for i, _ in found], pa.int64()),
-                "b": pa.array([nodes[hubs[j]] for _, j in found], pa.int64()),
+                "a": pa.array([roots[visitors[i]] for i, _ in found], pa.int64()),
+                "b": pa.array([roots[hubs[j]] for _, j in found], pa.int64()),
             }
         )
 
@@ -317,25 +321,28 @@ def _verified(units: DataFrame, texts: DataFrame, length: int, t: Fraction) -> D
     )
 
 
-def _units(own: DataFrame, visitors: DataFrame, among: bool) -> DataFrame:
+def _sizes(own: DataFrame, visitors: DataFrame) -> DataFrame:
+    """``unit, n, m``: the own documents and the visitors of each unit that has both."""
+    return materialize(
+        own.groupBy("unit")
+        .agg(F.count("*").alias("n"))
+        .join(visitors.groupBy("unit").agg(F.count("*").alias("m")), "unit"),
+        "near-units",
+    )
+
+
+def _units(own: DataFrame, visitors: DataFrame, sizes: DataFrame, among: bool) -> DataFrame:
     """``unit, node, root`` of a unit's own documents and of its visitors -> rows of block pairs.
 
     Visitors meet the unit's own documents, and with ``among`` also each other. Own blocks come
     first. A pair has ``p <= q``, and q holds visitors: those of q meet the documents of p. A unit
     that fits into one block is one pair.
     """
-    sizes = (
-        own.groupBy("unit")
-        .agg(F.count("*").alias("n"))
-        .join(visitors.groupBy("unit").agg(F.count("*").alias("m")), "unit")
-        .withColumn("one", F.lit(among) & (F.col("n") + F.col("m") <= BLOCK))
-        .select(
-            "unit",
-            F.when(F.col("one"), 0).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("np"),
-            F.ceil(F.col("m") / BLOCK).cast("int").alias("nq"),
-        )
+    sizes = sizes.withColumn("one", F.lit(among) & (F.col("n") + F.col("m") <= BLOCK)).select(
+        "unit",
+        F.when(F.col("one"), 0).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("np"),
+        F.ceil(F.col("m") / BLOCK).cast("int").alias("nq"),
     )
-    sizes = materialize(sizes, "near-units")
     of = F.col("np")
     every = of + F.col("nq")
     place = lambda n: F.pmod(F.xxhash64("node"), F.greatest(n, F.lit(1))).cast("int")
@@ -364,6 +371,69 @@ def _units(own: DataFrame, visitors: DataFrame, among: bool) -> DataFrame:
     return posted.select(*_UNIT).union(visiting.select(*_UNIT))
 
 
+def _within_blocks(own: DataFrame, visitors: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of units like those of ``_units``, in which visitors only meet the documents of a block."""
+    block = F.pmod(F.xxhash64("node"), F.ceil((F.col("n") + F.col("m")) / BLOCK)).cast("int")
+    side = lambda docs, visits: docs.withColumn("visits", F.lit(visits))
+    return (
+        side(own, False)
+        .union(side(visitors, True))
+        .join(sizes, "unit")
+        .withColumns({"p": block, "q": block, "met": F.lit(True)})
+        .select(*_UNIT)
+    )
+
+
+def _followed(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root`` once ``links`` between the components of ``roots`` have joined them."""
+    joined = connected(links)
+    to = joined.select(F.col("node").alias("_from"), F.col("root").alias("_to"))
+    moved = roots.join(to, F.col("root") == F.col("_from"), "left").select(
+        "node", F.coalesce("_to", "root").alias("root")
+    )
+    # Documents that nothing was linked with so far.
+    fresh = joined.join(roots.select("node"), "node", "left_anti")
+    return materialize(moved.union(fresh), "near-roots")
+
+
+def _meetings(
+    own: DataFrame, visitors: DataFrame, roots: DataFrame, texts: DataFrame, length: int, t: Fraction
+) -> DataFrame:
+    """``roots`` once all documents of each unit have met that aren't of one component."""
+    sizes = _sizes(own, visitors)
+    few, many = sizes.where(F.col("m") <= BLOCK), sizes.where(F.col("m") > BLOCK)
+    crowded = not many.isEmpty()
+    units = _units(own, visitors, few, among=True)
+    if crowded:
+        units = units.union(_within_blocks(own, visitors, many))
+    links = materialize(_verified(units, texts, length, t), "near-links")
+    roots = _followed(roots, links)
+    if not crowded:
+        return roots
+    now = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    documents = materialize(
+        own.union(visitors)
+        .join(many.select("unit"), "unit", "left_semi")
+        .join(now, F.col("node") == F.col("_node"), "left")
+        .select("unit", "node", F.coalesce("_root", "node").alias("root")),
+        "near-crowds",
+    )
+    largest = materialize(
+        documents.groupBy("unit", "root")
+        .agg(F.count("*").alias("size"))
+        .groupBy("unit")
+        .agg(F.max(F.struct("size", "root")).getField("root").alias("top"), F.count("*").alias("left"))
+        .where("left > 1")
+        .select("unit", "top"),
+        "near-largest",
+    )
+    still = documents.join(largest, "unit")
+    own = still.where("root = top").drop("top")
+    visitors = still.where("root <> top").drop("top")
+    units = _units(own, visitors, _sizes(own, visitors), among=True)
+    return _followed(roots, materialize(_verified(units, texts, length, t), "near-links"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -419,24 +489,12 @@ def _near_duplicates(
         "near-stars",
     )
     centers = stars.select("unit").distinct()
-    links = materialize(
-        _verified(
-            _units(
-                centers.select("unit", F.col("unit").alias("node"), F.col("unit").alias("root")),
-                stars.select("unit", "node", F.col("node").alias("root")),
-                among=False,
-            ),
-            texts,
-            length,
-            t,
-        ),
-        "near-links",
-    )
-    own, visitors = _open(member, connected(links), texts, length, t)
-    second = materialize(
-        _verified(_units(own, visitors, among=True), texts, length, t), "near-links"
-    )
-    roots = connected(links.union(second)).withColumnRenamed("node", "_node")
+    own = centers.select("unit", F.col("unit").alias("node"), F.col("unit").alias("root"))
+    visitors = stars.select("unit", "node", F.col("node").alias("root"))
+    units = _units(own, visitors, _sizes(own, visitors), among=False)
+    roots = connected(materialize(_verified(units, texts, length, t), "near-links"))
+    own, visitors = _open(member, roots, texts, length, t)
+    roots = _meetings(own, visitors, roots, texts, length, t).withColumnRenamed("node", "_node")
 
     grouped = named.join(roots, F.col("node") == F.col("_node"), "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
