@@ -206,7 +206,7 @@ def test_links_of_near_copies_grow_with_their_number(spark, rows, monkeypatch):
         new = set(r.sample(range(1, words - 1), 2 + (i % 8 > 0)))
         return " ".join(f"n{i}x{j}" if j in new else f"w{j}" for j in range(words))
 
-    data = [(i, copy(i)) for i in range(160)]
+    data = [(i, copy(i)) for i in range(320)]
     monkeypatch.setattr(minhash, "BLOCK", 8)
     seen, connected = [], minhash.connected
 
@@ -216,7 +216,7 @@ def test_links_of_near_copies_grow_with_their_number(spark, rows, monkeypatch):
 
     monkeypatch.setattr(minhash, "connected", counted)
     made = {}
-    for n in (80, 160):
+    for n in (160, 320):
         docs = materialize(rows(data[:n], "doc_id long, text string"))
         sets = {}
         for i, text in data[:n]:
