@@ -241,6 +241,27 @@ def test_links_of_near_copies_grow_with_their_number(spark, rows, monkeypatch):
     assert made[160] <= 2.5 * made[80]
 
 
+def test_texts_stay_in_their_buckets_and_sets_of_far_sizes_don_t_meet(spark, rows, monkeypatch):
+    passage = " ".join(f"p{j}" for j in range(100))
+    long = lambda i: " ".join(f"w{i}x{j}" for j in range(1000))
+    data = [(0, passage), (1, f"{passage} new"), *((i, f"{passage} {long(i)}") for i in range(2, 12))]
+    docs = materialize(rows(data, "doc_id long, text string"))
+    seen, verified = [], minhash._verified
+
+    def counted(units, texts, *rest):
+        plan = texts.groupBy("node").count()._jdf.queryExecution().executedPlan().toString()
+        seen.append((units.select("node").distinct().count(), "Exchange" in plan))
+        return verified(units, texts, *rest)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, length=2).collect()}
+    assert got == {i: 0 if i == 1 else i for i in range(12)}
+    assert not any(moved for _, moved in seen)
+    # The hub is of one kind, and only documents of its kind meet it.
+    assert seen[0][0] in (0, 2, 10)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("textward_")]
+
+
 def test_workers_send_a_row_per_source_and_term():
     texts = [("s", "Word, word (WORD) two,Two\x85 3"), ("t", "word"), ("s", "word. Größe größe! ..."), ("u", "4 ...")]
     docs = pa.RecordBatch.from_pylist([{"lang": "l", "source": s, "text": t.encode()} for s, t in texts])

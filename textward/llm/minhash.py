@@ -51,8 +51,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textward.llm.common import connected
-from textward.sources.store import materialize, temporary
+from textward.llm.common import connected, join_skewed
+from textward.sources.store import materialize, materialize_by, temporary
 
 # Probability at most that a pair that meets the threshold shares no list.
 MISS = 2.0**-40
@@ -315,7 +315,7 @@ def _verified(units: DataFrame, texts: DataFrame, length: int, t: Fraction) -> D
 
     run.__annotations__ = {"rows": pa.Table, "return": pa.Table}
     return (
-        units.join(texts, "node")
+        units.join(texts.select("node", "packed"), "node")
         .groupBy("unit", "p", "q")
         .applyInArrow(run, "a bigint, b bigint")
     )
@@ -475,18 +475,34 @@ def _near_duplicates(
     member = materialize(
         lists.where("hub < _last").select("value", "node", "hub").distinct(), "near-lists"
     )
-    texts = sketches.groupBy("node").agg(F.first("packed").alias("packed"))
-    texts = materialize(
-        texts.join(member.select("node").distinct(), "node"), "near-texts"
+    texts = sketches.groupBy("node").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("packed").alias("packed")
+    )
+    # Each meeting joins the texts by node; in buckets they are shuffled for this table only.
+    texts = materialize_by(
+        texts.join(member.select("node").distinct(), "node"), "node", "near-texts"
     )
 
-    stars = materialize(
+    stars = (
         member.where("hub < node")
         .groupBy("node", "hub")
         .agg(F.count("*").alias("n"))
         .groupBy("node")
-        .agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("unit")),
-        "near-stars",
+        .agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("unit"))
+    )
+    sizes = texts.select("node", "n_shingles")
+    stars = materialize(stars.join(sizes, "node"), "near-stars")
+    hubs = materialize(
+        stars.groupBy("unit")
+        .agg(F.count("*").alias("n"))
+        .join(sizes.toDF("unit", "hub_shingles"), "unit"),
+        "near-hubs",
+    )
+    # The smaller of two linked sets has at least the share t of the larger one's size.
+    ends = ("n_shingles", "hub_shingles")
+    fitting = t.denominator * F.least(*ends) >= t.numerator * F.greatest(*ends)
+    stars = materialize(
+        join_skewed(stars, hubs, "unit").where(fitting).select("unit", "node"), "near-stars"
     )
     centers = stars.select("unit").distinct()
     own = centers.select("unit", F.col("unit").alias("node"), F.col("unit").alias("root"))

@@ -74,14 +74,41 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     Cuts the lineage and survives lost executors; unlike a checkpoint the result keeps column
     pruning and true size statistics.
     """
-    path = scratch_path(df.sparkSession, name)
-    _drop_at_exit(df.sparkSession, path)
-    if (tables := _inside.get()) is not None:
-        tables.append((df.sparkSession, path))
+    path = _scratch_table(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, key: str, name: str = "step") -> DataFrame:
+    """As ``materialize``, in buckets of ``key``: joins on it read the table where it lies.
+
+    There are as many buckets as shuffle partitions, so the other side of a join meets them without
+    a shuffle of this table. The name in the catalog is only needed to read the buckets as such.
+    """
+    spark = df.sparkSession
+    path = _scratch_table(spark, name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"textward_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, key)
+        .write.bucketBy(buckets, key)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+    written = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return written
+
+
+def _scratch_table(spark: SparkSession, name: str) -> str:
+    path = scratch_path(spark, name)
+    _drop_at_exit(spark, path)
+    if (tables := _inside.get()) is not None:
+        tables.append((spark, path))
+    return path
+
+
 @contextmanager
 def temporary() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Delete the tables that ``materialize`` writes inside as soon as the block ends.
