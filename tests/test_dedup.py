@@ -140,6 +140,39 @@ def test_signatures_do_not_depend_on_grouping(monkeypatch):
         assert [s.tolist() for s in minhash.signatures(texts)] == want
 
 
+def test_signatures_do_not_depend_on_what_a_worker_keeps(monkeypatch):
+    rng = random.Random(3)
+    letters = ["abcd ", "äöü€😀", "".join(map(chr, range(0x4E00, 0x4E00 + 500)))]
+    texts = ["".join(rng.choice(letters[i % 3]) for _ in range(rng.randrange(90))) for i in range(90)]
+    texts += ["", "ab", "ab", "", "abc"]
+    a, b = minhash.permutations()
+    want = []
+    for t in texts:
+        h = [minhash._hash32(s) for s in {t[i : i + 4] for i in range(max(1, len(t) - 3))}]
+        low = [min(((x * int(p) + int(q)) % 2**64 % minhash.MERSENNE_PRIME) & minhash.MAX_HASH for x in h)
+               for p, q in zip(a, b)]
+        want.append(low)
+    monkeypatch.setattr(minhash, "_GROUP_CHARS", 300)
+    for kept in (1, 200, 400, 5000):
+        monkeypatch.setattr(minhash, "_KEPT", kept)
+        minhash._kept.cache_clear()
+        assert [s.tolist() for s in minhash.signatures(texts)] == want
+    minhash._kept.cache_clear()
+
+
+def test_near_dedup_normalizes_a_text_once(spark, small, monkeypatch):
+    plans, materialize = [], dedup.materialize
+
+    def seen(df, name="step"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, name)
+
+    monkeypatch.setattr(dedup, "materialize", seen)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert dedup.near_survivors(docs, id_col="doc_id", keep=("lang",)).count() > 0
+    assert plans[0].count("regexp_replace") == 1
+
+
 def test_signature_estimates_jaccard():
     a, b = "the quick brown fox jumps over the lazy dog", "the quick brown fox jumped over the lazy dog"
     sa, sb = ({t[i : i + 4] for i in range(len(t) - 3)} for t in (a, b))

@@ -28,6 +28,8 @@ SHINGLE = 4
 _GROUP_CHARS = 1 << 18
 _CHUNK = 512
 _CACHE = 1 << 18
+# Shingles whose permuted hashes a worker keeps between groups, at 512 bytes each.
+_KEPT = 1 << 16
 
 
 @functools.cache
@@ -82,22 +84,66 @@ def _permuted(shingles: list[str], num_perm: int) -> np.ndarray:
     return table
 
 
-def _windows(joined: str, starts: np.ndarray, k: int) -> np.ndarray | None:
-    """A 64-bit number per window of ``k`` characters, equal for equal windows only.
+class _Kept:
+    """Rows of permuted hashes of the shingles met so far; when it is full it starts anew."""
 
-    Characters are numbered within the group; None if their numbers need too many bits.
+    def __init__(self, num_perm: int) -> None:
+        self.num_perm = num_perm
+        self.place: dict[str, int] = {}
+        self.table = np.empty((_KEPT, num_perm), np.uint32)
+
+    def rows(self, shingles: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A table, and the row of each of ``shingles`` in it."""
+        size = len(self.table)
+        if len(shingles) > size:
+            return _permuted(shingles, self.num_perm), np.arange(len(shingles))
+        new = list(dict.fromkeys(s for s in shingles if s not in self.place))
+        if len(self.place) + len(new) > size:
+            self.place.clear()
+            new = list(dict.fromkeys(shingles))
+        at = len(self.place)
+        self.table[at : at + len(new)] = _permuted(new, self.num_perm)
+        self.place.update(zip(new, range(at, at + len(new))))
+        return self.table, np.fromiter(map(self.place.__getitem__, shingles), np.int64, len(shingles))
+
+
+_kept = functools.cache(_Kept)
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorts ``numbers`` in place and returns each once; ``np.unique`` hashes them, which is slower."""
+    numbers.sort()
+    first = np.ones(len(numbers), bool)
+    np.not_equal(numbers[1:], numbers[:-1], out=first[1:])
+    return numbers[first]
+
+
+def _windows(
+    joined: str, starts: np.ndarray, text: np.ndarray, k: int
+) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    """The distinct windows of ``k`` characters, and each text and window in it, ordered by both.
+
+    Characters are numbered within the group; None if a text and its window need over 64 bits.
     """
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     seen = np.zeros(int(points.max(initial=0)) + 1, bool)
     seen[points] = True
     number = (np.cumsum(seen) - 1)[points].astype(np.uint64)
     bits = int(seen.sum()).bit_length()
-    if bits * k > 64:
+    if bits * k + int(text.max(initial=0)).bit_length() > 64 or bits * k == 64:
         return None
-    code = np.zeros(len(starts), np.uint64)
+    pairs = text.astype(np.uint64)
     for j in range(k):
-        code = code << np.uint64(bits) | number[starts + j]
-    return code
+        pairs = pairs << np.uint64(bits) | number[starts + j]
+    pairs = _distinct(pairs)
+    code = pairs & np.uint64((1 << bits * k) - 1)
+    codes = _distinct(code.copy())
+    shifts = np.arange(k - 1, -1, -1, dtype=np.uint64) * np.uint64(bits)
+    digits = codes[:, None] >> shifts & np.uint64((1 << bits) - 1)
+    letters = seen.nonzero()[0].astype("<u4")[digits].tobytes().decode("utf-32-le", "surrogatepass")
+    shingles = [letters[i : i + k] for i in range(0, len(letters), k)]
+    owner = (pairs >> np.uint64(bits * k)).astype(np.int64)
+    return shingles, owner, np.searchsorted(codes, code)
 
 
 def _shingle_rows(texts: list[str], k: int) -> tuple[list[str], list[np.ndarray]]:
@@ -111,30 +157,28 @@ def _shingle_rows(texts: list[str], k: int) -> tuple[list[str], list[np.ndarray]
     held = np.maximum(sizes, 0)
     text = np.repeat(np.arange(len(texts)), held)
     starts = np.arange(int(held.sum())) + (offset - np.cumsum(held) + held)[text]
-    code = _windows(joined, starts, k)
-    if code is None:
+    windows = _windows(joined, starts, text, k)
+    if windows is None:
         of: dict[str, int] = {}
         inverse = np.array([of.setdefault(joined[i : i + k], len(of)) for i in starts.tolist()], np.int64)
         shingles = list(of)
+        pairs = _distinct(text * max(1, len(shingles)) + inverse)
+        owner, held_at = np.divmod(pairs, max(1, len(shingles)))
     else:
-        _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-        shingles = [joined[i : i + k] for i in starts[first].tolist()]
-    n = max(1, len(shingles))
-    pairs = np.unique(text * n + inverse)
-    cuts = np.searchsorted(pairs, np.arange(1, len(texts)) * n)
-    rows = [part % n for part in np.split(pairs, cuts)]
+        shingles, owner, held_at = windows
+    rows = np.split(held_at, np.searchsorted(owner, np.arange(1, len(texts))))
     for i in np.flatnonzero(sizes <= 0).tolist():
         rows[i] = np.array([len(shingles)])
         shingles.append(texts[i])
     return shingles, rows
 
 
-def _group_signatures(texts: list[str], num_perm: int, k: int) -> Iterator[np.ndarray]:
+def _group_signatures(texts: list[str], num_perm: int, k: int) -> list[np.ndarray]:
     """Signatures of a few texts: a table over their shingles, then column minima per text."""
     shingles, rows = _shingle_rows(texts, k)
-    table = _permuted(shingles, num_perm)
-    for row in rows:
-        yield table.take(row, axis=0).min(axis=0)
+    table, place = _kept(num_perm).rows(shingles)
+    # All of them before the table changes for another group.
+    return [table.take(place[row], axis=0).min(axis=0) for row in rows]
 
 
 def _long_signature(text: str, num_perm: int, k: int) -> np.ndarray:
@@ -142,7 +186,7 @@ def _long_signature(text: str, num_perm: int, k: int) -> np.ndarray:
     low = np.full(num_perm, MAX_HASH, dtype=np.uint32)
     for at in range(0, len(text) - k + 1, _GROUP_CHARS):
         piece = text[at : at + _GROUP_CHARS + k - 1]
-        np.minimum(low, next(_group_signatures([piece], num_perm, k)), out=low)
+        np.minimum(low, _group_signatures([piece], num_perm, k)[0], out=low)
     return low
 
 

@@ -128,13 +128,16 @@ def near_survivors(
     ``df``, counted by the task that writes them.
     """
     bands, _ = band_layout(threshold)
-    text = normalize(F.coalesce(F.col(text_col), F.lit("")))
-    digest = F.when(F.col(text_col).isNotNull(), F.unhex(F.sha2(text, 256)))
+    # Two uses in one projection would normalize each text twice.
     narrow = df.select(
         F.col(id_col).alias("_id"),
-        digest.alias("_digest"),
-        band_keys(text, threshold).alias("_keys"),
+        normalize(text_col).alias("_text"),
         F.struct(F.lit(0).alias("_"), *keep).alias("_kept"),
+    ).select(
+        "_id",
+        F.unhex(F.sha2("_text", 256)).alias("_digest"),
+        band_keys(F.coalesce("_text", F.lit("")), threshold).alias("_keys"),
+        "_kept",
     )
     if observation is not None:
         narrow = narrow.observe(observation, F.count(F.lit(1)).alias("n_rows"))
